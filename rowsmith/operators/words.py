@@ -16,7 +16,7 @@ def lines_of(df: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     keep_cols = [F.col(k) for k in (keep or [])]
     if with_number:
         return df.select(*keep_cols, F.posexplode(text_lines(text_col)).alias("line_no", "value")).withColumn(
-            "line_no", F.col("line_no") + 1
+            "line_no", (F.col("line_no") + 1).cast("bigint")
         )
     return df.select(*keep_cols, F.explode(text_lines(text_col)).alias("value"))
 
@@ -26,7 +26,7 @@ def words(lines: DataFrame, col: str = "value", keep: list[str] | None = None, w
     keep_cols = [F.col(k) for k in (keep or [])]
     if with_number:
         return lines.select(*keep_cols, F.posexplode(tokens(col)).alias("word_no", "word")).withColumn(
-            "word_no", F.col("word_no") + 1
+            "word_no", (F.col("word_no") + 1).cast("bigint")
         )
     return lines.select(*keep_cols, F.explode(tokens(col)).alias("word"))
 

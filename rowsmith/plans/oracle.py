@@ -1,12 +1,17 @@
 """DuckDB SQL that computes each registered query from the given tables.
 
 Shared snippets spell out the reader rules in DuckDB terms: ``LINES(t)``
-splits a whole text into ``readLine`` lines; ``WORDS(l)`` is
-``split(" ")`` with the JVM's trailing-empty rule.
+splits a whole text into ``readLine`` lines; ``SPLIT1`` / ``SPLIT_RE`` are
+``String.split`` with its trailing-empty rule; ``BLANK`` is the blank-line
+test. Staged file sets are described by the same fixed numbers as in
+``staging`` and ``queries``.
 """
 
 from __future__ import annotations
 
+from rowsmith.plans import queries as Q
+from rowsmith.plans import staging as S
+
 
 def LINES(t: str) -> str:
     parts = f"regexp_split_to_array({t}, '\\r\\n|\\n|\\r')"
@@ -26,6 +31,15 @@ def SPLIT1(x: str, ch: str) -> str:
     )
 
 
+def SPLIT_RE(x: str, regex: str) -> str:
+    """Java ``split`` on a general regex."""
+    parts = f"regexp_split_to_array({x}, '{regex}')"
+    return (
+        f"(CASE WHEN {x} = '' THEN ['']::VARCHAR[] "
+        f"ELSE list_slice({parts}, 1, coalesce(list_max([i FOR e, i IN {parts} IF e <> '']), 0)) END)"
+    )
+
+
 def WORDS(x: str) -> str:
     return SPLIT1(x, " ")
 
@@ -34,14 +48,145 @@ def BLANK(x: str) -> str:
     return f"(regexp_full_match({x}, '[\\x00-\\x20]*') OR starts_with({x}, chr(13)) OR starts_with({x}, chr(10)))"
 
 
+def NUMBERED(lst: str) -> str:
+    """``unnest`` pair: the items of a list and their 1-based positions."""
+    return f"unnest(range(1, len({lst}) + 1))"
+
+
+LINEITEM_ROWS = """
+SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
+FROM lineitem
+"""
+
+LINEITEM_LINE = "concat_ws(',', " + ", ".join(
+    f"COALESCE(CAST({c} AS VARCHAR), 'NULL')" for c in S.LINEITEM_COLUMNS
+) + ")"
+
 WORD_COUNT = f"""
 WITH lines AS (SELECT unnest({LINES('text')}) AS line FROM documents),
 words AS (SELECT unnest({WORDS('line')}) AS word FROM lines)
 SELECT word, count(*) AS cnt FROM words GROUP BY word
 """
 
+TOKENIZE = f"""
+WITH d AS (SELECT doc_id, {LINES('text')} AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, {NUMBERED('ls')} AS line_no FROM d),
+w AS (SELECT doc_id, line_no, {WORDS('line')} AS ws FROM l)
+SELECT doc_id, line_no, {NUMBERED('ws')} AS word_no, unnest(ws) AS word FROM w
+"""
+
+SKIP_BLANK_LINES = f"""
+SELECT value FROM (SELECT unnest({LINES("text || chr(10) || chr(10)")}) AS value FROM documents)
+WHERE NOT {BLANK('value')}
+"""
+
+_DOC_ARCHIVE_LINES = f"""
+a AS (SELECT doc_id // {S.DOCS_PER_ARCHIVE} AS g, string_agg(text, '' ORDER BY doc_id) AS t FROM documents GROUP BY 1),
+al AS (SELECT g, {LINES('t')} AS ls FROM a),
+l AS (SELECT g, unnest(ls) AS value, {NUMBERED('ls')} AS line_no FROM al)
+"""
+
+SKIP_HEADER_LINES = f"""
+WITH {_DOC_ARCHIVE_LINES}
+SELECT printf('docs-%06d.zip', g) AS file_name, line_no, value FROM l
+WHERE line_no >= {Q.HEADER_FIRST_DATA_LINE} AND NOT {BLANK('value')}
+"""
+
+_SENTINEL = Q.SENTINEL_LINE.replace("'", "''")
+STOP_AT_SENTINEL = f"""
+WITH {_DOC_ARCHIVE_LINES},
+s AS (SELECT g, min(line_no) AS stop FROM l WHERE value = '{_SENTINEL}' GROUP BY g)
+SELECT printf('docs-%06d.zip', l.g) AS file_name, line_no, value FROM l LEFT JOIN s ON l.g = s.g
+WHERE (s.stop IS NULL OR line_no < s.stop) AND NOT {BLANK('value')}
+"""
+
+SPLIT_INVARIANT_SCAN = """
+SELECT l_returnflag, l_linestatus, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
+       CAST(sum(l_linenumber) AS BIGINT) AS sum_linenumber,
+       min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+"""
+
+_YEARS = ", ".join(Q.SELECTED_YEARS.split("|"))
+
+FILE_NAME_FILTER = LINEITEM_ROWS + f" WHERE year(l_shipdate) IN ({_YEARS})"
+
+PAYLOAD_SIZE_FILTER = f"""
+SELECT page_id, url, CAST(strlen(html) AS BIGINT) AS body_bytes FROM pages
+WHERE html IS NULL OR strlen(html) <= {Q.BODY_LIMIT}
+"""
+
+SPLIT_FIELDS = f"""
+WITH t AS (SELECT page_id, {SPLIT_RE('url', Q.URL_DELIMITER)} AS f FROM pages)
+SELECT page_id, {NUMBERED('f')} AS field_no, unnest(f) AS field FROM t
+"""
+
+TYPED_PROJECTION = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_extendedprice, l_returnflag,
+       l_returnflag = 'R' AS is_returned, CAST(l_shipdate AS VARCHAR) AS l_shipdate
+FROM lineitem
+"""
+
+COLUMN_PRUNING = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice, CAST(NULL AS VARCHAR) AS l_comment
+FROM lineitem
+"""
+
+COUNT_ONLY_SCAN = "SELECT count(*) AS n_records FROM lineitem"
+
+FORMAT_LINES = f"SELECT {LINEITEM_LINE} AS value FROM lineitem"
+
+SCAN_AUDIT = f"""
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year,
+       year(l_shipdate) IN ({_YEARS}) AS matched,
+       CAST(sum(strlen({LINEITEM_LINE}) + 1) AS BIGINT) AS bytes,
+       CASE WHEN year(l_shipdate) IN ({_YEARS}) THEN count(*) END AS lines
+FROM lineitem GROUP BY year(l_shipdate)
+"""
+
+REPORT = "CAST(json_object('http_user_agent', event_type, 'request_body', props) AS VARCHAR)"
+
+ENCODE_EVENTS = f"SELECT event_id, {REPORT} AS message FROM events"
+
+EVENT_ENVELOPE = f"SELECT event_id, 'key' AS key, {REPORT} AS value, 'test' AS topic FROM events"
+
+KAFKA_VALUES = f"SELECT {REPORT} AS value FROM events"
+
+ENCODED_SCAN = f"SELECT unnest({LINES('text')}) AS value FROM documents"
+
+INTERVAL_WORD_COUNT = f"""
+SELECT time_bucket(INTERVAL '{Q.INTERVAL}', ts) AS window_start, word, count(*) AS cnt
+FROM (SELECT ts, unnest({WORDS('event_type')}) AS word FROM events) GROUP BY 1, 2
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "word_count": WORD_COUNT,
+        "file_word_count": WORD_COUNT,
+        "tokenize": TOKENIZE,
+        "skip_blank_lines": SKIP_BLANK_LINES,
+        "skip_header_lines": SKIP_HEADER_LINES,
+        "stop_at_sentinel": STOP_AT_SENTINEL,
+        "zip_scan": LINEITEM_ROWS,
+        "delimited_scan": LINEITEM_ROWS,
+        "multi_file_scan": LINEITEM_ROWS,
+        "split_invariant_scan": SPLIT_INVARIANT_SCAN,
+        "encoded_scan": ENCODED_SCAN,
+        "file_name_filter": FILE_NAME_FILTER,
+        "payload_size_filter": PAYLOAD_SIZE_FILTER,
+        "split_fields": SPLIT_FIELDS,
+        "typed_projection": TYPED_PROJECTION,
+        "column_pruning": COLUMN_PRUNING,
+        "count_only_scan": COUNT_ONLY_SCAN,
+        "format_lines": FORMAT_LINES,
+        "delimited_round_trip": LINEITEM_ROWS,
+        "materialize_scan": LINEITEM_ROWS,
+        "scan_audit": SCAN_AUDIT,
+        "encode_events": ENCODE_EVENTS,
+        "event_envelope": EVENT_ENVELOPE,
+        "kafka_values": KAFKA_VALUES,
+        "stream_word_count": WORD_COUNT,
+        "interval_word_count": INTERVAL_WORD_COUNT,
     }

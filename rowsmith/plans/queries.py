@@ -1,23 +1,294 @@
-"""The registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame."""
+"""The registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
+
+Every query reads the given tables, or files Spark derived from them (see
+``staging``), in full. Queries that run a stream drive it to the end of its
+input (``availableNow``) and return the sink's content as a batch DataFrame.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowsmith.operators.words import lines_of, word_count
+from rowsmith.functions.text import format_line, is_blank, java_split
+from rowsmith.operators.audit import scan_audit
+from rowsmith.operators.events import accepted_bodies, event_envelope, message_values, report_event
+from rowsmith.operators.fields import as_schema, typed_fields
+from rowsmith.operators.words import lines_of, word_count, words
+from rowsmith.plans import staging
 from rowsmith.plans.tables import table
+from rowsmith.session import scratch_path
+from rowsmith.sinks.delimited import format_lines, materialize
+from rowsmith.sources.archives import read_archive_lines, read_archives
+from rowsmith.sources.delimited import parse_delimited, read_delimited, read_lines
+from rowsmith.streaming import words as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed query parameters (the oracle SQL uses the same values).
+HEADER_FIRST_DATA_LINE = 3
+# A line that recurs in the generated documents, so the end-sentinel rule stops archives early.
+SENTINEL_LINE = "The and attion to thanedble the, anea. Eriner thanea."
+URL_DELIMITER = "[/?&=]"
+BODY_LIMIT = 8000
+SELECTED_YEARS = "1995|1996|1997"
+LEGACY_CHARSET = "windows-1252"
+INTERVAL = "1 hour"
+
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch word count over the lines of every document (flagship)."""
+    """A1 + P6 + P7: batch word count over the lines of every document (flagship)."""
     return word_count(lines_of(table(spark, sf_dir, "documents"), "text"))
 
 
+def q_file_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + A1: word count over text files (the document lines, staged as files)."""
+    return word_count(read_lines(spark, staging.document_lines(spark, sf_dir)))
+
+
+def q_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of every line, with its line and word numbers."""
+    lines = lines_of(table(spark, sf_dir, "documents"), "text", keep=["doc_id"], with_number=True)
+    return words(lines, keep=["doc_id", "line_no"], with_number=True)
+
+
+def q_skip_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents staged as blank-line-separated paragraphs; blank lines dropped."""
+    lines = read_lines(spark, staging.document_paragraphs(spark, sf_dir))
+    return lines.where(~is_blank("value"))
+
+
+def q_skip_header_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """document archives with the first two physical lines of every archive skipped."""
+    lines = read_archive_lines(spark, staging.document_archives(spark, sf_dir), first_data_line=HEADER_FIRST_DATA_LINE)
+    return lines.where(~is_blank("value")).select("file_name", "line_no", "value")
+
+
+def q_stop_at_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """document archives read up to the first sentinel line of each archive."""
+    lines = read_archive_lines(spark, staging.document_archives(spark, sf_dir), sentinel=SENTINEL_LINE)
+    return lines.where(~is_blank("value")).select("file_name", "line_no", "value")
+
+
+def q_zip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + F5: zip archives of lineitem lines as a typed table."""
+    return read_archives(spark, staging.lineitem_archives(spark, sf_dir), staging.LINEITEM_SCHEMA)
+
+
+def q_delimited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P1-P3: delimited text files as a typed table."""
+    return read_delimited(spark, staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA)
+
+
+def q_multi_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: every file of a folder tree (one folder per ship year, several files each)."""
+    return read_delimited(spark, staging.lineitem_by_year(spark, sf_dir), staging.LINEITEM_SCHEMA)
+
+
+def q_split_invariant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large text files read in byte splits (line-aligned); a summary that every split size must reproduce."""
+    li = read_delimited(spark, staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA)
+    return li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("l_quantity").alias("sum_qty"),
+        F.sum("l_linenumber").alias("sum_linenumber"),
+        F.min("l_extendedprice").alias("min_price"),
+        F.max("l_extendedprice").alias("max_price"),
+    )
+
+
+def q_encoded_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in a legacy charset decoded in the JVM."""
+    return read_lines(spark, staging.encoded_document_lines(spark, sf_dir, LEGACY_CHARSET), encoding=LEGACY_CHARSET)
+
+
+def q_file_name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """only files whose path matches a regex are read (the rest are pruned unopened)."""
+    return read_delimited(
+        spark,
+        staging.lineitem_by_year(spark, sf_dir),
+        staging.LINEITEM_SCHEMA,
+        pattern=f".*/ship_year=(?:{SELECTED_YEARS})/[^/]*",
+        pattern_on="path",
+    )
+
+
+def q_payload_size_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page bodies up to the size limit (inclusive)."""
+    pages = table(spark, sf_dir, "pages")
+    return accepted_bodies(pages, "html", BODY_LIMIT).select("page_id", "url", F.octet_length("html").cast("bigint").alias("body_bytes"))
+
+
+def q_split_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs split at a regex delimiter (trailing empty fields dropped), one row per field."""
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", F.posexplode(java_split("url", URL_DELIMITER)).alias("field_no", "field")).withColumn(
+        "field_no", (F.col("field_no") + 1).cast("bigint")
+    )
+
+
+TYPED_SCHEMA = (
+    "l_orderkey bigint, l_linenumber bigint, l_quantity double, l_extendedprice double, "
+    "l_returnflag string, is_returned boolean, l_shipdate string"
+)
+
+
+def q_typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + P9: rows formatted as lines and parsed back under a typed schema (all four types)."""
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.select(
+        format_line(
+            [
+                "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+                F.col("l_returnflag") == "R", "l_shipdate",
+            ]
+        ).alias("value")
+    )
+    return parse_delimited(lines, TYPED_SCHEMA)
+
+
+# l_returnflag is declared bigint here: it would fail to parse if it were read.
+PRUNING_SCHEMA = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber bigint, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag bigint, l_linestatus string, "
+    "l_shipdate string, l_comment string, l_extra double"
+)
+
+
+def q_column_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the needed fields are parsed; fields past the end of a line are null."""
+    return read_delimited(
+        spark,
+        staging.lineitem_text(spark, sf_dir),
+        PRUNING_SCHEMA,
+        columns=["l_orderkey", "l_linenumber", "l_extendedprice", "l_comment"],
+    )
+
+
+def q_count_only_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero-column scan: one empty record per non-blank line, counted."""
+    rows = read_delimited(spark, staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA, columns=[])
+    return rows.agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def q_format_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row as one delimited line (null as NULL, no quoting)."""
+    return format_lines(table(spark, sf_dir, "lineitem").select(*staging.LINEITEM_COLUMNS))
+
+
+def q_delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S1: written with a literal pipe, read back with the escaped regex."""
+    return read_delimited(spark, staging.lineitem_text(spark, sf_dir, "|"), staging.LINEITEM_SCHEMA, delimiter="\\|")
+
+
+def q_materialize_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: a text scan copied once into parquet, then read from the copy."""
+    scan = read_delimited(spark, staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA)
+    return materialize(scan, scratch_path(spark, "materialized-lineitem"))
+
+
+def q_scan_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per ship-year folder, whether its files matched the name pattern, their bytes and lines."""
+    audit = scan_audit(
+        spark,
+        staging.lineitem_by_year(spark, sf_dir),
+        pattern=f".*/ship_year=(?:{SELECTED_YEARS})/[^/]*",
+        pattern_on="path",
+    )
+    folder = F.regexp_extract("file_path", "ship_year=([0-9]+)", 1).cast("int")
+    return audit.groupBy(folder.alias("ship_year")).agg(
+        F.bool_and("matched").alias("matched"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("lines").alias("lines"),
+    )
+
+
+def q_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as the JSON report message."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", report_event(ev).alias("message"))
+
+
+def q_event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: message-queue records (constant key, fixed topic, JSON value)."""
+    ev = table(spark, sf_dir, "events")
+    return event_envelope(ev, report_event(ev), keep=["event_id"])
+
+
+def _run(query) -> None:
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
+def q_kafka_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + P5 + T1-T4: a record stream (Kafka's columns, from files) reduced to its values."""
+    src = streams.envelope_stream(spark, staging.event_envelopes(spark, sf_dir))
+    out = scratch_path(spark, "kafka-values")
+    _run(streams.forward_values(message_values(src), out, out + "-checkpoint", available_now=True))
+    return spark.read.parquet(out)
+
+
+def q_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 (per batch) + S7: word counts of every micro-batch of a line stream; the whole input
+    is one available-now batch here, so the oracle is the total count."""
+    src = streams.text_stream(spark, staging.document_lines(spark, sf_dir))
+    out = scratch_path(spark, "stream-word-count")
+    _run(streams.batch_word_count(src, out, out + "-checkpoint", available_now=True))
+    return spark.read.parquet(out).select("word", "cnt")
+
+
+def q_interval_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 (per interval): event-type counts per tumbling hour of the event time, run as a stream."""
+    src = streams.envelope_stream(spark, staging.event_envelopes(spark, sf_dir))
+    typed = src.select(
+        F.col("timestamp").alias("ts"),
+        F.get_json_object(F.col("value").cast("string"), "$.http_user_agent").alias("value"),
+    )
+    out = scratch_path(spark, "interval-word-count")
+    _run(streams.run_interval_word_count(typed, "ts", out, out + "-checkpoint", interval=INTERVAL, available_now=True))
+    counts = streams.latest_counts(spark, out)
+    return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "word", "cnt")
+
+
+def q_stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the first ten lines of every batch of a line stream."""
+    src = streams.text_stream(spark, staging.document_lines(spark, sf_dir))
+    out = scratch_path(spark, "stream-preview")
+    _run(streams.preview(src, out, out + "-checkpoint", available_now=True))
+    return spark.read.parquet(out).select("value")
+
+
 def queries() -> dict[str, Query]:
     return {
         "word_count": q_word_count,
+        "file_word_count": q_file_word_count,
+        "tokenize": q_tokenize,
+        "skip_blank_lines": q_skip_blank_lines,
+        "skip_header_lines": q_skip_header_lines,
+        "stop_at_sentinel": q_stop_at_sentinel,
+        "zip_scan": q_zip_scan,
+        "delimited_scan": q_delimited_scan,
+        "multi_file_scan": q_multi_file_scan,
+        "split_invariant_scan": q_split_invariant_scan,
+        "encoded_scan": q_encoded_scan,
+        "file_name_filter": q_file_name_filter,
+        "payload_size_filter": q_payload_size_filter,
+        "split_fields": q_split_fields,
+        "typed_projection": q_typed_projection,
+        "column_pruning": q_column_pruning,
+        "count_only_scan": q_count_only_scan,
+        "format_lines": q_format_lines,
+        "delimited_round_trip": q_delimited_round_trip,
+        "materialize_scan": q_materialize_scan,
+        "scan_audit": q_scan_audit,
+        "encode_events": q_encode_events,
+        "event_envelope": q_event_envelope,
+        "kafka_values": q_kafka_values,
+        "stream_word_count": q_stream_word_count,
+        "interval_word_count": q_interval_word_count,
+        "stream_preview": q_stream_preview,
     }

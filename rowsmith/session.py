@@ -21,6 +21,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -65,3 +66,13 @@ def local_path(uri: str) -> str | None:
     if "://" not in uri and not uri.startswith(("hdfs:", "s3:", "s3a:", "gs:", "abfs:")):
         return os.path.abspath(uri)
     return None
+
+
+def file_system(uri: str):
+    """``(pyarrow file system, path)`` for a local or remote URI."""
+    import pyarrow.fs as pafs
+
+    lp = local_path(uri)
+    if lp is not None:
+        return pafs.LocalFileSystem(), lp
+    return pafs.FileSystem.from_uri(uri)
