@@ -11,6 +11,7 @@ from rowsmith.functions.text import (
     parse_double,
     parse_long,
     text_lines,
+    drop_last_empty,
     tokens,
     within_limit,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "parse_double",
     "parse_long",
     "text_lines",
+    "drop_last_empty",
     "tokens",
     "within_limit",
 ]

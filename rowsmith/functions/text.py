@@ -72,7 +72,11 @@ def text_lines(c: ColumnOrName) -> Column:
     Line ends are ``\\n``, ``\\r`` and ``\\r\\n``; a final line end does not
     open an empty last line; an empty text has no lines.
     """
-    parts = F.split(_col(c), LINE_END_REGEX, -1)
+    return drop_last_empty(F.split(_col(c), LINE_END_REGEX, -1))
+
+
+def drop_last_empty(parts: Column) -> Column:
+    """Drop a final empty element (what a trailing line end leaves after a split)."""
     n = F.size(parts)
     return F.when(F.get(parts, n - 1) == "", F.slice(parts, 1, n - 1)).otherwise(parts)
 
@@ -83,8 +87,7 @@ def is_blank(c: ColumnOrName) -> Column:
     True when the line is empty after ``String.trim`` (every char <= U+0020),
     or starts with a carriage return or line feed.
     """
-    c = _col(c)
-    return c.rlike("^[\\x00-\\x20]*$") | c.startswith("\r") | c.startswith("\n")
+    return _col(c).rlike("^(?:[\\r\\n]|[\\x00-\\x20]*$)")
 
 
 def tokens(c: ColumnOrName) -> Column:

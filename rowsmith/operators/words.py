@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.functions.text import text_lines, tokens
+from rowsmith.functions.text import LINE_END_REGEX, drop_last_empty, tokens
 
 
 def lines_of(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, with_number: bool = False) -> DataFrame:
@@ -14,11 +14,14 @@ def lines_of(df: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     ``with_number`` adds ``line_no`` (1-based physical line number).
     """
     keep_cols = [F.col(k) for k in (keep or [])]
+    # Split once in its own projection; the last-empty check reads the array three times.
+    split = df.select(*keep_cols, F.split(text_col, LINE_END_REGEX, -1).alias("__pieces"))
+    lines = drop_last_empty(F.col("__pieces"))
     if with_number:
-        return df.select(*keep_cols, F.posexplode(text_lines(text_col)).alias("line_no", "value")).withColumn(
+        return split.select(*keep_cols, F.posexplode(lines).alias("line_no", "value")).withColumn(
             "line_no", (F.col("line_no") + 1).cast("bigint")
         )
-    return df.select(*keep_cols, F.explode(text_lines(text_col)).alias("value"))
+    return split.select(*keep_cols, F.explode(lines).alias("value"))
 
 
 def words(lines: DataFrame, col: str = "value", keep: list[str] | None = None, with_number: bool = False) -> DataFrame:

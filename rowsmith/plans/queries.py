@@ -40,7 +40,7 @@ INTERVAL = "1 hour"
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + P6 + P7: batch word count over the lines of every document (flagship)."""
-    return word_count(lines_of(table(spark, sf_dir, "documents"), "text"))
+    return word_count(lines_of(table(spark, sf_dir, "documents", spread_rows=True), "text"))
 
 
 def q_file_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def q_file_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of every line, with its line and word numbers."""
-    lines = lines_of(table(spark, sf_dir, "documents"), "text", keep=["doc_id"], with_number=True)
+    lines = lines_of(table(spark, sf_dir, "documents", spread_rows=True), "text", keep=["doc_id"], with_number=True)
     return words(lines, keep=["doc_id", "line_no"], with_number=True)
 
 
@@ -137,7 +137,7 @@ TYPED_SCHEMA = (
 
 def q_typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 + P9: rows formatted as lines and parsed back under a typed schema (all four types)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread_rows=True)
     lines = li.select(
         format_line(
             [

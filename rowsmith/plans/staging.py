@@ -71,7 +71,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> str:
     """The lines of every document as text files."""
 
     def build(path: str) -> None:
-        lines_of(table(spark, sf_dir, "documents"), "text").write.text(path)
+        lines_of(table(spark, sf_dir, "documents", spread_rows=True), "text").write.text(path)
 
     return _memo(spark, sf_dir, "document-lines", build)
 
@@ -91,7 +91,7 @@ def encoded_document_lines(spark: SparkSession, sf_dir: str, encoding: str) -> s
 
     def build(path: str) -> None:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        lines = lines_of(table(spark, sf_dir, "documents"), "text")
+        lines = lines_of(table(spark, sf_dir, "documents", spread_rows=True), "text")
         # The encoded bytes are written as they are: a string column holds raw bytes.
         lines.select(F.encode("value", encoding).cast("string").alias("value")).write.text(path)
 

@@ -9,5 +9,21 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan plans fewer tasks than that.
+
+    A table stored as one file with one row group scans in a single task;
+    heavy per-row work after it (splitting texts, parsing lines) would then
+    run on one core. A table stored in many splits already has enough tasks
+    and is returned unchanged, so large inputs get no extra shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *, spread_rows: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df

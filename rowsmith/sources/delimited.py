@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from rowsmith.functions.text import is_blank, java_split
 from rowsmith.operators.fields import as_schema, typed_fields
 
+PARTS = "__fields"
+
 # Charsets Spark decodes without the legacy charset flag.
 STANDARD_CHARSETS = {"us-ascii", "iso-8859-1", "utf-8", "utf-16be", "utf-16le", "utf-16", "utf-32"}
 
@@ -96,10 +98,12 @@ def parse_delimited(
     """
     schema = as_schema(schema)
     line = F.col(line_col)
-    parts = java_split(line, delimiter)
-    fields = typed_fields(parts, schema, columns, null_value)
     carried = [F.col(k) for k in (keep or [])]
-    return lines.where(~is_blank(line)).select(*carried, *fields)
+    # The split array is its own projection: every field reads it, and
+    # Catalyst does not inline a costly expression that is used more than once.
+    split = lines.where(~is_blank(line)).select(*carried, java_split(line, delimiter).alias(PARTS))
+    fields = typed_fields(F.col(PARTS), schema, columns, null_value)
+    return split.select(*carried, *fields)
 
 
 def read_delimited(
