@@ -11,6 +11,8 @@ select, so an unused field is never parsed.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,18 +32,20 @@ def name_matches(pattern: str, on: str = "name") -> Column:
     return target.rlike(f"^(?:{pattern})$")
 
 
-def _decode(spark: SparkSession, value: Column, encoding: str, on_bad_bytes: str) -> Column:
+@contextmanager
+def _coding_errors(spark: SparkSession, encoding: str, on_bad_bytes: str):
+    """Session flags for a legacy-charset decode, held while the plan is analysed."""
+    if on_bad_bytes not in ("fail", "replace"):
+        raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
     if encoding.lower() not in STANDARD_CHARSETS:
         # Read by the decode expression when it runs, so it stays set.
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    if on_bad_bytes not in ("fail", "replace"):
-        raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
     key = "spark.sql.legacy.codingErrorAction"
     before = spark.conf.get(key, "false")
-    # Captured when the expression is built: set it for this plan only.
+    # Captured when the decode expression is analysed: set it for this plan only.
     spark.conf.set(key, "true" if on_bad_bytes == "replace" else "false")
     try:
-        return F.decode(value.cast("binary"), encoding)
+        yield
     finally:
         spark.conf.set(key, before)
 
@@ -70,14 +74,18 @@ def read_lines(
     if pattern is not None:
         df = df.where(name_matches(pattern, pattern_on))
     value = F.col("value")
-    if encoding.replace("_", "-").lower() not in ("utf-8", "utf8"):
-        value = _decode(spark, value, encoding, on_bad_bytes)
+    decode = encoding.replace("_", "-").lower() not in ("utf-8", "utf8")
+    if decode:
+        value = F.decode(value.cast("binary"), encoding)
     if strip_cr:
         value = F.replace(value, F.lit("\r"), F.lit(""))
     cols = [value.alias("value")]
     if with_file:
         cols += [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")]
-    return df.select(*cols)
+    if not decode:
+        return df.select(*cols)
+    with _coding_errors(spark, encoding, on_bad_bytes):
+        return df.select(*cols)
 
 
 def parse_delimited(
