@@ -101,6 +101,14 @@ SELECT printf('docs-%06d.zip', l.g) AS file_name, line_no, value FROM l LEFT JOI
 WHERE (s.stop IS NULL OR line_no < s.stop) AND NOT {BLANK('value')}
 """
 
+SPLIT_ARCHIVE_SCAN = f"""
+WITH {_DOC_ARCHIVE_LINES},
+s AS (SELECT g, min(line_no) AS stop FROM l
+      WHERE value = '{_SENTINEL}' AND line_no >= {Q.HEADER_FIRST_DATA_LINE} GROUP BY g)
+SELECT printf('docs-%06d.zip', l.g) AS file_name, line_no, value FROM l LEFT JOIN s ON l.g = s.g
+WHERE line_no >= {Q.HEADER_FIRST_DATA_LINE} AND (s.stop IS NULL OR line_no < s.stop) AND NOT {BLANK('value')}
+"""
+
 SPLIT_INVARIANT_SCAN = """
 SELECT l_returnflag, l_linestatus, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
        CAST(sum(l_linenumber) AS BIGINT) AS sum_linenumber,
@@ -170,6 +178,7 @@ def oracle_sql() -> dict[str, str]:
         "skip_header_lines": SKIP_HEADER_LINES,
         "stop_at_sentinel": STOP_AT_SENTINEL,
         "zip_scan": LINEITEM_ROWS,
+        "split_archive_scan": SPLIT_ARCHIVE_SCAN,
         "delimited_scan": LINEITEM_ROWS,
         "multi_file_scan": LINEITEM_ROWS,
         "split_invariant_scan": SPLIT_INVARIANT_SCAN,

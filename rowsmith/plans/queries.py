@@ -72,6 +72,24 @@ def q_stop_at_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.where(~is_blank("value")).select("file_name", "line_no", "value")
 
 
+# Unit size for the split-archive query: several units per archive at every scale factor.
+ARCHIVE_UNIT_BYTES = 16 * 1024
+
+
+def q_split_archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + F2 + F3 on the unit-parallel path: every archive is treated as large and read in
+    units of a few entries by parallel tasks, with header and sentinel rules across units."""
+    lines = read_archive_lines(
+        spark,
+        staging.document_archives(spark, sf_dir),
+        first_data_line=HEADER_FIRST_DATA_LINE,
+        sentinel=SENTINEL_LINE,
+        split_bytes=0,
+        unit_bytes=ARCHIVE_UNIT_BYTES,
+    )
+    return lines.where(~is_blank("value")).select("file_name", "line_no", "value")
+
+
 def q_zip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + F5: zip archives of lineitem lines as a typed table."""
     return read_archives(spark, staging.lineitem_archives(spark, sf_dir), staging.LINEITEM_SCHEMA)
@@ -271,6 +289,7 @@ def queries() -> dict[str, Query]:
         "skip_header_lines": q_skip_header_lines,
         "stop_at_sentinel": q_stop_at_sentinel,
         "zip_scan": q_zip_scan,
+        "split_archive_scan": q_split_archive_scan,
         "delimited_scan": q_delimited_scan,
         "multi_file_scan": q_multi_file_scan,
         "split_invariant_scan": q_split_invariant_scan,

@@ -21,6 +21,7 @@ import zipfile
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsmith.operators.fields import as_schema
@@ -31,6 +32,9 @@ LINES_SCHEMA = "file_path string, file_name string, line_no bigint, value string
 BATCH_LINES = 8192
 BATCH_BYTES = 4 << 20
 CHUNK = 1 << 20
+# Archives above SPLIT_BYTES (compressed) are read in parallel units of about UNIT_BYTES (uncompressed).
+SPLIT_BYTES = 256 << 20
+UNIT_BYTES = 256 << 20
 
 
 def open_archive(uri: str):
@@ -58,8 +62,12 @@ def _entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
             yield b"\n"
 
 
-def raw_lines(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """Split a byte stream at ``\\n``, ``\\r`` and ``\\r\\n`` like ``readLine`` (no empty last line)."""
+def terminated_lines(chunks: Iterator[bytes]) -> Iterator[tuple[bool, bytes]]:
+    """Split a byte stream at ``\\n``, ``\\r`` and ``\\r\\n`` like ``readLine``.
+
+    Yields ``(True, line)`` for every line closed by a line end, then one
+    ``(False, rest)`` with the bytes after the last line end (maybe empty).
+    """
     carry = b""
     for chunk in chunks:
         data = carry + chunk if carry else chunk
@@ -74,9 +82,18 @@ def raw_lines(chunks: Iterator[bytes]) -> Iterator[bytes]:
         else:
             carry = b""
         for p in pieces:
-            yield p.rstrip(b"\r\n")
-    if carry:
-        yield carry.rstrip(b"\r\n") if carry.endswith(b"\r") else carry
+            yield True, p.rstrip(b"\r\n")
+    if carry.endswith(b"\r"):
+        yield True, carry[:-1]
+        carry = b""
+    yield False, carry
+
+
+def raw_lines(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The lines ``readLine`` returns for a byte stream (a final unterminated line only if non-empty)."""
+    for closed, line in terminated_lines(chunks):
+        if closed or line:
+            yield line
 
 
 def archive_lines(
@@ -172,18 +189,23 @@ def read_archive_lines(
     on_bad_archive: str = "fail",
     encoding: str = "utf-8",
     partitions: int | None = None,
+    split_bytes: int = SPLIT_BYTES,
+    unit_bytes: int = UNIT_BYTES,
 ) -> DataFrame:
     """Lines of every archive: ``file_path, file_name, line_no, value`` (blank lines kept).
 
     ``line_no`` is the physical line number in the archive's continuous
     text. ``on_bad_archive='skip'`` reads a file that is not a zip as empty.
+    Archives larger than ``split_bytes`` are read in parallel in units of
+    about ``unit_bytes`` of entries (see ``archive_units``); the rest are
+    read one archive per task in a single pass.
     """
     if on_bad_archive not in ("fail", "skip"):
         raise ValueError("on_bad_archive must be 'fail' or 'skip'")
     if first_data_line < 1:
         raise ValueError("first_data_line starts at 1")
     n = partitions or spark.sparkContext.defaultParallelism
-    listing = list_archives(spark, path, pattern, pattern_on).select("path").repartition(n)
+    listing = list_archives(spark, path, pattern, pattern_on)
     opts = {
         "first_data_line": first_data_line,
         "sentinel": sentinel,
@@ -191,7 +213,15 @@ def read_archive_lines(
         "on_bad_archive": on_bad_archive,
         "encoding": encoding,
     }
-    return listing.mapInArrow(_lines_task(opts), LINES_SCHEMA)
+    small = listing.where(F.col("length") <= split_bytes).select("path").repartition(n)
+    lines = small.mapInArrow(_lines_task(opts), LINES_SCHEMA)
+    large = listing.where(F.col("length") > split_bytes).select("path")
+    # A listing-only check (no archive content is read): plan the unit path only when needed.
+    if large.limit(1).count() == 0:
+        return lines
+    from rowsmith.sources.archive_units import read_large_archive_lines
+
+    return lines.unionByName(read_large_archive_lines(large, opts, unit_bytes, n))
 
 
 def read_archives(

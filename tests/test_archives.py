@@ -124,3 +124,51 @@ def test_archive_lines_streams_in_bounded_batches(spark, tmp_path, monkeypatch):
     df = read_archives(spark, d, "n bigint, v string")
     assert df.count() == 60000
     assert blank_model("") and not blank_model("x")
+
+
+def _random_archives(d, seed, n_archives=4):
+    import random
+
+    rnd = random.Random(seed)
+    alphabet = ["a", "b", "EOF", "\n", "\r", "\r\n", " ", "é", "", "x,1"]
+    for k in range(n_archives):
+        entries = []
+        for e in range(rnd.randint(0, 9)):
+            body = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
+            entries.append((f"e{e}.txt", body))
+        if rnd.random() < 0.3:
+            entries.insert(rnd.randint(0, len(entries)), (f"lf{k}.txt", "\nEOF\n"))
+        _zip(f"{d}/r{seed}_{k}.zip", entries, dirs=["sub/"] if rnd.random() < 0.3 else ())
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("first,sentinel,entry_newline", [(1, "EOF", False), (3, "EOF", False), (2, None, False), (4, "b", True)])
+def test_unit_parallel_path_equals_single_task(spark, tmp_path, seed, first, sentinel, entry_newline):
+    d = str(tmp_path / "z")
+    _random_archives(d, seed)
+    kw = dict(first_data_line=first, sentinel=sentinel, entry_newline=entry_newline)
+    single = _lines(spark, d, **kw)
+    units = _lines(spark, d, split_bytes=0, unit_bytes=1, **kw)
+    assert units == single
+    # and both equal the model of one continuous stream per archive
+    import glob
+    import zipfile as zf_
+
+    expect = []
+    for path in sorted(glob.glob(f"{d}/*.zip")):
+        with zf_.ZipFile(path) as z:
+            ents = [(i.filename, z.read(i)) for i in z.infolist() if not i.is_dir()]
+        if entry_newline:
+            ents = [(n, b + b"\n" if b and b[-1:] not in (b"\n", b"\r") else b) for n, b in ents]
+        for no, line in _model(ents, first, sentinel):
+            expect.append((os.path.basename(path), no, line))
+    assert single == sorted(expect)
+
+
+def test_unit_path_crlf_between_units(spark, tmp_path):
+    d = str(tmp_path / "z")
+    entries = [("a", "x\r"), ("b", ""), ("c", "\ny\r"), ("d", "\r\n"), ("e", "z")]
+    _zip(f"{d}/c.zip", entries)
+    assert _lines(spark, d, split_bytes=0, unit_bytes=1) == _lines(spark, d) == [
+        ("c.zip", n, v) for n, v in _model(entries)
+    ]
