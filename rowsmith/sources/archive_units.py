@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.session import checkpoint_root
-from rowsmith.sources.archives import BATCH_BYTES, BATCH_LINES, CHUNK, LINES_SCHEMA, open_archive, terminated_lines
+from rowsmith.sources.archives import BATCH_LINES, CHUNK, LINES_SCHEMA, decode_array, line_arrays, open_archive
 
 UNITS_SCHEMA = "file_path string, unit int, first_entry int, last_entry int"
 SUMMARY_SCHEMA = (
@@ -96,9 +96,12 @@ def _units_task(unit_bytes: int, on_bad_archive: str):
 
 
 def _summary_task(opts: dict):
+    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     first_data_line, sentinel, enc = opts["first_data_line"], opts["sentinel"], opts["encoding"]
+    sent = None if sentinel is None else pa.scalar(sentinel.encode(enc), pa.large_binary())
 
     def run(batches):
         rows = {k: [] for k in ("file_path", "unit", "first_entry", "last_entry", "has_term", "head", "tail", "n_inner", "starts_lf", "ends_cr", "hits")}
@@ -108,7 +111,7 @@ def _summary_task(opts: dict):
                 if zf is None:
                     continue
                 with fh, zf:
-                    head, n_closed, hits, rest, first_byte, last_byte = None, 0, [], b"", b"", b""
+                    first_byte, last_byte = b"", b""
                     chunks = _unit_chunks(zf, first, last, opts["entry_newline"])
 
                     def watched():
@@ -119,18 +122,24 @@ def _summary_task(opts: dict):
                             last_byte = c[-1:]
                             yield c
 
-                    for closed, line in terminated_lines(watched()):
-                        if not closed:
-                            rest = line
-                            break
-                        n_closed += 1
-                        if n_closed == 1:
-                            head = line
-                            continue
-                        inner_no = n_closed - 1
-                        if sentinel is not None and (len(hits) < first_data_line) and line.decode(enc, "replace") == sentinel:
-                            if inner_no < first_data_line or not any(h >= first_data_line for h in hits):
+                    head, n_closed, hits = None, 0, []
+                    blocks = line_arrays(watched())
+                    pending = next(blocks)
+                    for block in blocks:
+                        closed, pending = pending, block
+                        if head is None:
+                            head = closed[0].as_py()
+                        # closed line number c (1-based in the unit) is inner line c - 1
+                        if sent is not None and not any(h >= first_data_line for h in hits):
+                            for pos in np.flatnonzero(pc.equal(closed, sent).to_numpy(zero_copy_only=False)):
+                                if n_closed == 0 and pos == 0:
+                                    continue
+                                inner_no = n_closed + int(pos)
                                 hits.append(inner_no)
+                                if inner_no >= first_data_line:
+                                    break
+                        n_closed += len(closed)
+                    rest = pending[0].as_py()
                 has_term = n_closed > 0
                 values = (
                     uri, unit, first, last, has_term, head if has_term else rest, rest, max(n_closed - 1, 0),
@@ -201,27 +210,32 @@ def _plan(summary: DataFrame, first_data_line: int, sentinel: str | None, encodi
     )
 
 
-def _lines_task(opts: dict):
+def _one(raw: bytes):
+    import pyarrow as pa
+
+    return pa.array([raw], pa.large_binary())
+
+
+def _batch(uri: str, name: str, first_no: int, lines, encoding: str):
+    import numpy as np
     import pyarrow as pa
 
+    n = len(lines)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([uri] * n, pa.string()),
+            pa.array([name] * n, pa.string()),
+            pa.array(np.arange(first_no, first_no + n, dtype=np.int64)),
+            decode_array(lines, encoding),
+        ],
+        names=["file_path", "file_name", "line_no", "value"],
+    )
+
+
+def _lines_task(opts: dict):
     d, enc = opts["first_data_line"], opts["encoding"]
-    names = ["file_path", "file_name", "line_no", "value"]
 
     def run(batches):
-        cols = {k: [] for k in names}
-        size = 0
-
-        def flush():
-            nonlocal cols, size
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(cols["file_path"], pa.string()), pa.array(cols["file_name"], pa.string()),
-                 pa.array(cols["line_no"], pa.int64()), pa.array(cols["value"], pa.string())],
-                names=names,
-            )
-            cols = {k: [] for k in names}
-            size = 0
-            return out
-
         fields = ["file_path", "unit", "first_entry", "last_entry", "has_term", "s_exists", "s_text", "s_no",
                   "offset", "emits_final", "f_text", "f_no", "stop_no"]
         for batch in batches:
@@ -232,47 +246,32 @@ def _lines_task(opts: dict):
                 def keep(no):
                     return no >= d and (stop is None or no < stop)
 
-                out = []
                 if s_exists and keep(s_no):
-                    out.append((s_no, s_text.decode(enc, "replace")))
+                    yield _batch(uri, name, s_no, _one(s_text), enc)
                 start = offset + (1 if s_exists else 0)
                 if has_term and (stop is None or start + 1 < stop):
                     fh, zf = _open_zip(uri, opts["on_bad_archive"])
                     if zf is not None:
                         with fh, zf:
-                            n_closed = 0
-                            for closed, line in terminated_lines(_unit_chunks(zf, first, last, opts["entry_newline"])):
-                                if not closed:
-                                    break
-                                n_closed += 1
-                                if n_closed == 1:
-                                    continue
-                                no = start + n_closed - 1
-                                if stop is not None and no >= stop:
+                            blocks = line_arrays(_unit_chunks(zf, first, last, opts["entry_newline"]))
+                            pending, n_closed, done = next(blocks), 0, False
+                            for block in blocks:
+                                closed, pending = pending, block
+                                # closed line c (1-based) is line start + c - 1; the first is the head
+                                lo = 1 if n_closed == 0 else 0
+                                first_no = start + n_closed + lo
+                                lines = closed.slice(lo)
+                                n_closed += len(closed)
+                                if d > first_no:
+                                    lines, first_no = lines.slice(min(d - first_no, len(lines))), d
+                                if stop is not None and first_no + len(lines) > stop:
+                                    lines, done = lines.slice(0, max(stop - first_no, 0)), True
+                                for i in range(0, len(lines), BATCH_LINES):
+                                    yield _batch(uri, name, first_no + i, lines.slice(i, BATCH_LINES), enc)
+                                if done:
                                     break
-                                if no >= d:
-                                    out.append((no, line.decode(enc, "replace")))
-                                if len(out) >= BATCH_LINES:
-                                    for no_, text in out:
-                                        cols["file_path"].append(uri)
-                                        cols["file_name"].append(name)
-                                        cols["line_no"].append(no_)
-                                        cols["value"].append(text)
-                                        size += len(text)
-                                    out = []
-                                    yield flush()
                 if emits_final and keep(f_no):
-                    out.append((f_no, f_text.decode(enc, "replace")))
-                for no_, text in out:
-                    cols["file_path"].append(uri)
-                    cols["file_name"].append(name)
-                    cols["line_no"].append(no_)
-                    cols["value"].append(text)
-                    size += len(text)
-                if len(cols["value"]) >= BATCH_LINES or size >= BATCH_BYTES:
-                    yield flush()
-        if cols["value"]:
-            yield flush()
+                    yield _batch(uri, name, f_no, _one(f_text), enc)
 
     return run
 

@@ -62,31 +62,145 @@ def _entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
             yield b"\n"
 
 
-def terminated_lines(chunks: Iterator[bytes]) -> Iterator[tuple[bool, bytes]]:
-    """Split a byte stream at ``\\n``, ``\\r`` and ``\\r\\n`` like ``readLine``.
+def line_blocks(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
+    """Split a byte stream at ``\\n``, ``\\r`` and ``\\r\\n`` like ``readLine``, a chunk at a time.
 
-    Yields ``(True, line)`` for every line closed by a line end, then one
-    ``(False, rest)`` with the bytes after the last line end (maybe empty).
+    Yields lists of lines closed by a line end (line ends removed), then a
+    last one-element list with the bytes after the final line end (maybe
+    empty). A ``\\r`` that ends a chunk is held so that a ``\\n`` opening the
+    next chunk is read as the same line end.
     """
     carry = b""
+    skip_lf = False
     for chunk in chunks:
+        if skip_lf and chunk:
+            skip_lf = False
+            if chunk[:1] == b"\n":
+                chunk = chunk[1:]
+        if not chunk:
+            continue
         data = carry + chunk if carry else chunk
-        pieces = data.splitlines(True)
-        if not pieces:
+        lines = data.splitlines()
+        last = data[-1:]
+        if last == b"\r":
+            skip_lf, carry = True, b""
+        elif last == b"\n":
             carry = b""
-            continue
-        last = pieces[-1]
-        if last.endswith(b"\r") or not last.endswith((b"\n", b"\r")):
-            carry = last
-            pieces.pop()
         else:
-            carry = b""
-        for p in pieces:
-            yield True, p.rstrip(b"\r\n")
-    if carry.endswith(b"\r"):
-        yield True, carry[:-1]
-        carry = b""
-    yield False, carry
+            carry = lines.pop()
+        if lines:
+            yield lines
+    yield [carry]
+
+
+def line_arrays(chunks: Iterator[bytes]):
+    """Like ``line_blocks``, but each block is an Arrow binary array built with numpy.
+
+    Every ``\\r`` and ``\\n`` byte belongs to a line end (a line cannot hold
+    one), so the line bodies are the chunk without those bytes, and a line's
+    end offset is the count of body bytes before its line end. A line end is
+    a ``\\n``, or a ``\\r`` not followed by ``\\n``. No Python runs per line.
+    The last block is a one-element array with the bytes after the final
+    line end (maybe empty).
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    carry = b""
+    skip_lf = False
+    for chunk in chunks:
+        if skip_lf and chunk:
+            skip_lf = False
+            if chunk[:1] == b"\n":
+                chunk = chunk[1:]
+        if not chunk:
+            continue
+        data = carry + chunk if carry else chunk
+        buf = np.frombuffer(data, dtype=np.uint8)
+        lf = buf == 10
+        cr = buf == 13
+        ends_line = lf.copy()
+        ends_line[:-1] |= cr[:-1] & ~lf[1:]
+        last = data[-1:]
+        if last == b"\r":
+            ends_line[-1] = True
+            skip_lf = True
+        ends = np.flatnonzero(ends_line)
+        if len(ends) == 0:
+            carry = data
+            continue
+        body = ~(lf | cr)
+        body_before = np.cumsum(body, dtype=np.int64)
+        offsets = np.empty(len(ends) + 1, dtype=np.int64)
+        offsets[0] = 0
+        offsets[1:] = body_before[ends]
+        tail_start = int(ends[-1]) + 1
+        content = buf[: tail_start][body[: tail_start]]
+        yield pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(content.tobytes())]
+        )
+        carry = data[tail_start:]
+    yield pa.array([carry], pa.large_binary())
+
+
+def decode_array(lines, encoding: str):
+    """Arrow string array of binary lines; bad bytes become U+FFFD as the JVM reader does."""
+    import pyarrow as pa
+
+    if encoding.replace("_", "-").lower() in ("utf-8", "utf8"):
+        try:
+            return lines.cast(pa.large_string()).cast(pa.string())
+        except (pa.ArrowInvalid, UnicodeDecodeError):
+            pass
+    return pa.array([x.decode(encoding, "replace") for x in lines.to_pylist()], pa.string())
+
+
+def numbered_arrays(chunks: Iterator[bytes], first_data_line: int, sentinel: bytes | None):
+    """``(number of the first line, binary array)`` blocks after the header and sentinel rules."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    next_no = 1
+    blocks = line_arrays(chunks)
+    pending = next(blocks)
+    sent = None if sentinel is None else pa.scalar(sentinel, pa.large_binary())
+
+    def rules(start, arr):
+        skip = first_data_line - start
+        if skip >= len(arr):
+            return None, False
+        if skip > 0:
+            arr, start = arr.slice(skip), start + skip
+        stopped = False
+        if sent is not None:
+            k = pc.index(arr, sent).as_py()
+            if k >= 0:
+                arr, stopped = arr.slice(0, k), True
+        return ((start, arr) if len(arr) else None), stopped
+
+    for block in blocks:
+        done, pending = pending, block
+        kept, stopped = rules(next_no, done)
+        if kept:
+            yield kept
+        if stopped:
+            return
+        next_no += len(done)
+    if len(pending[0].as_py()):
+        kept, _ = rules(next_no, pending)
+        if kept:
+            yield kept
+
+
+def terminated_lines(chunks: Iterator[bytes]) -> Iterator[tuple[bool, bytes]]:
+    """``(True, line)`` for every line closed by a line end, then ``(False, rest)``."""
+    prev = None
+    for block in line_blocks(chunks):
+        if prev is not None:
+            for line in prev:
+                yield True, line
+        prev = block
+    yield False, prev[0]
 
 
 def raw_lines(chunks: Iterator[bytes]) -> Iterator[bytes]:
@@ -105,39 +219,37 @@ def archive_lines(
     encoding: str = "utf-8",
 ) -> Iterator[tuple[int, str]]:
     """``(line_no, line)`` of one archive after the header and sentinel rules (blank lines kept)."""
-    line_no = 0
-    for raw in raw_lines(_entry_chunks(zf, entry_newline)):
-        line_no += 1
-        if line_no < first_data_line:
+    for start, lines in _archive_blocks(zf, first_data_line, sentinel, entry_newline, encoding):
+        for i, text in enumerate(decode_array(lines, encoding).to_pylist()):
+            yield start + i, text
+
+
+def _archive_blocks(zf, first_data_line, sentinel, entry_newline, encoding):
+    import pyarrow as pa
+
+    chunks = _entry_chunks(zf, entry_newline)
+    if sentinel is None or "\ufffd" not in sentinel:
+        sent = None if sentinel is None else sentinel.encode(encoding)
+        yield from numbered_arrays(chunks, first_data_line, sent)
+        return
+    # A sentinel holding U+FFFD can equal a badly encoded line: compare decoded text.
+    no = 0
+    for raw in raw_lines(chunks):
+        no += 1
+        if no < first_data_line:
             continue
-        text = raw.decode(encoding, "replace")
-        if sentinel is not None and text == sentinel:
+        if raw.decode(encoding, "replace") == sentinel:
             return
-        yield line_no, text
+        yield no, pa.array([raw], pa.large_binary())
 
 
 def _lines_task(opts: dict):
+    import numpy as np
     import pyarrow as pa
 
-    def run(batches):
-        cols: dict[str, list] = {"file_path": [], "file_name": [], "line_no": [], "value": []}
-        size = 0
-
-        def flush():
-            nonlocal cols, size
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(cols["file_path"], pa.string()),
-                    pa.array(cols["file_name"], pa.string()),
-                    pa.array(cols["line_no"], pa.int64()),
-                    pa.array(cols["value"], pa.string()),
-                ],
-                names=list(cols),
-            )
-            cols = {k: [] for k in cols}
-            size = 0
-            return out
+    names = ["file_path", "file_name", "line_no", "value"]
 
+    def run(batches):
         for batch in batches:
             for uri in batch.column("path").to_pylist():
                 name = uri.rsplit("/", 1)[-1]
@@ -149,22 +261,22 @@ def _lines_task(opts: dict):
                             continue
                         raise ValueError(f"not a zip archive: {uri}") from None
                     with zf:
-                        for no, text in archive_lines(
-                            zf,
-                            first_data_line=opts["first_data_line"],
-                            sentinel=opts["sentinel"],
-                            entry_newline=opts["entry_newline"],
-                            encoding=opts["encoding"],
-                        ):
-                            cols["file_path"].append(uri)
-                            cols["file_name"].append(name)
-                            cols["line_no"].append(no)
-                            cols["value"].append(text)
-                            size += len(text)
-                            if len(cols["value"]) >= BATCH_LINES or size >= BATCH_BYTES:
-                                yield flush()
-        if cols["value"]:
-            yield flush()
+                        blocks = _archive_blocks(
+                            zf, opts["first_data_line"], opts["sentinel"], opts["entry_newline"], opts["encoding"]
+                        )
+                        for start, lines in blocks:
+                            for i in range(0, len(lines), BATCH_LINES):
+                                part = lines.slice(i, BATCH_LINES)
+                                n = len(part)
+                                yield pa.RecordBatch.from_arrays(
+                                    [
+                                        pa.array([uri] * n, pa.string()),
+                                        pa.array([name] * n, pa.string()),
+                                        pa.array(np.arange(start + i, start + i + n, dtype=np.int64)),
+                                        decode_array(part, opts["encoding"]),
+                                    ],
+                                    names=names,
+                                )
 
     return run
 

@@ -172,3 +172,30 @@ def test_unit_path_crlf_between_units(spark, tmp_path):
     assert _lines(spark, d, split_bytes=0, unit_bytes=1) == _lines(spark, d) == [
         ("c.zip", n, v) for n, v in _model(entries)
     ]
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 5])
+def test_block_rules_across_tiny_chunks(spark, tmp_path, monkeypatch, chunk):
+    import glob
+    import zipfile as zf_
+
+    d = str(tmp_path / "z")
+    for seed in range(3):
+        _random_archives(d, 100 + seed)
+    monkeypatch.setattr(A, "CHUNK", chunk)
+    for first, sentinel in [(1, "EOF"), (3, "EOF"), (2, None), (5, "a")]:
+        got = _lines(spark, d, first_data_line=first, sentinel=sentinel)
+        expect = []
+        for path in sorted(glob.glob(f"{d}/*.zip")):
+            with zf_.ZipFile(path) as z:
+                ents = [(i.filename, z.read(i)) for i in z.infolist() if not i.is_dir()]
+            expect += [(os.path.basename(path), no, line) for no, line in _model(ents, first, sentinel)]
+        assert got == sorted(expect), (first, sentinel)
+        units = _lines(spark, d, first_data_line=first, sentinel=sentinel, split_bytes=0, unit_bytes=7)
+        assert units == got, (first, sentinel)
+
+
+def test_invalid_utf8_is_replaced(spark, tmp_path):
+    d = str(tmp_path / "z")
+    _zip(f"{d}/b.zip", [("a", b"ok\n\xff\xfebad\n\xc3\xa9\n")])
+    assert [v for _, _, v in _lines(spark, d)] == ["ok", "��bad", "é"]
