@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators.words import lines_of
 from rowsmith.plans.tables import table
-from rowsmith.session import file_system, scratch_path
+from rowsmith.session import checkpoint_root, default_parallelism, file_system, scratch_path
 from rowsmith.sinks.delimited import format_lines, write_delimited
 
 # Fixed values of the staged sets (the oracle SQL uses the same numbers).
@@ -38,7 +38,7 @@ _staged: dict[tuple[str, str, str], str] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (checkpoint_root(spark), os.path.abspath(sf_dir), name)
     with _lock:
         if key not in _staged:
             path = scratch_path(spark, name)
@@ -189,7 +189,7 @@ def write_archives(df: DataFrame, path: str, *, prefix: str, partitions: int | N
     renamed when complete, so a retried task leaves no partial archive.
     """
     spark = df.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions or default_parallelism(spark)
     staged = df.repartition(n, "archive").sortWithinPartitions("archive", "seq").select("archive", "entry", "body")
     summary = staged.mapInArrow(_zip_writer(path, prefix), "archive bigint, path string, entries bigint, bytes bigint")
     summary.agg(F.sum("entries")).collect()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowsmith.session import default_parallelism
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -17,9 +19,12 @@ def spread(df: DataFrame) -> DataFrame:
     run on one core. A table stored in many splits already has enough tasks
     and is returned unchanged, so large inputs get no extra shuffle.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    cores = default_parallelism(df.sparkSession)
+    try:
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view: leave the plan as it is
+        return df
+    if planned >= cores:
         return df
     return df.repartition(cores)
 

@@ -37,17 +37,31 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only where none is named."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = tempfile.mkdtemp(prefix="rowsmith-checkpoints-")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", named)
+        return named
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (from the SparkContext, else from the session conf)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsmith.operators.fields import as_schema
-from rowsmith.session import file_system, local_path
+from rowsmith.session import default_parallelism, file_system, local_path
 from rowsmith.sources.delimited import name_matches, parse_delimited
 
 LINES_SCHEMA = "file_path string, file_name string, line_no bigint, value string"
@@ -316,7 +316,7 @@ def read_archive_lines(
         raise ValueError("on_bad_archive must be 'fail' or 'skip'")
     if first_data_line < 1:
         raise ValueError("first_data_line starts at 1")
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions or default_parallelism(spark)
     listing = list_archives(spark, path, pattern, pattern_on)
     opts = {
         "first_data_line": first_data_line,

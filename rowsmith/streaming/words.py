@@ -31,6 +31,11 @@ def text_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int |
     return r.load(path)
 
 
+def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """Lines read from a TCP socket (Spark's socket source: a debugging aid, not fault tolerant)."""
+    return spark.readStream.format("socket").option("host", host).option("port", str(port)).load()
+
+
 def message_stream(
     spark: SparkSession,
     bootstrap_servers: str,
