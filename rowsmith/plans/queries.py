@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from rowsmith.functions.text import format_line, is_blank, java_split
 from rowsmith.operators.audit import scan_audit
 from rowsmith.operators.events import accepted_bodies, event_envelope, message_values, report_event
-from rowsmith.operators.fields import as_schema, typed_fields
 from rowsmith.operators.words import lines_of, word_count, words
 from rowsmith.plans import staging
 from rowsmith.plans.tables import table

@@ -1,6 +1,5 @@
 """Zip archive reader on generated archives, against a model of the continuous-stream rules."""
 
-import io
 import os
 import zipfile
 
