@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowsmith.functions.text import tokens
 from rowsmith.operators.words import word_count
+from rowsmith.session import default_parallelism
 
 # Batch interval and preview size of the stream jobs.
 BATCH_INTERVAL = "3 seconds"
@@ -162,16 +163,26 @@ def run_interval_word_count(
     watermark: str | None = None,
     trigger: str | None = BATCH_INTERVAL,
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Stream the interval counts in update mode: each batch writes the windows it changed.
 
     Without ``watermark`` no row is ever late (the state keeps every
     window); with one, rows older than the watermark are dropped and closed
-    windows leave the state.
+    windows leave the state. The state is split into ``state_partitions``
+    (default: the cluster's task slots); a stream fixes that number when it
+    first starts, so it is set for the start only.
     """
     counts = interval_word_count(lines, ts_col, interval=interval, col=col, watermark=watermark)
     writer = counts.writeStream.outputMode("update").foreachBatch(_per_batch(out, lambda b: b))
-    return _start(writer, checkpoint, trigger, available_now)
+    spark = lines.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or default_parallelism(spark)))
+    try:
+        return _start(writer, checkpoint, trigger, available_now)
+    finally:
+        spark.conf.set(key, before)
 
 
 def latest_counts(spark: SparkSession, out: str) -> DataFrame:
