@@ -24,14 +24,20 @@ def write_delimited(
     mode: str = "errorifexists",
     partition_by: list[str] | None = None,
     compression: str | None = None,
+    balance: bool = True,
 ) -> str:
     """Write ``df`` as delimited text files (one part file per task, ``\\n`` line ends).
 
     The delimiter is written literally (the readers take a regex: escape
     regex characters such as ``|`` when reading back). ``partition_by``
-    columns become folder names and are left out of the lines.
+    columns become folder names and are left out of the lines; with
+    ``balance`` the rows are first rebalanced on them, so adaptive execution
+    splits a very large folder over several tasks and merges small ones
+    instead of every task writing a small file into every folder.
     """
     lines = format_lines(df, delimiter, keep=partition_by)
+    if partition_by and balance:
+        lines = lines.hint("rebalance", *partition_by)
     writer = lines.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
