@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.session import checkpoint_root
-from rowsmith.sources.archives import BATCH_LINES, CHUNK, LINES_SCHEMA, decode_array, line_arrays, open_archive
+from rowsmith.sources.archives import BATCH_LINES, CHUNK, LINES_SCHEMA, decode_array, file_columns, line_arrays, open_archive
 
 UNITS_SCHEMA = "file_path string, unit int, first_entry int, last_entry int"
 SUMMARY_SCHEMA = (
@@ -216,15 +216,14 @@ def _one(raw: bytes):
     return pa.array([raw], pa.large_binary())
 
 
-def _batch(uri: str, name: str, first_no: int, lines, encoding: str):
+def _batch(uri: str, name: str, first_no: int, lines, encoding: str, with_file: bool = True):
     import numpy as np
     import pyarrow as pa
 
     n = len(lines)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([uri] * n, pa.string()),
-            pa.array([name] * n, pa.string()),
+            *file_columns(uri, name, n, with_file),
             pa.array(np.arange(first_no, first_no + n, dtype=np.int64)),
             decode_array(lines, encoding),
         ],
@@ -234,6 +233,7 @@ def _batch(uri: str, name: str, first_no: int, lines, encoding: str):
 
 def _lines_task(opts: dict):
     d, enc = opts["first_data_line"], opts["encoding"]
+    wf = opts.get("with_file", True)
 
     def run(batches):
         fields = ["file_path", "unit", "first_entry", "last_entry", "has_term", "s_exists", "s_text", "s_no",
@@ -247,7 +247,7 @@ def _lines_task(opts: dict):
                     return no >= d and (stop is None or no < stop)
 
                 if s_exists and keep(s_no):
-                    yield _batch(uri, name, s_no, _one(s_text), enc)
+                    yield _batch(uri, name, s_no, _one(s_text), enc, wf)
                 start = offset + (1 if s_exists else 0)
                 if has_term and (stop is None or start + 1 < stop):
                     fh, zf = _open_zip(uri, opts["on_bad_archive"])
@@ -267,11 +267,11 @@ def _lines_task(opts: dict):
                                 if stop is not None and first_no + len(lines) > stop:
                                     lines, done = lines.slice(0, max(stop - first_no, 0)), True
                                 for i in range(0, len(lines), BATCH_LINES):
-                                    yield _batch(uri, name, first_no + i, lines.slice(i, BATCH_LINES), enc)
+                                    yield _batch(uri, name, first_no + i, lines.slice(i, BATCH_LINES), enc, wf)
                                 if done:
                                     break
                 if emits_final and keep(f_no):
-                    yield _batch(uri, name, f_no, _one(f_text), enc)
+                    yield _batch(uri, name, f_no, _one(f_text), enc, wf)
 
     return run
 

@@ -243,6 +243,16 @@ def _archive_blocks(zf, first_data_line, sentinel, entry_newline, encoding):
         yield no, pa.array([raw], pa.large_binary())
 
 
+def file_columns(uri: str, name: str, n: int, with_file: bool):
+    """``file_path, file_name`` of ``n`` lines: the values, or all-null columns when not wanted
+    (a Python task's output is not pruned, so unwanted columns should cost nothing)."""
+    import pyarrow as pa
+
+    if not with_file:
+        return [pa.nulls(n, pa.string()), pa.nulls(n, pa.string())]
+    return [pa.array([uri] * n, pa.string()), pa.array([name] * n, pa.string())]
+
+
 def _lines_task(opts: dict):
     import numpy as np
     import pyarrow as pa
@@ -270,8 +280,7 @@ def _lines_task(opts: dict):
                                 n = len(part)
                                 yield pa.RecordBatch.from_arrays(
                                     [
-                                        pa.array([uri] * n, pa.string()),
-                                        pa.array([name] * n, pa.string()),
+                                        *file_columns(uri, name, n, opts["with_file"]),
                                         pa.array(np.arange(start + i, start + i + n, dtype=np.int64)),
                                         decode_array(part, opts["encoding"]),
                                     ],
@@ -303,6 +312,7 @@ def read_archive_lines(
     partitions: int | None = None,
     split_bytes: int = SPLIT_BYTES,
     unit_bytes: int = UNIT_BYTES,
+    with_file: bool = True,
 ) -> DataFrame:
     """Lines of every archive: ``file_path, file_name, line_no, value`` (blank lines kept).
 
@@ -310,7 +320,8 @@ def read_archive_lines(
     text. ``on_bad_archive='skip'`` reads a file that is not a zip as empty.
     Archives larger than ``split_bytes`` are read in parallel in units of
     about ``unit_bytes`` of entries (see ``archive_units``); the rest are
-    read one archive per task in a single pass.
+    read one archive per task in a single pass. ``with_file=False`` leaves
+    ``file_path`` and ``file_name`` null.
     """
     if on_bad_archive not in ("fail", "skip"):
         raise ValueError("on_bad_archive must be 'fail' or 'skip'")
@@ -324,6 +335,7 @@ def read_archive_lines(
         "entry_newline": entry_newline,
         "on_bad_archive": on_bad_archive,
         "encoding": encoding,
+        "with_file": with_file,
     }
     small = listing.where(F.col("length") <= split_bytes).select("path").repartition(n)
     lines = small.mapInArrow(_lines_task(opts), LINES_SCHEMA)
@@ -348,6 +360,6 @@ def read_archives(
     **archive_options,
 ) -> DataFrame:
     """Zip archives of delimited lines as a typed table (blank lines dropped)."""
-    lines = read_archive_lines(spark, path, **archive_options)
+    lines = read_archive_lines(spark, path, with_file=with_file, **archive_options)
     keep = ["file_path", "file_name"] if with_file else None
     return parse_delimited(lines, as_schema(schema), columns=columns, delimiter=delimiter, null_value=null_value, keep=keep)
