@@ -90,3 +90,23 @@ def file_system(uri: str):
     if lp is not None:
         return pafs.LocalFileSystem(), lp
     return pafs.FileSystem.from_uri(uri)
+
+
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Session settings sized for ``input_bytes`` of input on ``cores`` task slots.
+
+    Text is read in 128 MiB splits. The word-count shuffle starts with one
+    partition per 8 GiB of input (at least two per core, at most 20,000, so
+    the map-output index stays small) and adaptive execution merges them to
+    about 256 MiB each and splits skewed ones. 100 TB on 8,000 cores gives
+    about 12,000 shuffle partitions.
+    """
+    shuffle = max(2 * cores, min(20000, input_bytes // (8 << 30)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
