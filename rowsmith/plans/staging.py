@@ -157,8 +157,11 @@ def _zip_writer(target: str, prefix: str):
                 if k != current:
                     close()
                     current = k
-                    final = f"{root}/{prefix}-{k:06d}.zip"
-                    tmp = f"{final}.{uuid.uuid4().hex}.tmp"
+                    base = f"{prefix}-{k:06d}.zip"
+                    final = f"{root}/{base}"
+                    # Hidden while written: file listings skip names starting with a dot,
+                    # so a failed attempt's partial file is never read as an archive.
+                    tmp = f"{root}/.{base}.{uuid.uuid4().hex}.tmp"
                     fh = fs.open_output_stream(tmp)
                     zf = zipfile.ZipFile(fh, "w", zipfile.ZIP_DEFLATED)
                     entries = size = 0

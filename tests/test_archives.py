@@ -198,3 +198,20 @@ def test_invalid_utf8_is_replaced(spark, tmp_path):
     d = str(tmp_path / "z")
     _zip(f"{d}/b.zip", [("a", b"ok\n\xff\xfebad\n\xc3\xa9\n")])
     assert [v for _, _, v in _lines(spark, d)] == ["ok", "��bad", "é"]
+
+
+def test_partial_files_of_failed_writes_are_not_read(spark, tmp_path):
+    from rowsmith.plans.staging import write_archives
+
+    d = str(tmp_path / "w")
+    rows = spark.createDataFrame(
+        [(k // 3, f"e{k}.txt", f"{k},x\n", k) for k in range(9)], "archive bigint, entry string, body string, seq bigint"
+    )
+    write_archives(rows, d, prefix="t")
+    names = sorted(os.listdir(d))
+    assert names == ["t-000000.zip", "t-000001.zip", "t-000002.zip"]
+    # what a lost task would leave behind
+    with open(os.path.join(d, ".t-000003.zip.dead.tmp"), "wb") as f:
+        f.write(b"PK\x03\x04partial")
+    got = read_archives(spark, d, "n bigint, s string")
+    assert sorted(r.n for r in got.collect()) == list(range(9))
