@@ -45,6 +45,16 @@ SCRIPT = textwrap.dedent(
     assert retried == clean, "results differ after retries"
     assert len(clean[0]) == 3 * 4 * 50 - 3 * 2 - 50 and clean[0] == clean[1]
     print("RETRY-OK", len(clean[0]))
+
+    def always_fails(uri):
+        raise IOError("executor lost for good")
+
+    archives.open_archive = always_fails  # control: the swapped opener really runs in the tasks
+    try:
+        rows()
+        print("CONTROL-DID-NOT-FAIL")
+    except Exception:
+        print("CONTROL-FAILED")
     """
 )
 
@@ -54,3 +64,4 @@ def test_archive_reads_survive_task_retries(tmp_path):
     script = SCRIPT.format(repo=repo, data=str(tmp_path / "z"))
     out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600, cwd=str(tmp_path))
     assert "RETRY-OK" in out.stdout, out.stdout[-2000:] + out.stderr[-4000:]
+    assert "CONTROL-FAILED" in out.stdout
