@@ -100,7 +100,7 @@ def parse_long(c: ColumnOrName, name: str = "field") -> Column:
     c = _col(c)
     return (
         F.when(c.isNull(), F.lit(None).cast("bigint"))
-        .when(c.rlike("^[+-]?[0-9]+$"), c.cast("bigint"))
+        .when(c.rlike("^[+-]?[0-9]+\\z"), c.cast("bigint"))
         .otherwise(F.raise_error(F.concat(F.lit(f"BIGINT field '{name}' cannot parse: "), c)))
     )
 

@@ -26,6 +26,7 @@ A single entry is not split (a deflate stream has to be read from its start).
 from __future__ import annotations
 
 import zipfile
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -241,7 +242,7 @@ def _lines_task(opts: dict):
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in fields)):
                 uri, _, first, last, has_term, s_exists, s_text, s_no, offset, emits_final, f_text, f_no, stop = row
-                name = uri.rsplit("/", 1)[-1]
+                name = unquote(uri.rsplit("/", 1)[-1])
 
                 def keep(no):
                     return no >= d and (stop is None or no < stop)

@@ -18,6 +18,7 @@ archive is held whole in memory, and none passes through the driver.
 from __future__ import annotations
 
 import zipfile
+from urllib.parse import unquote
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -262,7 +263,7 @@ def _lines_task(opts: dict):
     def run(batches):
         for batch in batches:
             for uri in batch.column("path").to_pylist():
-                name = uri.rsplit("/", 1)[-1]
+                name = unquote(uri.rsplit("/", 1)[-1])
                 with open_archive(uri) as fh:
                     try:
                         zf = zipfile.ZipFile(fh)
