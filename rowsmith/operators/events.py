@@ -51,6 +51,18 @@ def write_events(envelope: DataFrame, bootstrap_servers: str, **options: str) ->
     w.save()
 
 
+def stream_events(envelope: DataFrame, bootstrap_servers: str, checkpoint: str, **options: str):
+    """Send a stream of envelope records to Kafka (at-least-once; needs the Spark Kafka connector)."""
+    w = (
+        envelope.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("checkpointLocation", checkpoint)
+    )
+    for k, v in options.items():
+        w = w.option(k, v)
+    return w.start()
+
+
 def message_values(messages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Drop the record key and keep the value as text."""
     return messages.select(*(keep or []), F.col("value").cast("string").alias("value"))
