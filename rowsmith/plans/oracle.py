@@ -161,6 +161,12 @@ EVENT_ENVELOPE = f"SELECT event_id, 'key' AS key, {REPORT} AS value, 'test' AS t
 
 KAFKA_VALUES = f"SELECT {REPORT} AS value FROM events"
 
+BATCHED_WORD_COUNT = f"""
+WITH lines AS (SELECT doc_id // {S.DOCS_PER_BUCKET} AS bucket, unnest({LINES('text')}) AS line FROM documents),
+words AS (SELECT bucket, unnest({WORDS('line')}) AS word FROM lines)
+SELECT bucket, word, count(*) AS cnt FROM words GROUP BY bucket, word
+"""
+
 ENCODED_SCAN = f"SELECT unnest({LINES('text')}) AS value FROM documents"
 
 INTERVAL_WORD_COUNT = f"""
@@ -197,5 +203,6 @@ def oracle_sql() -> dict[str, str]:
         "event_envelope": EVENT_ENVELOPE,
         "kafka_values": KAFKA_VALUES,
         "stream_word_count": WORD_COUNT,
+        "batched_word_count": BATCHED_WORD_COUNT,
         "interval_word_count": INTERVAL_WORD_COUNT,
     }

@@ -23,6 +23,7 @@ from rowsmith.sinks.delimited import format_lines, write_delimited
 ORDERS_PER_ARCHIVE = 2000
 ORDERS_PER_ENTRY = 100
 DOCS_PER_ARCHIVE = 25
+DOCS_PER_BUCKET = 100
 LINEITEM_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -76,6 +77,20 @@ def document_lines(spark: SparkSession, sf_dir: str) -> str:
     return _memo(spark, sf_dir, "document-lines", build)
 
 
+def document_lines_by_bucket(spark: SparkSession, sf_dir: str) -> str:
+    """Document lines in one file per bucket of ``DOCS_PER_BUCKET`` consecutive doc ids
+    (folders ``bucket=N``): buckets are bounded, and each is written by one task."""
+
+    def build(path: str) -> None:
+        docs = table(spark, sf_dir, "documents", spread_rows=True).select(
+            F.floor(F.col("doc_id") / DOCS_PER_BUCKET).cast("bigint").alias("bucket"), "text"
+        )
+        lines = lines_of(docs, "text", keep=["bucket"])
+        lines.repartition("bucket").write.partitionBy("bucket").text(path)
+
+    return _memo(spark, sf_dir, "document-lines-by-bucket", build)
+
+
 def document_paragraphs(spark: SparkSession, sf_dir: str) -> str:
     """Documents as text files, each followed by a blank line (paragraph-separated records)."""
 

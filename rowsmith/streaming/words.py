@@ -90,12 +90,17 @@ def batch_word_count(
     checkpoint: str,
     *,
     col: str = "value",
+    by: list[str] | None = None,
     trigger: str | None = BATCH_INTERVAL,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Word counts of every micro-batch on its own (no running total), one folder per batch."""
+    """Word counts of every micro-batch on its own (no running total), one folder per batch.
+
+    ``by`` adds grouping columns inside each batch (for example the source a
+    line came from).
+    """
     return _start(
-        lines.writeStream.foreachBatch(_per_batch(out, lambda b: word_count(b, col))),
+        lines.writeStream.foreachBatch(_per_batch(out, lambda b: word_count(b, col, by=by))),
         checkpoint,
         trigger,
         available_now,
