@@ -199,11 +199,12 @@ def _plan(summary: DataFrame, first_data_line: int, sentinel: str | None, encodi
     if sentinel is None:
         u = u.withColumn("stop_no", F.lit(None).cast("bigint"))
     else:
-        sent = F.lit(sentinel)
-        s_cand = F.when(F.col("s_exists") & (F.decode("s_text", encoding) == sent) & (F.col("s_no") >= d), F.col("s_no"))
+        # Raw bytes are compared (as in pass A): a line with bad bytes never fails the plan.
+        sent = F.lit(sentinel.encode(encoding))
+        s_cand = F.when(F.col("s_exists") & (F.col("s_text") == sent) & (F.col("s_no") >= d), F.col("s_no"))
         base = F.col("offset") + F.col("s_exists").cast("bigint")
         i_cand = F.array_min(F.filter(F.transform("hits", lambda h: base + h), lambda n: n >= d))
-        f_cand = F.when(F.col("emits_final") & (F.decode("f_text", encoding) == sent) & (F.col("f_no") >= d), F.col("f_no"))
+        f_cand = F.when(F.col("emits_final") & (F.col("f_text") == sent) & (F.col("f_no") >= d), F.col("f_no"))
         u = u.withColumn("stop_no", F.min(F.least(s_cand, i_cand, f_cand)).over(by_arch))
     return u.select(
         "file_path", "unit", "first_entry", "last_entry", "has_term", "s_exists", "s_text", "s_no",

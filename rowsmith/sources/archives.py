@@ -340,6 +340,9 @@ def read_archive_lines(
         "encoding": encoding,
         "with_file": with_file,
     }
+    if sentinel is not None and "\ufffd" in sentinel:
+        # Such a sentinel can only match a line in decoded form: keep every archive in one task.
+        split_bytes = 1 << 62
     small = listing.where(F.col("length") <= split_bytes).select("path").repartition(n)
     lines = small.mapInArrow(_lines_task(opts), LINES_SCHEMA)
     large = listing.where(F.col("length") > split_bytes).select("path")

@@ -215,3 +215,12 @@ def test_partial_files_of_failed_writes_are_not_read(spark, tmp_path):
         f.write(b"PK\x03\x04partial")
     got = read_archives(spark, d, "n bigint, s string")
     assert sorted(r.n for r in got.collect()) == list(range(9))
+
+
+def test_unit_path_bad_bytes_across_units(spark, tmp_path):
+    d = str(tmp_path / "z")
+    entries = [("a", b"x\xff"), ("b", b"\xfey\nEOF"), ("c", b"\nz\n")]
+    _zip(f"{d}/b.zip", entries)
+    single = _lines(spark, d)
+    assert single == _lines(spark, d, split_bytes=0, unit_bytes=1)
+    assert [v for _, _, v in single] == ["x��y"]
