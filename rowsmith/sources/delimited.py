@@ -67,6 +67,9 @@ def read_lines(
     otherwise ``\\n``, ``\\r`` and ``\\r\\n`` all end a line. ``with_file``
     adds ``file_path`` and ``file_name`` columns.
     """
+    if encoding.replace("_", "-").lower().startswith(("utf-16", "utf-32", "utf16", "utf32")):
+        # Lines are cut at the bytes \n and \r, which these encodings use inside characters.
+        raise ValueError(f"encoding {encoding} is not line-splittable by bytes; convert the files first")
     reader = spark.read
     if strip_cr:
         reader = reader.option("lineSep", "\n")

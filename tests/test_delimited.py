@@ -178,3 +178,10 @@ def test_materialize(spark, tmp_path):
     m = materialize(read_delimited(spark, d, "name string, n bigint"), str(tmp_path / "m"))
     assert _rows(m) == [("a", 1), ("b", 2)]
     assert "parquet" in m._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_wide_encodings_are_refused(spark, tmp_path):
+    d = str(tmp_path / "t")
+    _write(d, "a.txt", "a,1\n".encode("utf-16"))
+    with pytest.raises(ValueError, match="line-splittable"):
+        read_delimited(spark, d, "name string, n bigint", encoding="UTF-16")
