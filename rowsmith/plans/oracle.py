@@ -109,6 +109,8 @@ SELECT printf('docs-%06d.zip', l.g) AS file_name, line_no, value FROM l LEFT JOI
 WHERE line_no >= {Q.HEADER_FIRST_DATA_LINE} AND (s.stop IS NULL OR line_no < s.stop) AND NOT {BLANK('value')}
 """
 
+EXTERNAL_TABLE_SQL = Q.EXTERNAL_TABLE_SQL.format(table=f"({LINEITEM_ROWS})")
+
 SPLIT_INVARIANT_SCAN = """
 SELECT l_returnflag, l_linestatus, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
        CAST(sum(l_linenumber) AS BIGINT) AS sum_linenumber,
@@ -186,6 +188,7 @@ def oracle_sql() -> dict[str, str]:
         "zip_scan": LINEITEM_ROWS,
         "split_archive_scan": SPLIT_ARCHIVE_SCAN,
         "delimited_scan": LINEITEM_ROWS,
+        "external_table_sql": EXTERNAL_TABLE_SQL,
         "multi_file_scan": LINEITEM_ROWS,
         "split_invariant_scan": SPLIT_INVARIANT_SCAN,
         "encoded_scan": ENCODED_SCAN,

@@ -22,6 +22,7 @@ from rowsmith.session import scratch_path
 from rowsmith.sinks.delimited import format_lines, materialize
 from rowsmith.sources.archives import read_archive_lines, read_archives
 from rowsmith.sources.delimited import parse_delimited, read_delimited, read_lines
+from rowsmith.sources.tables import DelimitedTable
 from rowsmith.streaming import words as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +105,19 @@ def q_multi_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, staging.lineitem_by_year(spark, sf_dir), staging.LINEITEM_SCHEMA)
 
 
+EXTERNAL_TABLE_SQL = """
+SELECT l_returnflag, l_linestatus, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
+       min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+FROM {table} WHERE l_discount > 0.05 GROUP BY l_returnflag, l_linestatus
+"""
+
+
+def q_external_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + S1: delimited files registered as a named table and queried with SQL."""
+    DelimitedTable(staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA).register(spark, "lineitem_text")
+    return spark.sql(EXTERNAL_TABLE_SQL.format(table="lineitem_text"))
+
+
 def q_split_invariant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Large text files read in byte splits (line-aligned); a summary that every split size must reproduce."""
     li = read_delimited(spark, staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA)
@@ -310,6 +324,7 @@ def queries() -> dict[str, Query]:
         "zip_scan": q_zip_scan,
         "split_archive_scan": q_split_archive_scan,
         "delimited_scan": q_delimited_scan,
+        "external_table_sql": q_external_table_sql,
         "multi_file_scan": q_multi_file_scan,
         "split_invariant_scan": q_split_invariant_scan,
         "encoded_scan": q_encoded_scan,
