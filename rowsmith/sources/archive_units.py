@@ -32,7 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.session import checkpoint_root
-from rowsmith.sources.archives import BATCH_LINES, CHUNK, LINES_SCHEMA, decode_array, file_columns, line_arrays, open_archive
+from rowsmith.sources.archives import (
+    BatchBuilder,
+    LINES_SCHEMA,
+    coalesce_chunks,
+    entry_pieces,
+    line_arrays,
+    open_archive,
+)
 
 UNITS_SCHEMA = "file_path string, unit int, first_entry int, last_entry int"
 SUMMARY_SCHEMA = (
@@ -46,17 +53,7 @@ def _entries(zf: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
 
 
 def _unit_chunks(zf: zipfile.ZipFile, first: int, last: int, entry_newline: bool):
-    for info in _entries(zf)[first : last + 1]:
-        tail = b""
-        with zf.open(info) as f:
-            while True:
-                b = f.read(CHUNK)
-                if not b:
-                    break
-                tail = b
-                yield b
-        if entry_newline and tail and tail[-1:] not in (b"\n", b"\r"):
-            yield b"\n"
+    return coalesce_chunks(entry_pieces(_entries(zf)[first : last + 1], zf, entry_newline))
 
 
 def _open_zip(uri: str, on_bad_archive: str):
@@ -218,26 +215,12 @@ def _one(raw: bytes):
     return pa.array([raw], pa.large_binary())
 
 
-def _batch(uri: str, name: str, first_no: int, lines, encoding: str, with_file: bool = True):
-    import numpy as np
-    import pyarrow as pa
-
-    n = len(lines)
-    return pa.RecordBatch.from_arrays(
-        [
-            *file_columns(uri, name, n, with_file),
-            pa.array(np.arange(first_no, first_no + n, dtype=np.int64)),
-            decode_array(lines, encoding),
-        ],
-        names=["file_path", "file_name", "line_no", "value"],
-    )
-
-
 def _lines_task(opts: dict):
     d, enc = opts["first_data_line"], opts["encoding"]
     wf = opts.get("with_file", True)
 
     def run(batches):
+        out = BatchBuilder(enc, wf)
         fields = ["file_path", "unit", "first_entry", "last_entry", "has_term", "s_exists", "s_text", "s_no",
                   "offset", "emits_final", "f_text", "f_no", "stop_no"]
         for batch in batches:
@@ -249,7 +232,7 @@ def _lines_task(opts: dict):
                     return no >= d and (stop is None or no < stop)
 
                 if s_exists and keep(s_no):
-                    yield _batch(uri, name, s_no, _one(s_text), enc, wf)
+                    yield from out.add(uri, name, s_no, _one(s_text))
                 start = offset + (1 if s_exists else 0)
                 if has_term and (stop is None or start + 1 < stop):
                     fh, zf = _open_zip(uri, opts["on_bad_archive"])
@@ -268,12 +251,13 @@ def _lines_task(opts: dict):
                                     lines, first_no = lines.slice(min(d - first_no, len(lines))), d
                                 if stop is not None and first_no + len(lines) > stop:
                                     lines, done = lines.slice(0, max(stop - first_no, 0)), True
-                                for i in range(0, len(lines), BATCH_LINES):
-                                    yield _batch(uri, name, first_no + i, lines.slice(i, BATCH_LINES), enc, wf)
+                                yield from out.add(uri, name, first_no, lines)
                                 if done:
                                     break
                 if emits_final and keep(f_no):
-                    yield _batch(uri, name, f_no, _one(f_text), enc, wf)
+                    yield from out.add(uri, name, f_no, _one(f_text))
+        if out.rows:
+            yield out.flush()
 
     return run
 

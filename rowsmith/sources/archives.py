@@ -49,10 +49,24 @@ def open_archive(uri: str):
     return fs.open_input_file(p)
 
 
-def _entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
-    for info in zf.infolist():
-        if info.is_dir():
+def coalesce_chunks(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Join small pieces (many small entries) into chunks of about ``CHUNK`` bytes."""
+    buf = bytearray()
+    for p in pieces:
+        if not buf and len(p) >= CHUNK:
+            yield p
             continue
+        buf += p
+        if len(buf) >= CHUNK:
+            yield bytes(buf)
+            buf = bytearray()
+    if buf:
+        yield bytes(buf)
+
+
+def entry_pieces(infos, zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
+    """The bytes of the given entries in order, read in pieces of at most ``CHUNK``."""
+    for info in infos:
         last = b""
         with zf.open(info) as f:
             while True:
@@ -65,6 +79,53 @@ def _entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
             yield b"\n"
 
 
+def _entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
+    infos = [i for i in zf.infolist() if not i.is_dir()]
+    return coalesce_chunks(entry_pieces(infos, zf, entry_newline))
+
+
+class BatchBuilder:
+    """Collects numbered line arrays of many archives into Arrow batches of up to ``BATCH_LINES`` rows."""
+
+    def __init__(self, encoding: str, with_file: bool):
+        self.encoding, self.with_file = encoding, with_file
+        self.parts: list = []
+        self.rows = 0
+
+    def add(self, uri: str, name: str, first_no: int, lines) -> Iterator:
+        """Add lines numbered from ``first_no``; yields the batches that became full."""
+        i = 0
+        while i < len(lines):
+            take = min(len(lines) - i, BATCH_LINES - self.rows)
+            self.parts.append((uri, name, first_no + i, lines.slice(i, take)))
+            self.rows += take
+            i += take
+            if self.rows >= BATCH_LINES:
+                yield self.flush()
+
+    def flush(self):
+        import numpy as np
+        import pyarrow as pa
+
+        paths, names, numbers, values = [], [], [], []
+        for uri, name, first_no, lines in self.parts:
+            fp, fn = file_columns(uri, name, len(lines), self.with_file)
+            paths.append(fp)
+            names.append(fn)
+            numbers.append(np.arange(first_no, first_no + len(lines), dtype=np.int64))
+            values.append(lines)
+        self.parts, self.rows = [], 0
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays(paths),
+                pa.concat_arrays(names),
+                pa.array(np.concatenate(numbers)),
+                decode_array(pa.concat_arrays(values), self.encoding),
+            ],
+            names=["file_path", "file_name", "line_no", "value"],
+        )
+
+
 def line_blocks(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
     """Split a byte stream at ``\\n``, ``\\r`` and ``\\r\\n`` like ``readLine``, a chunk at a time.
 
@@ -257,12 +318,8 @@ def file_columns(uri: str, name: str, n: int, with_file: bool):
 
 
 def _lines_task(opts: dict):
-    import numpy as np
-    import pyarrow as pa
-
-    names = ["file_path", "file_name", "line_no", "value"]
-
     def run(batches):
+        out = BatchBuilder(opts["encoding"], opts["with_file"])
         for batch in batches:
             for uri in batch.column("path").to_pylist():
                 name = unquote(uri.rsplit("/", 1)[-1])
@@ -278,17 +335,9 @@ def _lines_task(opts: dict):
                             zf, opts["first_data_line"], opts["sentinel"], opts["entry_newline"], opts["encoding"]
                         )
                         for start, lines in blocks:
-                            for i in range(0, len(lines), BATCH_LINES):
-                                part = lines.slice(i, BATCH_LINES)
-                                n = len(part)
-                                yield pa.RecordBatch.from_arrays(
-                                    [
-                                        *file_columns(uri, name, n, opts["with_file"]),
-                                        pa.array(np.arange(start + i, start + i + n, dtype=np.int64)),
-                                        decode_array(part, opts["encoding"]),
-                                    ],
-                                    names=names,
-                                )
+                            yield from out.add(uri, name, start, lines)
+        if out.rows:
+            yield out.flush()
 
     return run
 
