@@ -44,22 +44,28 @@ def literal_char(regex: str) -> str | None:
     return None
 
 
-def java_split(c: ColumnOrName, regex: str) -> Column:
+def java_split(c: ColumnOrName, regex: str, needed: int | None = None) -> Column:
     """``String.split(regex)``: trailing empty fields are dropped, ``''`` gives ``['']``.
 
     Spark's ``split`` keeps trailing empties, so they are cut off here. For a
     one-character delimiter that is ``rtrim`` of the delimiter before
     splitting (codegen only); for a general regex the position of the last
     non-empty field is found with ``transform``.
+
+    ``needed``: only fields ``0 .. needed - 1`` will be read. With a
+    one-character delimiter the split then stops after field ``needed``: once
+    trailing delimiters are trimmed, the leading fields and whether they exist
+    are the same as in the full split, and a wide line is not cut up to its end.
     """
     c = _col(c)
     ch = literal_char(regex)
     if ch is not None:
         body = F.rtrim(c, F.lit(ch))
+        limit = -1 if needed is None else needed + 1
         return (
             F.when(c == "", F.array(F.lit("")))
             .when(body == "", _empty_strings())
-            .otherwise(F.split(body, regex, -1))
+            .otherwise(F.split(body, regex, limit))
         )
     parts = F.split(c, regex, -1)
     keep = F.array_max(F.transform(parts, lambda e, i: F.when(e != "", i + 1).otherwise(0)))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsmith.functions.text import is_blank, java_split
-from rowsmith.operators.fields import as_schema, typed_fields
+from rowsmith.operators.fields import as_schema, needed_positions, typed_fields
 
 PARTS = "__fields"
 
@@ -110,9 +110,12 @@ def parse_delimited(
     schema = as_schema(schema)
     line = F.col(line_col)
     carried = [F.col(k) for k in (keep or [])]
+    picked = needed_positions(schema, columns)
+    # With an explicit column list the split stops after the last needed field.
+    needed = max(i for i, _ in picked) + 1 if columns is not None and picked else None
     # The split array is its own projection: every field reads it, and
     # Catalyst does not inline a costly expression that is used more than once.
-    split = lines.where(~is_blank(line)).select(*carried, java_split(line, delimiter).alias(PARTS))
+    split = lines.where(~is_blank(line)).select(*carried, java_split(line, delimiter, needed).alias(PARTS))
     fields = typed_fields(F.col(PARTS), schema, columns, null_value)
     return split.select(*carried, *fields)
 

@@ -199,3 +199,19 @@ def test_named_table_sql_and_write_back(spark, tmp_path):
     assert [tuple(r) for r in got] == [("a", 1), ("b", 2)]
     t.write(spark.createDataFrame([("c", 3, False, 3.0)], SCHEMA))
     assert sorted(r.n for r in t.read(spark, columns=["n"]).collect()) == [1, 2, 3]
+
+
+def test_limited_split_equals_full_split(spark, tmp_path):
+    import random
+
+    rnd = random.Random(7)
+    lines = ["".join(rnd.choice(["a", "1", ",", ",", "", "b"]) for _ in range(rnd.randint(0, 14))) for _ in range(300)]
+    d = str(tmp_path / "t")
+    _write(d, "a.txt", ("\n".join(lines) + "\n").encode())
+    schema = ", ".join(f"f{i} string" for i in range(8))
+    full = read_delimited(spark, d, schema)
+    for cols in (["f0"], ["f1", "f3"], ["f6"], ["f0", "f7"]):
+        limited = read_delimited(spark, d, schema, columns=cols)
+        a = sorted(tuple("\0" if v is None else v for v in r) for r in limited.collect())
+        b = sorted(tuple("\0" if v is None else v for v in r) for r in full.select(*cols).collect())
+        assert a == b, cols
