@@ -45,3 +45,66 @@ def scan_audit(
         "matched",
         F.when(F.col("matched"), F.coalesce("lines", F.lit(0))).alias("lines"),
     )
+
+
+AUDIT_SCHEMA = "path string, is_zip boolean, entries bigint, text_bytes bigint"
+
+
+def _archive_info_task():
+    import zipfile
+
+    import pyarrow as pa
+
+    from rowsmith.sources.archives import open_archive
+
+    def run(batches):
+        out = {"path": [], "is_zip": [], "entries": [], "text_bytes": []}
+        for batch in batches:
+            for uri in batch.column("path").to_pylist():
+                with open_archive(uri) as fh:
+                    try:
+                        with zipfile.ZipFile(fh) as zf:
+                            infos = [i for i in zf.infolist() if not i.is_dir()]
+                            row = (uri, True, len(infos), sum(i.file_size for i in infos))
+                    except zipfile.BadZipFile:
+                        row = (uri, False, None, None)
+                for k, v in zip(out, row):
+                    out[k].append(v)
+        yield pa.RecordBatch.from_pydict(
+            out,
+            schema=pa.schema([("path", pa.string()), ("is_zip", pa.bool_()), ("entries", pa.int64()), ("text_bytes", pa.int64())]),
+        )
+
+    return run
+
+
+def archive_audit(
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    pattern: str | None = None,
+    pattern_on: str = "name",
+    partitions: int | None = None,
+) -> DataFrame:
+    """One row per file: ``file_path, file_name, bytes, matched, is_zip, entries, text_bytes``.
+
+    Files the pattern keeps are opened to read their central directory only
+    (no entry is decompressed): a file that is not a zip shows ``is_zip =
+    false``, which is what ``on_bad_archive='skip'`` reads as empty. Files the
+    pattern discards are not opened (their zip columns are null).
+    """
+    from rowsmith.session import default_parallelism
+
+    listing = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+    matched = name_matches(pattern, pattern_on) if pattern is not None else F.lit(True)
+    files = listing.select(
+        F.col("path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("length").alias("bytes"),
+        matched.alias("matched"),
+    )
+    n = partitions or default_parallelism(spark)
+    info = files.where("matched").select("path").repartition(n).mapInArrow(_archive_info_task(), AUDIT_SCHEMA)
+    return files.join(info, "path", "left").select(
+        F.col("path").alias("file_path"), "file_name", "bytes", "matched", "is_zip", "entries", "text_bytes"
+    )

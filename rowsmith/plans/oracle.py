@@ -155,6 +155,12 @@ SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year,
 FROM lineitem GROUP BY year(l_shipdate)
 """
 
+ARCHIVE_AUDIT = f"""
+SELECT printf('docs-%06d.zip', doc_id // {S.DOCS_PER_ARCHIVE}) AS file_name, true AS matched, true AS is_zip,
+       count(*) AS entries, CAST(sum(strlen(text)) AS BIGINT) AS text_bytes
+FROM documents GROUP BY doc_id // {S.DOCS_PER_ARCHIVE}
+"""
+
 REPORT = "CAST(json_object('http_user_agent', event_type, 'request_body', props) AS VARCHAR)"
 
 ENCODE_EVENTS = f"SELECT event_id, {REPORT} AS message FROM events"
@@ -202,6 +208,7 @@ def oracle_sql() -> dict[str, str]:
         "delimited_round_trip": LINEITEM_ROWS,
         "materialize_scan": LINEITEM_ROWS,
         "scan_audit": SCAN_AUDIT,
+        "archive_audit": ARCHIVE_AUDIT,
         "encode_events": ENCODE_EVENTS,
         "event_envelope": EVENT_ENVELOPE,
         "kafka_values": KAFKA_VALUES,

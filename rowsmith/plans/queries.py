@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.functions.text import format_line, is_blank, java_split
-from rowsmith.operators.audit import scan_audit
+from rowsmith.operators.audit import archive_audit, scan_audit
 from rowsmith.operators.events import accepted_bodies, event_envelope, message_values, report_event
 from rowsmith.operators.words import lines_of, word_count, words
 from rowsmith.plans import staging
@@ -236,6 +236,12 @@ def q_scan_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_archive_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 for archives: every archive's entries and uncompressed size, from its central directory."""
+    audit = archive_audit(spark, staging.document_archives(spark, sf_dir))
+    return audit.select("file_name", "matched", "is_zip", "entries", "text_bytes")
+
+
 def q_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as the JSON report message."""
     ev = table(spark, sf_dir, "events")
@@ -338,6 +344,7 @@ def queries() -> dict[str, Query]:
         "delimited_round_trip": q_delimited_round_trip,
         "materialize_scan": q_materialize_scan,
         "scan_audit": q_scan_audit,
+        "archive_audit": q_archive_audit,
         "encode_events": q_encode_events,
         "event_envelope": q_event_envelope,
         "kafka_values": q_kafka_values,

@@ -58,3 +58,24 @@ def test_cluster_conf_scales():
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert 10000 <= int(big["spark.sql.shuffle.partitions"]) <= 20000
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_archive_audit_flags_bad_archives(spark, tmp_path):
+    import zipfile
+
+    from rowsmith.operators.audit import archive_audit
+
+    d = str(tmp_path / "z")
+    os.makedirs(d)
+    with zipfile.ZipFile(os.path.join(d, "keep_ok.zip"), "w") as z:
+        z.writestr("a.txt", "1,a\n")
+        z.writestr("dir/", "")
+        z.writestr("b.txt", "22,bb\n")
+    with open(os.path.join(d, "keep_bad.zip"), "wb") as f:
+        f.write(b"not a zip")
+    with open(os.path.join(d, "other.zip"), "wb") as f:
+        f.write(b"whatever")
+    rows = {r.file_name: r for r in archive_audit(spark, d, pattern="keep_.*").collect()}
+    assert rows["keep_ok.zip"].is_zip and rows["keep_ok.zip"].entries == 2 and rows["keep_ok.zip"].text_bytes == 10
+    assert rows["keep_bad.zip"].matched and rows["keep_bad.zip"].is_zip is False
+    assert not rows["other.zip"].matched and rows["other.zip"].is_zip is None
