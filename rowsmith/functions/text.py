@@ -101,32 +101,61 @@ def tokens(c: ColumnOrName) -> Column:
     return java_split(c, " ")
 
 
+def _ansi() -> bool:
+    """Whether the active session casts under ANSI rules (bad text fails instead of giving null)."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    try:
+        return spark is not None and spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
+    except Exception:  # noqa: BLE001
+        return False
+
+
+def _trimmed_end(c: Column) -> Column:
+    """First or last char is one Spark's numeric cast trims (U+0000..U+0020, U+007F); true for ''."""
+    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
+    return (first <= F.lit(" ")) | (first == F.lit("\x7f")) | (last <= F.lit(" ")) | (last == F.lit("\x7f"))
+
+
 def parse_long(c: ColumnOrName, name: str = "field") -> Column:
-    """``Long.parseLong``: optional sign and ASCII digits only; anything else fails the task."""
+    """``Long.parseLong``: optional sign and ASCII digits only; anything else fails the task.
+
+    Under ANSI rules the cast already fails on everything ``parseLong``
+    refuses except surrounding control chars and spaces, which it trims; so
+    only the two end chars are checked (no regex per value). Without ANSI the
+    cast would truncate ``1.5`` to 1, so the full pattern is checked.
+    """
     c = _col(c)
+    fail = F.raise_error(F.concat(F.lit(f"BIGINT field '{name}' cannot parse: "), c))
+    if _ansi():
+        return F.when(c.isNull(), F.lit(None).cast("bigint")).when(_trimmed_end(c), fail).otherwise(c.cast("bigint"))
     return (
         F.when(c.isNull(), F.lit(None).cast("bigint"))
         .when(c.rlike("^[+-]?[0-9]+\\z"), c.cast("bigint"))
-        .otherwise(F.raise_error(F.concat(F.lit(f"BIGINT field '{name}' cannot parse: "), c)))
+        .otherwise(fail)
     )
 
 
 def parse_double(c: ColumnOrName, name: str = "field") -> Column:
     """``Double.parseDouble``.
 
-    Spark's ANSI cast already takes what ``parseDouble`` takes (surrounding
-    control chars and spaces, ``d``/``f`` suffixes, hex floats) and fails on
+    Spark's cast already takes what ``parseDouble`` takes (surrounding
+    control chars and spaces, ``d``/``f`` suffixes, hex floats) and rejects
     the rest, except that it also takes ``inf`` and any letter case of
-    ``nan`` / ``infinity``; those are refused here.
+    ``nan`` / ``infinity``; those are refused here. All of them contain an
+    ``n``, so the two patterns only run on values holding one. Without ANSI
+    rules a rejected value casts to null, which is turned into the failure.
     """
     c = _col(c)
-    loose = c.rlike("(?i)^[\\x00-\\x20]*[+-]?(inf|infinity|nan)[\\x00-\\x20]*$")
+    fail = F.raise_error(F.concat(F.lit(f"DOUBLE field '{name}' cannot parse: "), c))
+    special = c.contains("n") | c.contains("N")
+    loose = special & c.rlike("(?i)^[\\x00-\\x20]*[+-]?(inf|infinity|nan)[\\x00-\\x20]*$")
     exact = c.rlike("^[\\x00-\\x20]*[+-]?(Infinity|NaN)[\\x00-\\x20]*$")
-    return (
-        F.when(c.isNull(), F.lit(None).cast("double"))
-        .when(loose & ~exact, F.raise_error(F.concat(F.lit(f"DOUBLE field '{name}' cannot parse: "), c)))
-        .otherwise(c.cast("double"))
-    )
+    out = F.when(c.isNull(), F.lit(None).cast("double")).when(loose & ~exact, fail)
+    if _ansi():
+        return out.otherwise(c.cast("double"))
+    return out.when(c.cast("double").isNull(), fail).otherwise(c.cast("double"))
 
 
 def parse_boolean(c: ColumnOrName) -> Column:

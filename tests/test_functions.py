@@ -133,3 +133,16 @@ def test_encode_event_omits_nulls(spark):
         '{"http_user_agent":"u"}',
         "{}",
     ]
+
+
+def test_parsers_stay_strict_without_ansi(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert _eval(spark, ["12", "-3", None], lambda c: parse_long(c)) == [12, -3, None]
+        assert _eval(spark, ["1.5", "2d", None], lambda c: parse_double(c)) == [1.5, 2.0, None]
+        for bad, fn in [("1.5", parse_long), (" 7", parse_long), ("abc", parse_double), ("inf", parse_double)]:
+            with pytest.raises(Exception):
+                _eval(spark, [bad], lambda c, fn=fn: fn(c))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
