@@ -224,3 +224,19 @@ def test_unit_path_bad_bytes_across_units(spark, tmp_path):
     single = _lines(spark, d)
     assert single == _lines(spark, d, split_bytes=0, unit_bytes=1)
     assert [v for _, _, v in single] == ["x��y"]
+
+
+def test_archive_table_sql_and_plain_text_write(spark, tmp_path):
+    from rowsmith.sources.delimited import read_delimited
+    from rowsmith.sources.tables import ArchiveTable
+
+    d = str(tmp_path / "z")
+    _zip(f"{d}/2018_a.zip", [("a.txt", "head\n1|x|true\n2|y|false\nEOF\n9|z|true\n")])
+    _zip(f"{d}/2017_a.zip", [("a.txt", "head\n5|q|true\n")])
+    t = ArchiveTable(d, "n bigint, s string, f boolean", delimiter="\\|", pattern="2018_.*", first_data_line=2)
+    t.register(spark, "zipped")
+    assert [tuple(r) for r in spark.sql("SELECT n, s FROM zipped WHERE f OR n > 1 ORDER BY n").collect()] == [(1, "x"), (2, "y")]
+    out = str(tmp_path / "out")
+    t.write(t.read(spark), out)
+    back = read_delimited(spark, out, "n bigint, s string, f boolean", delimiter="\\|")
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "x", True), (2, "y", False)]
