@@ -15,10 +15,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "rowsmith") -> SparkSession:
-    """A local session with the settings the tests and the bench use."""
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "rowsmith", extra: dict[str, str] | None = None
+) -> SparkSession:
+    """A local session with the settings the tests and the bench use (``extra``: more settings)."""
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
