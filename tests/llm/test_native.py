@@ -1,0 +1,90 @@
+"""Sharding and line-frequency rules against brute force."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from rowsmith.llm.line_rules import line_frequency_rules
+from rowsmith.llm.sharding import shard_by_splitters
+
+SCHEMA = "doc_id long, text string, source string, shard string, line string"
+
+
+def rows_of(seed):
+    rng = random.Random(seed)
+    vocab = [f"w{i}é" for i in range(30)]
+    line = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    texts = ["", None, " \n\t\n", "a", "long " * 3000, "x y z\nx y z\n\x0b x  y z", line(60) + "\n" + line(5)]
+    common = line(12)
+    for i in range(120):
+        texts.append("\n".join([line(rng.randint(1, 25)), common if i % 3 else line(9), line(8)]))
+    hot = "\n".join([line(30), line(4)])
+    texts += [hot] * 60
+    rows = [(i, t, f"s{i % 3}", "clash", "clash") for i, t in enumerate(texts)]
+    return rows + [rows[8]] * 2 + [(None, common, None, None, None)]
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def test_shards_cover_all_rows_in_equal_bytes(spark):
+    data = rows_of(1)
+    out = shard_by_splitters(spark.createDataFrame(data, SCHEMA), 16, ranges=32, draws=16).collect()
+    size = lambda t: len((t or "").encode()) + 1
+    want = Counter((d, size(t), zlib.crc32((t or "").encode())) for d, t, *_ in data)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == want
+    slots, load = defaultdict(list), Counter()
+    for r in out:
+        slots[r.shard].append(r.slot)
+        load[r.shard] += r.size
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert set(slots) <= set(range(16))
+    assert {r.law for r in out} == {"bytes"} and {r.grown_shard for r in out} == {None}
+    most = max(size(t) for _, t, *_ in data)
+    mean = sum(load.values()) / 16
+    assert all(abs(load[s] - mean) <= most for s in range(16))
+
+
+def test_shards_of_one_hot_row_and_of_nothing(spark):
+    same = spark.createDataFrame([(7, "the same text", "s", "x", "y")] * 1600, SCHEMA)
+    assert set(Counter(r.shard for r in shard_by_splitters(same, 16).collect()).values()) == {100}
+    assert shard_by_splitters(same.limit(0), 16).count() == 0
+
+
+def brute_rules(data, min_docs, share, min_left):
+    norm = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" ")
+    lines = lambda t: [x for x in (t or "").split("\n") if words(x)]
+    hosts, holds = defaultdict(set), defaultdict(set)
+    for d, t, s, *_ in data:
+        hosts[s or ""].add(d)
+        for x in lines(t):
+            holds[s or "", norm(x)].add(d)
+    common = {k for k, v in holds.items() if len(v) > min_docs and len(v) > share * len(hosts[k[0]])}
+    out = []
+    for d, t, s, *_ in data:
+        w, ls = words(t), lines(t)
+        at = defaultdict(list)
+        for i in range(len(w) - 7):
+            at[tuple(w[i : i + 8])].append(i)
+        covered = {p for v in at.values() if len(v) > 1 for i in v for p in range(i, i + 8)}
+        gone = sum(len(words(x)) for x in ls if (s or "", norm(x)) in common)
+        failed = len(w) < 20 or 100 * len(covered) > 30 * len(w)
+        kept = not failed and len(w) - gone >= min_left * len(w)
+        symbols = sum(c in "#*$%&|<>" for c in t or "")
+        out.append((d, len(w), sum(map(len, w)), symbols, len(ls) - len(set(ls)), len(covered), failed, gone, kept))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_rules_match_brute_force(spark, seed):
+    data = rows_of(seed)
+    got = line_frequency_rules(spark.createDataFrame(data, SCHEMA), min_docs=8, share=0.3).collect()
+    assert Counter(map(tuple, got)) == brute_rules(data, 8, 0.3, 0.3)
+
+
+def test_line_rules_on_an_empty_table(spark):
+    assert line_frequency_rules(spark.createDataFrame([], SCHEMA)).count() == 0
