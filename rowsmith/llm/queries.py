@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from rowsmith.llm.common import documents
 from rowsmith.llm.line_rules import line_frequency_rules
 from rowsmith.llm.sharding import shard_by_splitters
+from rowsmith.llm.simhash_gray import near_duplicates
+
+
+def op6_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, links within 3 bits."""
+    return near_duplicates(documents(spark, sf_dir), 3, 3)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,4 +26,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_sharding, op8_quality_rules)}
+    return {f.__name__: f for f in (op6_simhash_gray, op7_sharding, op8_quality_rules)}
