@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowsmith.llm.common import documents
 from rowsmith.llm.line_rules import line_frequency_rules
+from rowsmith.llm.secret_scan import secret_report
 from rowsmith.llm.sharding import shard_by_splitters
 from rowsmith.llm.simhash_gray import near_duplicates
 
@@ -25,5 +26,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency_rules(documents(spark, sf_dir))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, judged by how many sources hold each value."""
+    return secret_report(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_simhash_gray, op7_sharding, op8_quality_rules)}
+    return {f.__name__: f for f in (op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
