@@ -39,6 +39,25 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
 FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN removed USING (doc_id)
 """
 
+_OP3 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+19], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM win) WHERE k > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later) GROUP BY doc_id
+), words AS (
+  SELECT w.doc_id, ws, coalesce(ps, []) AS ps FROM w LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ps) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(ps, i)), ' '), '')) AS kept_sha256
+FROM words
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": _OP8}
+    return {"op3_substring_dedup": _OP3, "op8_quality_rules": _OP8}

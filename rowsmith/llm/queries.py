@@ -9,6 +9,12 @@ from rowsmith.llm.line_rules import line_frequency_rules
 from rowsmith.llm.secret_scan import secret_report
 from rowsmith.llm.sharding import shard_by_splitters
 from rowsmith.llm.simhash_gray import near_duplicates
+from rowsmith.llm.substring_dedup import remove_repeats
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that start earlier elsewhere."""
+    return remove_repeats(documents(spark, sf_dir), 20, with_text=False)
 
 
 def op6_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,4 +38,4 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
+    return {f.__name__: f for f in (op3_substring_dedup, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
