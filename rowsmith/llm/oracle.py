@@ -58,6 +58,35 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ps) AS BIGINT) AS n_
 FROM words
 """
 
+_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+_OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, {_WORDS} AS ws FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, ws, least(10, len(ws)) AS n
+  FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0
+), phrases AS (
+  SELECT DISTINCT item, n, array_to_string(ws[i:i+n-1], ' ') AS g
+  FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM b)
+), grams AS (
+  SELECT doc_id, i, n, array_to_string(ws[i:i+n-1], ' ') AS g
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM b))
+), found AS (
+  SELECT doc_id, item, i, n FROM grams JOIN phrases USING (n, g)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM found GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring_dedup": _OP3, "op8_quality_rules": _OP8}
+    return {"op3_substring_dedup": _OP3, "op5_decontamination": _OP5, "op8_quality_rules": _OP8}

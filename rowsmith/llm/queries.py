@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowsmith.llm.common import documents
+from rowsmith.llm.decontaminate import contamination_report
 from rowsmith.llm.line_rules import line_frequency_rules
 from rowsmith.llm.secret_scan import secret_report
 from rowsmith.llm.sharding import shard_by_splitters
@@ -17,6 +18,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), 20, with_text=False)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside 10-word passages of the benchmark items."""
+    return contamination_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), 10)
+
+
 def op6_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links within 3 bits."""
     return near_duplicates(documents(spark, sf_dir), 3, 3)
@@ -38,4 +44,4 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_substring_dedup, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
+    return {f.__name__: f for f in (op3_substring_dedup, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
