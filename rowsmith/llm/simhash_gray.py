@@ -303,8 +303,12 @@ def near_duplicates(
     )
     edges = near_links(nodes, max_bits, bucket_rows=bucket_rows)
     labels = connected(stored(edges.distinct(), "simhash-edges"), nodes.select(F.col("fp").alias("id"), "node"))
-    moved = nodes.join(labels.withColumnRenamed("id", "fp"), "fp", "left").select(
-        "fp", F.coalesce("label", "node").alias("component")
+    # stored, so that the join below reads its two sides as they are and a hot fingerprint's rows can be split
+    moved = stored(
+        nodes.join(labels.withColumnRenamed("id", "fp"), "fp", "left").select(
+            "fp", F.coalesce("label", "node").alias("component")
+        ),
+        "simhash-components",
     )
     return fps.join(moved, "fp").select(
         "doc_id",
