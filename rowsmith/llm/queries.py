@@ -8,11 +8,17 @@ from rowsmith.llm.common import documents
 from rowsmith.llm.decontaminate import contamination_report
 from rowsmith.llm.line_rules import line_frequency_rules
 from rowsmith.llm.secret_scan import secret_report
+from rowsmith.llm.sentencepiece_sampling import encode
 from rowsmith.llm.sharding import shard_by_splitters
 from rowsmith.llm.simhash_gray import near_duplicates
 from rowsmith.llm.substring_dedup import remove_repeats
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document, seeded by its id, and whether it decodes to the text."""
+    return encode(documents(spark, sf_dir))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 20-word windows that start earlier elsewhere."""
     return remove_repeats(documents(spark, sf_dir), 20, with_text=False)
@@ -44,4 +50,4 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_substring_dedup, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
+    return {f.__name__: f for f in (op2_sentencepiece, op3_substring_dedup, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
