@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowsmith.llm.common import documents
 from rowsmith.llm.decontaminate import contamination_report
 from rowsmith.llm.line_rules import line_frequency_rules
+from rowsmith.llm.quality_knn import classify
 from rowsmith.llm.secret_scan import secret_report
 from rowsmith.llm.sentencepiece_sampling import encode
 from rowsmith.llm.sharding import shard_by_splitters
@@ -24,6 +25,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), 20, with_text=False)
 
 
+def op4_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by the nearest labelled latent-semantic vectors."""
+    return classify(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), "quality", 0.7)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside 10-word passages of the benchmark items."""
     return contamination_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), 10)
@@ -50,4 +56,4 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sentencepiece, op3_substring_dedup, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
+    return {f.__name__: f for f in (op2_sentencepiece, op3_substring_dedup, op4_quality_knn, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
