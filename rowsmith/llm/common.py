@@ -48,6 +48,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def known_labels(labels: DataFrame, label_col: str) -> DataFrame:
+    """id, label of the rows that may be learned from: label 0 or 1, an id, not held out."""
+    return labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id"))
+    )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: tuple[int, int]) -> DataFrame:
+    """doc_id, text, label of at most ``most[y]`` rows of each label y: those of the smallest hash of the id."""
+    known = known_labels(labels, label_col)
+    parts = [known.where(F.col("label") == y).distinct().orderBy(F.xxhash64("id"), "id").limit(most[y]) for y in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most sum(most) rows
+    return docs.join(chosen, docs["doc_id"] == F.col("id")).select("doc_id", "text", "label")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row (a one-element array binds it)."""
     return F.transform(F.array(value), body).getItem(0)

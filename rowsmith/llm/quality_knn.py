@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm import textops as T
-from rowsmith.llm.common import bounded_batches, held_out
+from rowsmith.llm.common import bounded_batches, held_out, labelled_sample
 
 SHAPES, PAIRS, WORDS = 1 << 10, 1 << 11, 1 << 11
 TERMS = SHAPES + PAIRS + WORDS
@@ -142,15 +142,6 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int
     return Model(idf, projection, _unit(matrix @ projection), labels.astype(np.float64), k)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int) -> DataFrame:
-    """doc_id, text, label of at most ``per_class`` rows of each label that are not held out (those of the smallest id hash)."""
-    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id"))
-    )
-    parts = [known.where(F.col("label") == y).distinct().orderBy(F.xxhash64("id"), "id").limit(per_class) for y in (0, 1)]
-    return docs.join(F.broadcast(parts[0].unionByName(parts[1])), docs["doc_id"] == F.col("id")).select("doc_id", "text", "label")
-
-
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", *, per_class: int = 1500, rank: int = 64, k: int = 25) -> Model:
     """Fit on the bounded sample; without labelled rows every score is 0.5."""
 
@@ -165,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", *, per
                     ["id", "label", "terms", "counts"],
                 )
 
-    sample = bounded_batches(labelled_sample(docs.select("doc_id", "text"), labels, label_col, per_class))
+    sample = bounded_batches(labelled_sample(docs.select("doc_id", "text"), labels, label_col, (per_class, per_class)))
     found = sample.mapInArrow(terms_of, "id long, label int, terms array<int>, counts array<int>").toArrow()
     found = found.sort_by([("id", "ascending"), ("label", "ascending")])
     lists = [found.column(c).combine_chunks() for c in ("terms", "counts")]

@@ -13,6 +13,12 @@ from rowsmith.llm.sentencepiece_sampling import encode
 from rowsmith.llm.sharding import shard_by_splitters
 from rowsmith.llm.simhash_gray import near_duplicates
 from rowsmith.llm.substring_dedup import remove_repeats
+from rowsmith.llm.toxicity import score_documents
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by the clause grammar."""
+    return score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), "toxic", 0.3)
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,4 +62,4 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sentencepiece, op3_substring_dedup, op4_quality_knn, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_substring_dedup, op4_quality_knn, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
