@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -33,7 +34,7 @@ from rowsmith.llm import textops as T
 from rowsmith.llm.common import bounded_batches
 
 SPACE = "▁"
-CACHE_UNITS = 200_000
+CACHE_UNITS = 300_000
 MAX_MODEL_BYTES = 64 << 20
 
 _UNIT = re.compile(" +[^ ]*")
@@ -125,32 +126,38 @@ class Lattices:
         lengths = np.fromiter((len(u.replace(" ", SPACE).encode()) for u in units), np.int64, len(units))
         begin = np.cumsum(lengths + 1) - (lengths + 1)  # node 0 of each unit; node = byte place
 
-        found = list(p.automaton.iter(matched))
-        last = np.fromiter((x[0] for x in found), np.int64, len(found))
-        ids = np.fromiter((x[1] for x in found), np.int64, len(found))
-        start, end = char_at[last + 1 - p.chars[ids]], char_at[last + 1]
+        # matches come by their last character, long ones first
+        found = np.fromiter(chain.from_iterable(p.automaton.iter(matched)), np.int64).reshape(-1, 2)
+        last, ids = found[:, 0] + 1, found[:, 1]
+        start, end = char_at[last - p.chars[ids]], char_at[last]
         # characters that no piece writes alone go as bytes
-        lone = np.fromiter((c not in p.alone for c in matched), bool, len(matched))
-        at = np.flatnonzero(lone)
+        lone = [i for i, c in enumerate(matched) if c not in p.alone]
+        at = np.array(lone, np.int64)
         at = T.spread(char_at[at], char_at[at + 1] - char_at[at])
-        inside = np.zeros(len(raw) + 1, bool)
-        inside[T.spread(begin, lengths)] = True
+        inside = np.ones(len(raw) + 1, bool)
+        inside[begin[1:] - 1] = False
         at = at[inside[at]]  # not the marks between units
-        start, end = np.concatenate([start, at]), np.concatenate([end, at + 1])
-        ids = np.concatenate([ids, p.byte_id[raw[at]]])
-
-        unit = np.searchsorted(begin, start, "right") - 1
-        depth = end - begin[unit]
-        order = np.lexsort((end, depth))
-        start, end, ids, depth = start[order], end[order], ids[order], depth[order]
-        weight = p.log_weight[ids]
+        if len(at):
+            start, end = np.concatenate([start, at]), np.concatenate([end, at + 1])
+            ids = np.concatenate([ids, p.byte_id[raw[at]]])
+            order = np.argsort(end, kind="stable")
+            start, end, ids = start[order], end[order], ids[order]
+
+        # forward filtering, one place of all units after the other
+        unit_at = np.repeat(begin, np.diff(np.append(begin, len(raw) + 1)))
+        depth = end - unit_at[start]
+        order = np.argsort(depth.astype(np.uint16) if lengths.max() < 1 << 16 else depth, kind="stable")
+        from_, to = start[order], end[order]
+        weight = p.log_weight[ids[order]]
         alpha = np.full(len(raw) + 2, -np.inf)
         alpha[begin] = 0.0
-        cuts = np.append(np.flatnonzero(np.r_[True, depth[1:] != depth[:-1]]), len(depth))
-        share = np.zeros(len(start))
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(depth))])
+        sorted_share = np.zeros(len(start))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            value = alpha[start[a:b]] + weight[a:b]
-            node = end[a:b]
+            if a == b:
+                continue
+            value = alpha[from_[a:b]] + weight[a:b]
+            node = to[a:b]
             head = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
             size = np.diff(np.append(head, b - a))
             top = np.maximum.reduceat(value, head)
@@ -159,17 +166,19 @@ class Lattices:
             total = np.add.reduceat(part, head)
             with np.errstate(divide="ignore", invalid="ignore"):
                 alpha[node[head]] = safe + np.log(total)
-                share[a:b] = np.where(np.repeat(total, size) > 0, part / np.repeat(total, size), 0.0)
-        # edges by node, likely ones first (ties by id), with their cumulated probability
-        order = np.lexsort((ids, -share, end))
-        start, end, ids, share = start[order], end[order], ids[order], share[order]
+                sorted_share[a:b] = np.where(np.repeat(total, size) > 0, part / np.repeat(total, size), 0.0)
+        share = np.empty(len(start))
+        share[order] = sorted_share
+        # a node's edges with their cumulated probability
         nodes = len(raw) + 1
         count = np.bincount(end, minlength=nodes)
         first = np.cumsum(count) - count
-        total = np.cumsum(share)
-        total -= np.repeat((total - share)[first[count > 0]], count[count > 0])
-        bound = np.minimum(np.rint(total * 2**_BITS), 2**_BITS - 1).astype(np.uint32)
-        bound[first[count > 0] + count[count > 0] - 1] = 2**_BITS - 1
+        for k in range(1, int(count.max(initial=0))):
+            at = first[count > k] + k
+            share[at] += share[at - 1]
+        bound = np.minimum(np.rint(share * 2**_BITS), 2**_BITS - 1).astype(np.uint32)
+        has = np.flatnonzero(count)
+        bound[first[has] + count[has] - 1] = 2**_BITS - 1
 
         node0, edge0 = len(self.first_edge), len(self.piece)
         for i, u in enumerate(units):
