@@ -228,76 +228,75 @@ def learn_patterns(words: pa.ListArray, labels: np.ndarray, signatures: np.ndarr
     if not n.all():
         return []
     coded = words.flatten().dictionary_encode()
-    vocabulary = coded.dictionary.to_pylist()
+    vocabulary = coded.dictionary
     code = coded.indices.to_numpy().astype(np.int64)
     doc = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy())
     toxic = labels[doc] == 1
-
-    # features: whole words (their code), then the stems of words of toxic texts
-    stems: dict[bytes, int] = {}
-    word_of, stem_of = [], []
     in_toxic = np.zeros(len(vocabulary), bool)
     in_toxic[code[toxic]] = True
-    for own in (in_toxic, ~in_toxic):
-        for w in np.flatnonzero(own).tolist():
-            raw = vocabulary[w].encode()
-            for size in PREFIXES:
-                if len(raw) >= size and (len(raw) == size or raw[size] & 0xC0 != 0x80):
-                    stem = stems.setdefault(raw[:size], len(stems)) if own is in_toxic else stems.get(raw[:size])
-                    if stem is not None:
-                        word_of.append(w)
-                        stem_of.append(stem)
-    names = vocabulary + [x.decode() for x in stems]
-    n_words = len(vocabulary)
-    order = np.argsort(word_of, kind="stable")
-    word_of, stem_of = np.array(word_of, np.int64)[order], np.array(stem_of, np.int64)[order] + n_words
-    begin = np.searchsorted(word_of, np.arange(n_words + 1))
-
-    def incidence(mask: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(feature, text) of the texts under ``mask`` and the features under ``of``."""
-        c, d = code[mask], doc[mask]
-        count = begin[c + 1] - begin[c]
-        feature = np.concatenate([c, stem_of[T.spread(begin[c], count)]])
-        pairs = feature * np.int64(len(words)) + np.concatenate([d, np.repeat(d, count)])
-        pairs = np.unique(pairs[of[feature]])
-        return pairs // len(words), pairs % len(words)
-
-    size = len(names)
-    feature, holder = incidence(toxic, np.ones(size, bool))
-    # near copies count about once: the least number of different signatures among a pattern's documents
-    positive = np.full(size, len(words) if len(feature) else 0)
-    for s in range(signatures.shape[1]):
-        seen = np.unique(np.column_stack([feature.view(np.uint64), signatures[holder, s]]), axis=0)[:, 0]
-        positive = np.minimum(positive, np.bincount(seen.astype(np.int64), minlength=size))
-    negative = np.bincount(incidence(~toxic, positive >= 3)[0], minlength=size)
-
+    whole = next(T.chunks(vocabulary, 1 << 62))
+    starts, ends = whole.offsets[:-1], whole.offsets[1:]
     share = n[1] / n.sum()
-    precision = positive / np.maximum(positive + negative, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = positive * np.log(precision / share) + np.where(negative > 0, negative * np.log((1 - precision) / (1 - share)), 0)
-    candidates = max(1, int((positive > 0).sum()))
-    good = (positive >= 3) & (precision >= 0.9) & (gain >= math.log(20 * candidates))
-
-    # a stem stands for its words if it takes at least three, unless one longer pattern accounts for most of its texts
-    endings = np.bincount(stem_of[in_toxic[word_of]], minlength=size)
-    texts = np.bincount(feature, minlength=size)
-    accepted = {names[f]: f for f in np.flatnonzero(good).tolist() if f < n_words or endings[f] >= 3}
-    explained: dict[str, int] = {}  # the most texts of a longer pattern
-    for name, f in accepted.items():
-        raw = name.encode()
+
+    # features: whole words (size 0), then the stems of each size of words of toxic texts
+    found: list[tuple[bytes, bool, int, int, int]] = []  # pattern, whether a stem, texts, positive, negative
+    counted = 0
+    for size in (0, *PREFIXES):
+        if size == 0:
+            hashes, fits = T.word_hashes(whole.buf, starts, ends), np.ones(len(starts), bool)
+        else:
+            fits = ends - starts >= size
+            after = whole.buf[np.minimum(starts + size, len(whole.buf) - 1)]
+            fits &= (ends - starts == size) | (after & 0xC0 != 0x80)
+            hashes = np.zeros(len(starts), np.uint64)
+            hashes[fits] = T.word_hashes(whole.buf, starts[fits], starts[fits] + size)
+        own = np.flatnonzero(fits & in_toxic)
+        if not len(own):
+            continue
+        values, example, endings = np.unique(hashes[own], return_index=True, return_counts=True)
+        feature = np.searchsorted(values, hashes).clip(max=len(values) - 1)
+        feature[~fits | (values[feature] != hashes)] = -1
+
+        def texts_with(mask: np.ndarray, feature=feature) -> tuple[np.ndarray, np.ndarray]:
+            """(feature, text), each once."""
+            f, d = feature[code[mask]], doc[mask]
+            pairs = np.unique(f[f >= 0] * np.int64(len(words)) + d[f >= 0])
+            return pairs // len(words), pairs % len(words)
+
+        f, holder = texts_with(toxic)
+        texts = np.bincount(f, minlength=len(values))
+        # near copies count about once: the least number of different signatures among a pattern's texts
+        positive = texts
+        for s in range(signatures.shape[1]):
+            seen = np.unique(np.column_stack([f.astype(np.uint64), signatures[holder, s]]), axis=0)[:, 0]
+            positive = np.minimum(positive, np.bincount(seen.astype(np.int64), minlength=len(values)))
+        negative = np.bincount(texts_with(~toxic)[0], minlength=len(values))
+        counted += len(values)
+        often = (positive >= 3) & (positive >= 0.9 * (positive + negative))
+        if size:  # a stem takes at least three endings
+            often &= endings >= 3
+        for k in np.flatnonzero(often).tolist():
+            w = own[example[k]]
+            raw = whole.buf[starts[w] : starts[w] + size if size else ends[w]].tobytes()
+            found.append((raw, bool(size), int(texts[k]), int(positive[k]), int(negative[k])))
+
+    def gain(pos: int, neg: int) -> float:
+        p = pos / (pos + neg)
+        return pos * math.log(p / share) + (neg * math.log((1 - p) / (1 - share)) if neg else 0.0)
+
+    good = [x for x in found if gain(x[3], x[4]) >= math.log(20 * counted)]
+    explained: dict[bytes, int] = {}  # the most texts of a longer pattern
+    for raw, stem, texts, *_ in good:
         for cut in PREFIXES:
-            if cut < len(raw) or cut == len(raw) and f < n_words:
-                start = raw[:cut].decode("utf-8", "ignore")
-                explained[start] = max(explained.get(start, 0), int(texts[f]))
-    kept_stems = [x for x, f in accepted.items() if f >= n_words and explained.get(x, 0) < MOSTLY * texts[f]]
-    kept_stems = [x for x in kept_stems if not any(x != k and x.startswith(k) for k in kept_stems)]
-    kept = {(x, True): accepted[x] for x in kept_stems}
-    for w in np.flatnonzero(good[:n_words]).tolist():
-        if not any(names[w].startswith(k) for k in kept_stems):
-            kept[names[w], False] = w
+            if cut < len(raw) or (cut == len(raw) and not stem):
+                explained[raw[:cut]] = max(explained.get(raw[:cut], 0), texts)
+    # a stem stands for its words, unless one longer pattern accounts for most of its texts
+    stems = [x for x in good if x[1] and explained.get(x[0], 0) < MOSTLY * x[2]]
+    kept = [x for x in stems if not any(x[0] != y[0] and x[0].startswith(y[0]) for y in stems)]
+    kept += [x for x in good if not x[1] and not any(x[0].startswith(y[0]) for y in stems)]
     per = np.array(true_counts) / n  # rows each sampled one stands for
-    weight = lambda f: float((positive[f] * per[1] + 0.5) / (positive[f] * per[1] + negative[f] * per[0] + 1))
-    return sorted((text, stem, weight(f)) for (text, stem), f in kept.items())
+    weight = lambda pos, neg: float((pos * per[1] + 0.5) / (pos * per[1] + neg * per[0] + 1))
+    return sorted((raw.decode(), stem, weight(pos, neg)) for raw, stem, _, pos, neg in kept)
 
 
 def _words_and_signatures(chunk: T.Chunk) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
