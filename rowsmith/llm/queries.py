@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowsmith.llm.common import documents
 from rowsmith.llm.decontaminate import contamination_report
+from rowsmith.llm.line_dedup import line_dedup_report
 from rowsmith.llm.line_rules import line_frequency_rules
 from rowsmith.llm.quality_knn import classify
 from rowsmith.llm.secret_scan import secret_report
@@ -61,5 +62,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(documents(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without near copies of lines that occur earlier."""
+    return line_dedup_report(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_substring_dedup, op4_quality_knn, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_substring_dedup, op4_quality_knn, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan, op10_line_dedup)}

@@ -43,25 +43,6 @@ PAIRS_AT_ONCE = 1 << 19
 # ---- fingerprints
 
 
-def _bits_over_half(hashes: np.ndarray, ranges: np.ndarray) -> np.ndarray:
-    """Per range of hashes: the word of the bits set in over half of them (an empty range: 0)."""
-    counts = np.diff(ranges)
-    out = np.zeros(len(counts), np.uint64)
-    full = np.flatnonzero(counts)
-    if not len(full):
-        return out
-    weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
-    step = 1 << 16  # hashes unpacked at once: 64 bytes each
-    sums = np.zeros((len(counts), 64), np.int64)
-    for lo in range(0, len(hashes), step):
-        part = hashes[lo : lo + step]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        own = np.flatnonzero((ranges[1:] > lo) & (ranges[:-1] < lo + len(part)) & (counts > 0))
-        at = np.maximum(ranges[own] - lo, 0)
-        sums[own] += np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-    return np.where(2 * sums > counts[:, None], weights, np.uint64(0)).sum(axis=1, dtype=np.uint64)
-
-
 def _shingle_hashes(chunk: T.Chunk, width: int) -> tuple[np.ndarray, np.ndarray]:
     """XXH64 of every shingle of every text, and each text's range of them."""
     buf = T.LOWER[chunk.buf]
@@ -88,7 +69,7 @@ def fingerprints(docs: DataFrame, width: int = 3, *, id_col: str = "doc_id", tex
         for batch in batches:
             out = np.zeros(batch.num_rows, np.uint64)
             for chunk in T.chunks(batch.column(1)):
-                out[chunk.first : chunk.first + chunk.n] = _bits_over_half(*_shingle_hashes(chunk, width))
+                out[chunk.first : chunk.first + chunk.n] = T.majority_bits(*_shingle_hashes(chunk, width))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
 
     texts = bounded_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
@@ -200,17 +181,45 @@ def _blocks(bits: list[int], parts: int) -> list[list[int]]:
     return [bits[cut[i] : cut[i + 1]] for i in range(parts) if cut[i + 1] > cut[i]]
 
 
-def _value_of(bits: list[int]):
-    """The fingerprint's bits at the given places, as a long column."""
+def _mask(bits: list[int]) -> int:
+    """The word with these bits, as a signed long."""
     mask = sum(1 << b for b in bits)
-    return F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _routed(rows: DataFrame, done: list[int], rest: list[int], parts: int, key) -> DataFrame:
-    """Each row once per block of the undecided bits: ``key`` extended by the block and its value."""
-    keys = [F.xxhash64(key, F.lit(i), _value_of(block)) for i, block in enumerate(_blocks(rest, parts))]
-    names = [F.struct(F.lit(i).alias("block"), k.alias("key")) for i, k in enumerate(keys)]
-    return rows.select("fp", F.explode(F.array(*names)).alias("r"))
+def bucketed(rows: DataFrame, max_bits: int, bucket_rows: int = 1 << 15) -> DataFrame:
+    """``rows`` (``fp`` and other columns) once per bucket ``key``: rows whose fingerprints are within ``max_bits`` bits share one.
+
+    No bucket has more than ``bucket_rows`` rows unless at most FEW_BITS bits of its fingerprints differ. ``rows`` is read
+    more than once, so it should be a stored table.
+    """
+    own = rows.columns
+    parts = max_bits + 1
+    out = None
+    level, paths = rows.withColumn("outer", F.lit(0).cast("long")).withColumn("path", F.lit(0)), [list(range(64))]
+    while True:
+        # paths: which bits are undecided after which blocks; a row's path says which of them is its own
+        cut = [_blocks(rest, parts) for rest in paths]
+        masks = F.array(*[F.array(*[F.lit(_mask(block)) for block in blocks]) for blocks in cut])
+        blocks = F.transform(F.get(masks, F.col("path")), lambda m, i: F.struct(
+            (F.col("path") * parts + i).alias("block"),
+            F.xxhash64("outer", i, F.col("fp").bitwiseAND(m)).alias("key"),
+        ))
+        routed = level.select(*own, F.explode(blocks).alias("r")).select(*own, "r.block", "r.key")
+        left = [[b for b in rest if b not in block] for rest, blocks_ in zip(paths, cut, strict=True) for block in blocks_]
+        large = None
+        if max(map(len, left)) > FEW_BITS:
+            large = routed.groupBy("block", "key").count().where(F.col("count") > bucket_rows).select("block", "key")
+            large = stored(large, "simhash-large")
+            if not large.limit(1).count():
+                large = None
+        small = routed if large is None else routed.join(large, ["block", "key"], "left_anti")
+        found = small.select("key", *own)
+        out = found if out is None else out.unionByName(found)
+        if large is None:
+            return out
+        again = routed.join(large, ["block", "key"], "left_semi")
+        level, paths = again.select(*own, F.col("key").alias("outer"), F.col("block").alias("path")), left
 
 
 def _forest_edges(max_bits: int):
@@ -251,34 +260,8 @@ def _forest_edges(max_bits: int):
 
 def near_links(distinct: DataFrame, max_bits: int = 3, *, bucket_rows: int = 1 << 15) -> DataFrame:
     """Edges (a, b) of distinct fingerprints ``fp`` that connect exactly those within ``max_bits`` bits."""
-    edges = None
-    bits = list(range(64))
-    level = [(distinct.select("fp"), [], bits, F.lit(0))]
-    while level:
-        deeper = []
-        for rows, done, rest, key in level:
-            blocks = _blocks(rest, max_bits + 1)
-            routed = _routed(rows, done, rest, max_bits + 1, key).select("fp", "r.block", "r.key")
-            small = routed
-            # a bucket leaves all bits but its own undecided: only where more than FEW_BITS stay can it be cut again
-            if len(rest) - min(map(len, blocks)) > FEW_BITS:
-                routed = stored(routed, "simhash-routed")
-                large = routed.groupBy("block", "key").count().where(F.col("count") > bucket_rows).select("block", "key")
-                large = stored(large, "simhash-large")
-                small = routed
-                n_large = large.count()
-                if n_large:
-                    small = routed.join(large, ["block", "key"], "left_anti")
-                    for i, block in enumerate(blocks):
-                        own = routed.where(F.col("block") == i).join(large.where(F.col("block") == i), ["block", "key"], "left_semi")
-                        left = [b for b in rest if b not in block]
-                        deeper.append((own.select("fp", F.col("key").alias("outer")), done + block, left, F.col("outer")))
-            found = (
-                small.select("key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(_forest_edges(max_bits), "a long, b long")
-            )
-            edges = found if edges is None else edges.unionByName(found)
-        level = deeper
-    return edges
+    buckets = bucketed(distinct.select("fp"), max_bits, bucket_rows)
+    return buckets.repartition("key").sortWithinPartitions("key").mapInArrow(_forest_edges(max_bits), "a long, b long")
 
 
 def near_duplicates(

@@ -148,3 +148,22 @@ def spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     ends = np.cumsum(counts)
     return np.arange(total) - np.repeat(ends - counts, counts) + np.repeat(first, counts)
+
+
+def majority_bits(hashes: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """Per range of hashes: the word of the bits set in over half of them (an empty range: 0)."""
+    counts = np.diff(ranges)
+    out = np.zeros(len(counts), np.uint64)
+    full = np.flatnonzero(counts)
+    if not len(full):
+        return out
+    weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    step = 1 << 16  # hashes unpacked at once: 64 bytes each
+    sums = np.zeros((len(counts), 64), np.int64)
+    for lo in range(0, len(hashes), step):
+        part = hashes[lo : lo + step]
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        own = np.flatnonzero((ranges[1:] > lo) & (ranges[:-1] < lo + len(part)) & (counts > 0))
+        at = np.maximum(ranges[own] - lo, 0)
+        sums[own] += np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+    return np.where(2 * sums > counts[:, None], weights, np.uint64(0)).sum(axis=1, dtype=np.uint64)

@@ -74,10 +74,10 @@ def test_index_finds_all_links_of_each_bucket(seed):
 
 
 def test_large_buckets_are_cut_without_loss(spark):
-    fps = clustered(9, 200)
+    fps = clustered(9, 300)
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
-    edges = near_links(df, 3, bucket_rows=40).collect()
+    edges = near_links(df, 3, bucket_rows=6).collect()
     at = {x: i for i, x in enumerate(signed)}
     parent = list(range(len(fps)))
 
