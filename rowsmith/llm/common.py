@@ -11,8 +11,8 @@ from rowsmith.session import scratch_path
 #: 256 texts stays small even where every text is long. It changes no result.
 TEXT_ROWS_PER_BATCH = 256
 
-#: The largest id stands for a null doc_id wherever ids are ordered (nulls come last).
-NULL_ID = (1 << 63) - 1
+#: Where ids are ordered, rows without an id come from here on, in the order of a hash of their texts.
+NO_ID = 1 << 62
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -32,6 +32,20 @@ def bounded_batches(df: DataFrame, rows: int = TEXT_ROWS_PER_BATCH) -> DataFrame
     return df
 
 
+def order_key(id_col: str, text_col: str) -> Column:
+    """The id as a long; for a null id a long from NO_ID on that tells its text apart. Never null."""
+    by_text = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), 2)
+    return F.coalesce(F.col(id_col).cast("long"), by_text)
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """``base``, lengthened until no column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared checkpoint folder and read it back.
 

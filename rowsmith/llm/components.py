@@ -38,23 +38,17 @@ class Forest:
             self.parent = p
 
 
-def connected(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """(id, label) for every id on an edge: the smallest ``node`` value in its component.
+def connected(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """(id, label) for every id on an edge (``a``, ``b``: longs): the smallest id of its component.
 
-    ``edges``: a, b (long ids); ``nodes``: id, node (distinct long values to take the smallest of). Each round gives every
-    vertex the smallest label among itself, its neighbours and its label's own vertex (a shortcut, so long
+    Each round gives every vertex the smallest label among itself, its neighbours and its label's own vertex (a shortcut, so long
     chains take a logarithmic number of rounds), as joins and one grouped minimum, and is written to shared storage.
     Grouped minima combine before the shuffle, so a hub with many edges is no hot key.
     """
-    both = edges.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(
-        edges.select(F.col("b").alias("id"), F.col("a").alias("other"))
-    )
-    # from here on a vertex is its node value
-    names = nodes.select(F.col("id"), F.col("node"))
     links = stored(
-        both.join(names, "id").select("other", F.col("node").alias("v"))
-        .join(names.withColumnRenamed("id", "other").withColumnRenamed("node", "w"), "other")
-        .select("v", "w"),
+        edges.select(F.col("a").alias("v"), F.col("b").alias("w")).unionByName(
+            edges.select(F.col("b").alias("v"), F.col("a").alias("w"))
+        ),
         "components-links",
     )
     labels = stored(links.groupBy("v").agg(F.least(F.min("w"), F.col("v")).alias("label")), "components-labels")
@@ -69,16 +63,12 @@ def connected(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> Data
             .agg(F.min("seen").alias("up"))
         )
         # shortcut: take the label of one's label
-        new = (
-            hooked.alias("x")
-            .join(hooked.select(F.col("k").alias("up"), F.col("up").alias("upper")), "up", "left")
-            .select(F.col("k").alias("v"), F.least("up", "upper").alias("label"))
+        new = hooked.join(hooked.select(F.col("k").alias("up"), F.col("up").alias("upper")), "up", "left").select(
+            F.col("k").alias("v"), F.least("up", "upper").alias("label")
         )
         new = stored(new.join(labels.withColumnRenamed("label", "old"), "v"), "components-labels")
         changed = new.where("label < old").limit(1).count()
         labels = new.select("v", "label")
         if not changed:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return names.join(labels.withColumnRenamed("v", "node"), "node").select("id", "label")
+            return labels.withColumnRenamed("v", "id")
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

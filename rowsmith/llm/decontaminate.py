@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm import textops as T
-from rowsmith.llm.common import bounded_batches, stored
+from rowsmith.llm.common import bounded_batches, fresh_name, stored
 
 SEGMENT_BYTES = 8 << 20
 SEGMENT_DOCS = 1 << 16
@@ -323,3 +323,12 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, size: int = 10,
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, *, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
+    """The rows of ``docs``, all columns, without an occurring phrase of ``benchmark``."""
+    key = fresh_name(docs, "row_key")
+    own_key = F.xxhash64(F.col(id_col), F.col(text_col))
+    found = find_benchmark(docs.select(own_key.alias("row_key"), F.col(text_col).alias("text")), benchmark, size, id_col="row_key", **names)
+    hit = stored(found.where(F.size("hits") > 0).select(F.col("doc_id").alias(key)).distinct(), "decontaminate-hit")
+    return docs.withColumn(key, own_key).join(hit, key, "left_anti").select(*docs.columns)

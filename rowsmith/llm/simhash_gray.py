@@ -29,9 +29,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rowsmith.llm import textops as T
-from rowsmith.llm.common import NULL_ID, bounded_batches, stored
+from rowsmith.llm.common import bounded_batches, fresh_name, order_key, stored
 from rowsmith.llm.components import Forest, connected
 
 SEED = 42
@@ -276,25 +277,36 @@ def near_duplicates(
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
     component_id is the smallest doc_id that can be reached over links, itself included. Empty, blank and
-    null texts have the fingerprint zero and link like any other. A null id is the largest id: its component_id is null
-    only where no row of the component has an id. Repeated rows give repeated rows; an empty table gives none;
+    null texts have the fingerprint zero and link like any other. A component_id is null where no row of the component has an id. Repeated rows give repeated rows; an empty table gives none;
     other columns are not read.
     """
     fps = stored(fingerprints(docs, width, id_col=id_col, text_col=text_col), "simhash-fingerprints")
-    nodes = stored(
-        fps.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("node")), "simhash-distinct"
-    )
-    edges = near_links(nodes, max_bits, bucket_rows=bucket_rows)
-    labels = connected(stored(edges.distinct(), "simhash-edges"), nodes.select(F.col("fp").alias("id"), "node"))
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    edges = stored(near_links(distinct, max_bits, bucket_rows=bucket_rows).distinct(), "simhash-edges")
+    labels = connected(edges).withColumnRenamed("id", "fp")
+    linked = stored(distinct.join(labels, "fp"), "simhash-linked")
+    groups = linked.groupBy("label").agg(F.min("least").alias("component"))
+    alone = distinct.join(labels, "fp", "left_anti").select("fp", F.col("least").alias("component"))
     # stored, so that the join below reads its two sides as they are and a hot fingerprint's rows can be split
-    moved = stored(
-        nodes.join(labels.withColumnRenamed("id", "fp"), "fp", "left").select(
-            "fp", F.coalesce("label", "node").alias("component")
-        ),
-        "simhash-components",
-    )
+    moved = stored(linked.join(groups, "label").select("fp", "component").unionByName(alone), "simhash-components")
     return fps.join(moved, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("component") != NULL_ID, F.col("component")).alias("component_id"),
+        F.col("component").alias("component_id"),
     )
+
+
+def one_of_each_group(
+    docs: DataFrame, width: int = 3, max_bits: int = 3, *, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 1 << 15
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their group: the document of the smallest id, once.
+
+    Rows without an id come after all others, in the order of a hash of their texts.
+    """
+    key, number = fresh_name(docs, "id_key"), fresh_name(docs, "copy_number")
+    keyed = docs.withColumn(key, order_key(id_col, text_col))
+    found = near_duplicates(keyed, width, max_bits, id_col=key, text_col=text_col, bucket_rows=bucket_rows)
+    stays = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct(), "simhash-stays")
+    copies = Window.partitionBy(key, F.xxhash64(text_col)).orderBy(key)
+    once = keyed.join(stays, key, "left_semi").withColumn(number, F.row_number().over(copies)).where(F.col(number) == 1)
+    return once.select(*docs.columns)

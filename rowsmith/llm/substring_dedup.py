@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm import textops as T
-from rowsmith.llm.common import NULL_ID, bounded_batches, stored
+from rowsmith.llm.common import bounded_batches, order_key
 
 DEPTH = 2
 GRAM = 8
@@ -258,25 +258,28 @@ def remove_repeats(
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` as they stand; null and blank texts have none. Windows are judged on the input.
-    A null id is the largest id. Rows that share id and text are one document (each gets the same result). Ids should
+    Rows without an id come last, by a hash of their texts. Rows that share id and text are one document (each gets the same result). Ids should
     tell texts apart: of rows that share only the id, which one is the earlier is not defined. An empty table gives
     no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    bounded_batches(rows)
+    rows = bounded_batches(
+        docs.select(
+            order_key(id_col, text_col).alias("id"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+        )
+    )
     sketch = spark.sparkContext.broadcast(merged_sketch(rows.select("text"), size, max_cells))
-    keyed = rows.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text")
     firsts = (
-        keyed.mapInArrow(_candidates(size, sketch), "h long, c int, id long, start int")
+        rows.select("id", "text")
+        .mapInArrow(_candidates(size, sketch), "h long, c int, id long, start int")
         .groupBy("h", "c")
         .agg(F.min("id").alias("id"), F.min_by("start", "id").alias("start"))
         .groupBy("id")
         .agg(F.collect_list("start").alias("firsts"))
     )
     return (
-        keyed.join(firsts, "id", "left")
-        .select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "text", "firsts")
+        rows.join(firsts, "id", "left")
+        .select("doc_id", "text", "firsts")
         .mapInArrow(
             _removed(size, sketch, with_text),
             "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text,

@@ -411,3 +411,19 @@ def score_documents(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", threshold: float = 0.3, *, text_col: str = "text", **names) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold`` (see ``score_documents``); no shuffle."""
+    rows = docs.select(F.col(names.pop("id_col", "doc_id")).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    model = docs.sparkSession.sparkContext.broadcast(train(rows, labels, label_col, **names))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for chunk in T.chunks(_lowered(batch, place)):
+                keep[chunk.first : chunk.first + chunk.n] = model.value.scores(chunk) < threshold
+            yield batch.filter(pa.array(keep))
+
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
