@@ -67,9 +67,14 @@ def java_split(c: ColumnOrName, regex: str, needed: int | None = None) -> Column
             .when(body == "", _empty_strings())
             .otherwise(F.split(body, regex, limit))
         )
-    parts = F.split(c, regex, -1)
-    keep = F.array_max(F.transform(parts, lambda e, i: F.when(e != "", i + 1).otherwise(0)))
-    return F.when(c == "", F.array(F.lit(""))).otherwise(F.slice(parts, 1, F.coalesce(keep, F.lit(0))))
+
+    def cut(parts: Column) -> Column:
+        keep = F.array_max(F.transform(parts, lambda e, i: F.when(e != "", i + 1).otherwise(0)))
+        return F.slice(parts, 1, F.coalesce(keep, F.lit(0)))
+
+    # A one-element array binds the parts, so the regex runs once a value.
+    bound = F.get(F.transform(F.array(F.split(c, regex, -1)), cut), F.lit(0))
+    return F.when(c == "", F.array(F.lit(""))).otherwise(bound)
 
 
 def text_lines(c: ColumnOrName) -> Column:
@@ -91,9 +96,10 @@ def is_blank(c: ColumnOrName) -> Column:
     """The blank-line test of the readers.
 
     True when the line is empty after ``String.trim`` (every char <= U+0020),
-    or starts with a carriage return or line feed.
+    or starts with a carriage return or line feed. (``\\z``, not ``$``: in Java ``$``
+    also matches before a final U+0085, U+2028 or U+2029, which ``trim`` keeps.)
     """
-    return _col(c).rlike("^(?:[\\r\\n]|[\\x00-\\x20]*$)")
+    return _col(c).rlike("^(?:[\\r\\n]|[\\x00-\\x20]*\\z)")
 
 
 def tokens(c: ColumnOrName) -> Column:
@@ -150,8 +156,8 @@ def parse_double(c: ColumnOrName, name: str = "field") -> Column:
     c = _col(c)
     fail = F.raise_error(F.concat(F.lit(f"DOUBLE field '{name}' cannot parse: "), c))
     special = c.contains("n") | c.contains("N")
-    loose = special & c.rlike("(?i)^[\\x00-\\x20]*[+-]?(inf|infinity|nan)[\\x00-\\x20]*$")
-    exact = c.rlike("^[\\x00-\\x20]*[+-]?(Infinity|NaN)[\\x00-\\x20]*$")
+    loose = special & c.rlike("(?i)^[\\x00-\\x20]*[+-]?(inf|infinity|nan)[\\x00-\\x20]*\\z")
+    exact = c.rlike("^[\\x00-\\x20]*[+-]?(Infinity|NaN)[\\x00-\\x20]*\\z")
     out = F.when(c.isNull(), F.lit(None).cast("double")).when(loose & ~exact, fail)
     if _ansi():
         return out.otherwise(c.cast("double"))

@@ -25,7 +25,7 @@ def scan_audit(
     count per task, then one row per file), joined back on the file path.
     """
     listing = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-    matched = name_matches(pattern, pattern_on) if pattern is not None else F.lit(True)
+    matched = name_matches(pattern, pattern_on) if pattern else F.lit(True)
     files = listing.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
@@ -35,7 +35,7 @@ def scan_audit(
     if not count_lines:
         return files
     text = spark.read.text(path if isinstance(path, str) else list(path))
-    if pattern is not None:
+    if pattern:
         text = text.where(name_matches(pattern, pattern_on))
     counts = text.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("lines"))
     return files.join(counts, "file_path", "left").select(
@@ -47,7 +47,7 @@ def scan_audit(
     )
 
 
-AUDIT_SCHEMA = "path string, is_zip boolean, entries bigint, text_bytes bigint"
+AUDIT_SCHEMA = "file_path string, file_name string, bytes bigint, matched boolean, is_zip boolean, entries bigint, text_bytes bigint"
 
 
 def _archive_info_task():
@@ -58,22 +58,22 @@ def _archive_info_task():
     from rowsmith.sources.archives import open_archive
 
     def run(batches):
-        out = {"path": [], "is_zip": [], "entries": [], "text_bytes": []}
         for batch in batches:
-            for uri in batch.column("path").to_pylist():
+            found = []
+            for uri, matched in zip(batch.column("file_path").to_pylist(), batch.column("matched").to_pylist(), strict=True):
+                if not matched:
+                    found.append((None, None, None))
+                    continue
                 with open_archive(uri) as fh:
                     try:
                         with zipfile.ZipFile(fh) as zf:
                             infos = [i for i in zf.infolist() if not i.is_dir()]
-                            row = (uri, True, len(infos), sum(i.file_size for i in infos))
+                            found.append((True, len(infos), sum(i.file_size for i in infos)))
                     except zipfile.BadZipFile:
-                        row = (uri, False, None, None)
-                for k, v in zip(out, row):
-                    out[k].append(v)
-        yield pa.RecordBatch.from_pydict(
-            out,
-            schema=pa.schema([("path", pa.string()), ("is_zip", pa.bool_()), ("entries", pa.int64()), ("text_bytes", pa.int64())]),
-        )
+                        found.append((False, None, None))
+            columns = zip(*found, strict=True) if found else [()] * 3
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.bool_(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, "is_zip", "entries", "text_bytes"])
 
     return run
 
@@ -96,15 +96,11 @@ def archive_audit(
     from rowsmith.session import default_parallelism
 
     listing = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-    matched = name_matches(pattern, pattern_on) if pattern is not None else F.lit(True)
+    matched = name_matches(pattern, pattern_on) if pattern else F.lit(True)
     files = listing.select(
-        F.col("path"),
+        F.col("path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("length").alias("bytes"),
         matched.alias("matched"),
     )
-    n = partitions or default_parallelism(spark)
-    info = files.where("matched").select("path").repartition(n).mapInArrow(_archive_info_task(), AUDIT_SCHEMA)
-    return files.join(info, "path", "left").select(
-        F.col("path").alias("file_path"), "file_name", "bytes", "matched", "is_zip", "entries", "text_bytes"
-    )
+    return files.repartition(partitions or default_parallelism(spark)).mapInArrow(_archive_info_task(), AUDIT_SCHEMA)

@@ -12,19 +12,15 @@ TABLES = (
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan plans fewer tasks than that.
+    """Round-robin the rows over the cluster's cores when the table has fewer files than that.
 
     A table stored as one file with one row group scans in a single task;
     heavy per-row work after it (splitting texts, parsing lines) would then
-    run on one core. A table stored in many splits already has enough tasks
+    run on one core. A table of many files already has enough tasks
     and is returned unchanged, so large inputs get no extra shuffle.
     """
     cores = default_parallelism(df.sparkSession)
-    try:
-        planned = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view: leave the plan as it is
-        return df
-    if planned >= cores:
+    if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)
 

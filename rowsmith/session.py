@@ -8,7 +8,9 @@ folder of our own is made only when the session names none (local tests).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +42,11 @@ def local_session(
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One JVM: driver and tasks see the same disk (``local-cluster`` runs executors of their own)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only where none is named."""
     try:
@@ -51,7 +58,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not _is_local(sc.master if sc is not None else spark.conf.get("spark.master", "")):
+            # A folder of one machine would be written by each executor on its own disk.
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="rowsmith-checkpoints-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if sc is None:
         spark.conf.set("spark.checkpoint.dir", named)
         return named
@@ -89,29 +100,16 @@ def local_path(uri: str) -> str | None:
 
 def file_system(uri: str):
     """``(pyarrow file system, path)`` for a local or remote URI."""
+    import pyarrow as pa
     import pyarrow.fs as pafs
 
     lp = local_path(uri)
     if lp is not None:
         return pafs.LocalFileSystem(), lp
-    return pafs.FileSystem.from_uri(uri)
-
-
-def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
-    """Session settings sized for ``input_bytes`` of input on ``cores`` task slots.
-
-    Text is read in 128 MiB splits. The word-count shuffle starts with one
-    partition per 8 GiB of input (at least two per core, at most 20,000, so
-    the map-output index stays small) and adaptive execution merges them to
-    about 256 MiB each and splits skewed ones. 100 TB on 8,000 cores gives
-    about 12,000 shuffle partitions.
-    """
-    shuffle = max(2 * cores, min(20000, input_bytes // (8 << 30)))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(128 << 20),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-    }
+    # Hadoop's names of the S3 file system
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3" + uri[3:]
+    try:
+        return pafs.FileSystem.from_uri(uri)
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"archives can't be opened on {uri.split(':', 1)[0]}: {e}") from None

@@ -21,6 +21,7 @@ entries instead of in one task (``archive_units``), with the same result.
 from __future__ import annotations
 
 import zipfile
+import zlib
 from collections.abc import Iterator
 from urllib.parse import unquote
 
@@ -32,8 +33,12 @@ from rowsmith.operators.fields import as_schema
 from rowsmith.session import default_parallelism, file_system, local_path
 from rowsmith.sources.delimited import name_matches, parse_delimited
 
+# What zipfile raises for an entry that can't be decompressed.
+BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
+
 LINES_SCHEMA = "file_path string, file_name string, line_no bigint, value string"
 BATCH_LINES = 8192
+BATCH_BYTES = 4 << 20
 CHUNK = 1 << 20
 # Archives above SPLIT_BYTES (compressed) are read in parallel units of about UNIT_BYTES (uncompressed).
 SPLIT_BYTES = 256 << 20
@@ -50,16 +55,25 @@ def open_archive(uri: str):
 
 
 def coalesce_chunks(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """Join small pieces (many small entries) into chunks of about ``CHUNK`` bytes."""
+    """Join small pieces (many small entries) into chunks of about ``CHUNK`` bytes.
+
+    Where reading fails, what was read before is passed on first, so the lines
+    before a broken entry are seen whatever the sizes of the entries.
+    """
     buf = bytearray()
-    for p in pieces:
-        if not buf and len(p) >= CHUNK:
-            yield p
-            continue
-        buf += p
-        if len(buf) >= CHUNK:
+    try:
+        for p in pieces:
+            if not buf and len(p) >= CHUNK:
+                yield p
+                continue
+            buf += p
+            if len(buf) >= CHUNK:
+                yield bytes(buf)
+                buf = bytearray()
+    except BROKEN:
+        if buf:
             yield bytes(buf)
-            buf = bytearray()
+        raise
     if buf:
         yield bytes(buf)
 
@@ -85,22 +99,36 @@ def _entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
 
 
 class BatchBuilder:
-    """Collects numbered line arrays of many archives into Arrow batches of up to ``BATCH_LINES`` rows."""
+    """Collects numbered line arrays of many archives into Arrow batches of up to ``BATCH_LINES`` rows and
+    ``BATCH_BYTES`` of lines (a longer line is a batch of its own)."""
 
-    def __init__(self, encoding: str, with_file: bool):
-        self.encoding, self.with_file = encoding, with_file
+    def __init__(self, encoding: str, with_file: bool, on_bad_bytes: str = "replace"):
+        self.encoding, self.with_file, self.on_bad_bytes = encoding, with_file, on_bad_bytes
         self.parts: list = []
-        self.rows = 0
+        self.rows = self.bytes = 0
 
     def add(self, uri: str, name: str, first_no: int, lines) -> Iterator:
         """Add lines numbered from ``first_no``; yields the batches that became full."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        if not len(lines):
+            return
+        ends = np.cumsum(pc.binary_length(lines).to_numpy(zero_copy_only=False))
         i = 0
         while i < len(lines):
-            take = min(len(lines) - i, BATCH_LINES - self.rows)
+            before = int(ends[i - 1]) if i else 0
+            fits = int(np.searchsorted(ends, before + BATCH_BYTES - self.bytes, "right")) - i
+            take = min(len(lines) - i, BATCH_LINES - self.rows, fits)
+            if take <= 0 and self.rows:
+                yield self.flush()
+                continue
+            take = max(take, 1)
             self.parts.append((uri, name, first_no + i, lines.slice(i, take)))
-            self.rows += take
             i += take
-            if self.rows >= BATCH_LINES:
+            self.rows += take
+            self.bytes += int(ends[i - 1]) - before
+            if self.rows >= BATCH_LINES or self.bytes >= BATCH_BYTES:
                 yield self.flush()
 
     def flush(self):
@@ -114,63 +142,34 @@ class BatchBuilder:
             names.append(fn)
             numbers.append(np.arange(first_no, first_no + len(lines), dtype=np.int64))
             values.append(lines)
-        self.parts, self.rows = [], 0
+        self.parts, self.rows, self.bytes = [], 0, 0
         return pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays(paths),
                 pa.concat_arrays(names),
                 pa.array(np.concatenate(numbers)),
-                decode_array(pa.concat_arrays(values), self.encoding),
+                decode_array(pa.concat_arrays(values), self.encoding, self.on_bad_bytes),
             ],
             names=["file_path", "file_name", "line_no", "value"],
         )
 
 
-def line_blocks(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
+def line_arrays(chunks: Iterator[bytes]):
     """Split a byte stream at ``\\n``, ``\\r`` and ``\\r\\n`` like ``readLine``, a chunk at a time.
 
-    Yields lists of lines closed by a line end (line ends removed), then a
-    last one-element list with the bytes after the final line end (maybe
-    empty). A ``\\r`` that ends a chunk is held so that a ``\\n`` opening the
-    next chunk is read as the same line end.
-    """
-    carry = b""
-    skip_lf = False
-    for chunk in chunks:
-        if skip_lf and chunk:
-            skip_lf = False
-            if chunk[:1] == b"\n":
-                chunk = chunk[1:]
-        if not chunk:
-            continue
-        data = carry + chunk if carry else chunk
-        lines = data.splitlines()
-        last = data[-1:]
-        if last == b"\r":
-            skip_lf, carry = True, b""
-        elif last == b"\n":
-            carry = b""
-        else:
-            carry = lines.pop()
-        if lines:
-            yield lines
-    yield [carry]
-
-
-def line_arrays(chunks: Iterator[bytes]):
-    """Like ``line_blocks``, but each block is an Arrow binary array built with numpy.
-
-    Every ``\\r`` and ``\\n`` byte belongs to a line end (a line cannot hold
-    one), so the line bodies are the chunk without those bytes, and a line's
-    end offset is the count of body bytes before its line end. A line end is
-    a ``\\n``, or a ``\\r`` not followed by ``\\n``. No Python runs per line.
-    The last block is a one-element array with the bytes after the final
-    line end (maybe empty).
+    Yields ``(lines, True)`` for the lines each chunk closes, as soon as it is
+    read, then ``([rest], False)``: the bytes after the final line end (maybe
+    empty). Lines are Arrow binary arrays built with numpy: every ``\\r`` and
+    ``\\n`` byte belongs to a line end (a line cannot hold one), so the line
+    bodies are the chunk without those bytes, and a line's end offset is the
+    count of body bytes before its line end. A line end is a ``\\n``, or a
+    ``\\r`` not followed by ``\\n`` (also in the next chunk). No Python runs per
+    line, and the pieces of a line over many chunks are joined once.
     """
     import numpy as np
     import pyarrow as pa
 
-    carry = b""
+    carry: list[bytes] = []
     skip_lf = False
     for chunk in chunks:
         if skip_lf and chunk:
@@ -179,36 +178,32 @@ def line_arrays(chunks: Iterator[bytes]):
                 chunk = chunk[1:]
         if not chunk:
             continue
-        data = carry + chunk if carry else chunk
-        buf = np.frombuffer(data, dtype=np.uint8)
+        buf = np.frombuffer(chunk, dtype=np.uint8)
         lf = buf == 10
         cr = buf == 13
         ends_line = lf.copy()
         ends_line[:-1] |= cr[:-1] & ~lf[1:]
-        last = data[-1:]
-        if last == b"\r":
+        if chunk[-1:] == b"\r":
             ends_line[-1] = True
             skip_lf = True
         ends = np.flatnonzero(ends_line)
         if len(ends) == 0:
-            carry = data
+            carry.append(chunk)
             continue
         body = ~(lf | cr)
-        body_before = np.cumsum(body, dtype=np.int64)
-        offsets = np.empty(len(ends) + 1, dtype=np.int64)
-        offsets[0] = 0
-        offsets[1:] = body_before[ends]
+        head = b"".join(carry)
+        offsets = np.zeros(len(ends) + 1, dtype=np.int64)
+        offsets[1:] = np.cumsum(body, dtype=np.int64)[ends] + len(head)
         tail_start = int(ends[-1]) + 1
-        content = buf[: tail_start][body[: tail_start]]
-        yield pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(content.tobytes())]
-        )
-        carry = data[tail_start:]
-    yield pa.array([carry], pa.large_binary())
+        content = head + buf[:tail_start][body[:tail_start]].tobytes()
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(content)]
+        yield pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), buffers), True
+        carry = [chunk[tail_start:]] if tail_start < len(chunk) else []
+    yield pa.array([b"".join(carry)], pa.large_binary()), False
 
 
-def decode_array(lines, encoding: str):
-    """Arrow string array of binary lines; bad bytes become U+FFFD as the JVM reader does."""
+def decode_array(lines, encoding: str, on_bad_bytes: str = "replace"):
+    """Arrow string array of binary lines; bad bytes become U+FFFD as the JVM reader does, or fail."""
     import pyarrow as pa
 
     if encoding.replace("_", "-").lower() in ("utf-8", "utf8"):
@@ -216,95 +211,50 @@ def decode_array(lines, encoding: str):
             return lines.cast(pa.large_string()).cast(pa.string())
         except (pa.ArrowInvalid, UnicodeDecodeError):
             pass
-    return pa.array([x.decode(encoding, "replace") for x in lines.to_pylist()], pa.string())
-
-
-def numbered_arrays(chunks: Iterator[bytes], first_data_line: int, sentinel: bytes | None):
-    """``(number of the first line, binary array)`` blocks after the header and sentinel rules."""
+    errors = "strict" if on_bad_bytes == "fail" else "replace"
+    raw = lines.to_pylist()
+    # One decode for all lines: none holds a line end, and no charset takes one into a character.
+    texts = b"\n".join(raw).decode(encoding, errors).split("\n") if raw else []
+    if len(texts) != len(raw):
+        texts = [x.decode(encoding, errors) for x in raw]
+    return pa.array(texts, pa.string())
+
+
+def is_sentinel(lines, sentinel: str, encoding: str):
+    """Boolean array: which of the binary lines are the sentinel. Bytes are compared, or decoded
+    lines where the sentinel holds U+FFFD (it can then equal a badly encoded line)."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    next_no = 1
-    blocks = line_arrays(chunks)
-    pending = next(blocks)
-    sent = None if sentinel is None else pa.scalar(sentinel, pa.large_binary())
-
-    def rules(start, arr):
-        skip = first_data_line - start
-        if skip >= len(arr):
-            return None, False
-        if skip > 0:
-            arr, start = arr.slice(skip), start + skip
-        stopped = False
-        if sent is not None:
-            k = pc.index(arr, sent).as_py()
-            if k >= 0:
-                arr, stopped = arr.slice(0, k), True
-        return ((start, arr) if len(arr) else None), stopped
-
-    for block in blocks:
-        done, pending = pending, block
-        kept, stopped = rules(next_no, done)
-        if kept:
-            yield kept
-        if stopped:
-            return
-        next_no += len(done)
-    if len(pending[0].as_py()):
-        kept, _ = rules(next_no, pending)
-        if kept:
-            yield kept
-
+    if "\ufffd" in sentinel:
+        return pc.equal(decode_array(lines, encoding), pa.scalar(sentinel))
+    return pc.equal(lines, pa.scalar(sentinel.encode(encoding), pa.large_binary()))
 
-def terminated_lines(chunks: Iterator[bytes]) -> Iterator[tuple[bool, bytes]]:
-    """``(True, line)`` for every line closed by a line end, then ``(False, rest)``."""
-    prev = None
-    for block in line_blocks(chunks):
-        if prev is not None:
-            for line in prev:
-                yield True, line
-        prev = block
-    yield False, prev[0]
-
-
-def raw_lines(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """The lines ``readLine`` returns for a byte stream (a final unterminated line only if non-empty)."""
-    for closed, line in terminated_lines(chunks):
-        if closed or line:
-            yield line
-
-
-def archive_lines(
-    zf: zipfile.ZipFile,
-    *,
-    first_data_line: int = 1,
-    sentinel: str | None = "EOF",
-    entry_newline: bool = False,
-    encoding: str = "utf-8",
-) -> Iterator[tuple[int, str]]:
-    """``(line_no, line)`` of one archive after the header and sentinel rules (blank lines kept)."""
-    for start, lines in _archive_blocks(zf, first_data_line, sentinel, entry_newline, encoding):
-        for i, text in enumerate(decode_array(lines, encoding).to_pylist()):
-            yield start + i, text
 
+def numbered_arrays(chunks: Iterator[bytes], first_data_line: int, sentinel: str | None, encoding: str):
+    """``(number of the first line, binary array)`` blocks after the header and sentinel rules.
 
-def _archive_blocks(zf, first_data_line, sentinel, entry_newline, encoding):
-    import pyarrow as pa
+    Nothing after the block that holds the sentinel is read.
+    """
+    import pyarrow.compute as pc
 
-    chunks = _entry_chunks(zf, entry_newline)
-    if sentinel is None or "\ufffd" not in sentinel:
-        sent = None if sentinel is None else sentinel.encode(encoding)
-        yield from numbered_arrays(chunks, first_data_line, sent)
-        return
-    # A sentinel holding U+FFFD can equal a badly encoded line: compare decoded text.
-    no = 0
-    for raw in raw_lines(chunks):
-        no += 1
-        if no < first_data_line:
-            continue
-        if raw.decode(encoding, "replace") == sentinel:
+    start = 1
+    for lines, closed in line_arrays(chunks):
+        if not closed and not len(lines[0].as_py()):
+            return
+        n = len(lines)
+        skip = min(max(first_data_line - start, 0), n)
+        kept = lines.slice(skip)
+        stop = -1
+        if sentinel is not None and len(kept):
+            stop = pc.index(is_sentinel(kept, sentinel, encoding), True).as_py()
+            if stop >= 0:
+                kept = kept.slice(0, stop)
+        if len(kept):
+            yield start + skip, kept
+        if stop >= 0:
             return
-        yield no, pa.array([raw], pa.large_binary())
+        start += n
 
 
 def file_columns(uri: str, name: str, n: int, with_file: bool):
@@ -319,7 +269,7 @@ def file_columns(uri: str, name: str, n: int, with_file: bool):
 
 def _lines_task(opts: dict):
     def run(batches):
-        out = BatchBuilder(opts["encoding"], opts["with_file"])
+        out = BatchBuilder(opts["encoding"], opts["with_file"], opts["on_bad_bytes"])
         for batch in batches:
             for uri in batch.column("path").to_pylist():
                 name = unquote(uri.rsplit("/", 1)[-1])
@@ -331,9 +281,8 @@ def _lines_task(opts: dict):
                             continue
                         raise ValueError(f"not a zip archive: {uri}") from None
                     with zf:
-                        blocks = _archive_blocks(
-                            zf, opts["first_data_line"], opts["sentinel"], opts["entry_newline"], opts["encoding"]
-                        )
+                        chunks = _entry_chunks(zf, opts["entry_newline"])
+                        blocks = numbered_arrays(chunks, opts["first_data_line"], opts["sentinel"], opts["encoding"])
                         for start, lines in blocks:
                             yield from out.add(uri, name, start, lines)
         if out.rows:
@@ -342,10 +291,15 @@ def _lines_task(opts: dict):
     return run
 
 
+def archive_tasks(paths: DataFrame, opts: dict, partitions: int) -> DataFrame:
+    """The lines of the archives ``path``, each read by one task in one pass."""
+    return paths.repartition(partitions).mapInArrow(_lines_task(opts), LINES_SCHEMA)
+
+
 def list_archives(spark: SparkSession, path: str | list[str], pattern: str | None = None, pattern_on: str = "name") -> DataFrame:
     """``path, length`` of the archives under ``path`` (no content is read)."""
     listing = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-    if pattern is not None:
+    if pattern:  # an empty pattern is the default: every archive
         listing = listing.where(name_matches(pattern, pattern_on))
     return listing.select("path", "length")
 
@@ -361,6 +315,7 @@ def read_archive_lines(
     entry_newline: bool = False,
     on_bad_archive: str = "fail",
     encoding: str = "utf-8",
+    on_bad_bytes: str = "replace",
     partitions: int | None = None,
     split_bytes: int = SPLIT_BYTES,
     unit_bytes: int = UNIT_BYTES,
@@ -370,6 +325,8 @@ def read_archive_lines(
 
     ``line_no`` is the physical line number in the archive's continuous
     text. ``on_bad_archive='skip'`` reads a file that is not a zip as empty.
+    An entry that can't be decompressed fails the read, unless the sentinel
+    ends the archive before it: so whatever the size of the archive.
     Archives larger than ``split_bytes`` are read in parallel in units of
     about ``unit_bytes`` of entries (see ``archive_units``); the rest are
     read one archive per task in a single pass. ``with_file=False`` leaves
@@ -377,6 +334,8 @@ def read_archive_lines(
     """
     if on_bad_archive not in ("fail", "skip"):
         raise ValueError("on_bad_archive must be 'fail' or 'skip'")
+    if on_bad_bytes not in ("fail", "replace"):
+        raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
     if first_data_line < 1:
         raise ValueError("first_data_line starts at 1")
     n = partitions or default_parallelism(spark)
@@ -387,13 +346,10 @@ def read_archive_lines(
         "entry_newline": entry_newline,
         "on_bad_archive": on_bad_archive,
         "encoding": encoding,
+        "on_bad_bytes": on_bad_bytes,
         "with_file": with_file,
     }
-    if sentinel is not None and "\ufffd" in sentinel:
-        # Such a sentinel can only match a line in decoded form: keep every archive in one task.
-        split_bytes = 1 << 62
-    small = listing.where(F.col("length") <= split_bytes).select("path").repartition(n)
-    lines = small.mapInArrow(_lines_task(opts), LINES_SCHEMA)
+    lines = archive_tasks(listing.where(F.col("length") <= split_bytes).select("path"), opts, n)
     large = listing.where(F.col("length") > split_bytes).select("path")
     # A listing-only check (no archive content is read): plan the unit path only when needed.
     if large.limit(1).count() == 0:

@@ -29,25 +29,31 @@ STANDARD_CHARSETS = {"us-ascii", "iso-8859-1", "utf-8", "utf-16be", "utf-16le",
 def name_matches(pattern: str, on: str = "name") -> Column:
     """Whole-match of ``pattern`` against each input file's base name (or full path)."""
     target = F.col("_metadata.file_name") if on == "name" else F.col("_metadata.file_path")
-    return target.rlike(f"^(?:{pattern})$")
+    return target.rlike(f"^(?:{pattern})\\z")
 
 
 @contextmanager
 def _coding_errors(spark: SparkSession, encoding: str, on_bad_bytes: str):
     """Session flags for a legacy-charset decode, held while the plan is analysed."""
-    if on_bad_bytes not in ("fail", "replace"):
-        raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
+    # Both are captured when the decode expression is analysed: set for this plan only.
+    flags = {"spark.sql.legacy.codingErrorAction": "true" if on_bad_bytes == "replace" else "false"}
     if encoding.lower() not in STANDARD_CHARSETS:
-        # Read by the decode expression when it runs, so it stays set.
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    key = "spark.sql.legacy.codingErrorAction"
-    before = spark.conf.get(key, "false")
-    # Captured when the decode expression is analysed: set it for this plan only.
-    spark.conf.set(key, "true" if on_bad_bytes == "replace" else "false")
+        flags["spark.sql.legacy.javaCharsets"] = "true"
+    with session_flags(spark, flags):
+        yield
+
+
+@contextmanager
+def session_flags(spark: SparkSession, flags: dict[str, str]):
+    """Set session flags and put back what was there."""
+    before = {k: spark.conf.get(k, "false") for k in flags}
+    for k, v in flags.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def read_lines(
@@ -64,8 +70,9 @@ def read_lines(
     """Lines of every file under ``path`` as ``value string``.
 
     ``strip_cr`` ends lines at ``\\n`` only and removes every ``\\r``;
-    otherwise ``\\n``, ``\\r`` and ``\\r\\n`` all end a line. ``with_file``
-    adds ``file_path`` and ``file_name`` columns.
+    otherwise ``\\n``, ``\\r`` and ``\\r\\n`` all end a line. ``on_bad_bytes``:
+    bytes that are no text in ``encoding`` fail the query or become U+FFFD.
+    ``with_file`` adds ``file_path`` and ``file_name`` columns.
     """
     if encoding.replace("_", "-").lower().startswith(("utf-16", "utf-32", "utf16", "utf32")):
         # Lines are cut at the bytes \n and \r, which these encodings use inside characters.
@@ -74,12 +81,16 @@ def read_lines(
     if strip_cr:
         reader = reader.option("lineSep", "\n")
     df = reader.text(path if isinstance(path, str) else list(path))
-    if pattern is not None:
+    if on_bad_bytes not in ("fail", "replace"):
+        raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
+    if pattern:  # an empty pattern is the default: every file
         df = df.where(name_matches(pattern, pattern_on))
     value = F.col("value")
     decode = encoding.replace("_", "-").lower() not in ("utf-8", "utf8")
     if decode:
         value = F.decode(value.cast("binary"), encoding)
+    else:
+        value = F.validate_utf8(value) if on_bad_bytes == "fail" else F.make_valid_utf8(value)
     if strip_cr:
         value = F.replace(value, F.lit("\r"), F.lit(""))
     cols = [value.alias("value")]
@@ -108,6 +119,7 @@ def parse_delimited(
     for counting. ``keep`` carries extra columns of ``lines`` through.
     """
     schema = as_schema(schema)
+    delimiter = delimiter or ","  # empty: the default
     line = F.col(line_col)
     carried = [F.col(k) for k in (keep or [])]
     picked = needed_positions(schema, columns)

@@ -36,6 +36,7 @@ class DelimitedTable:
     pattern_on: str = "name"
     strip_cr: bool = False
     null_value: str | None = None
+    on_bad_bytes: str = "fail"
 
     def read(self, spark: SparkSession, columns: list[str] | None = None) -> DataFrame:
         return read_delimited(
@@ -49,10 +50,12 @@ class DelimitedTable:
             pattern=self.pattern,
             pattern_on=self.pattern_on,
             strip_cr=self.strip_cr,
+            on_bad_bytes=self.on_bad_bytes,
         )
 
     def write(self, df: DataFrame, mode: str = "append") -> None:
-        out = self.write_delimiter or literal_char(self.delimiter) or self.delimiter
+        delimiter = self.delimiter or ","
+        out = self.write_delimiter or literal_char(delimiter) or delimiter
         write_delimited(df, self.path, delimiter=out, mode=mode)
 
     def register(self, spark: SparkSession, name: str) -> DataFrame:
@@ -70,10 +73,14 @@ class ArchiveTable:
     delimiter: str = ","
     write_delimiter: str | None = None
     pattern: str | None = None
+    pattern_on: str = "name"
     first_data_line: int = 1
     sentinel: str | None = "EOF"
     entry_newline: bool = False
     on_bad_archive: str = "fail"
+    encoding: str = "utf-8"
+    on_bad_bytes: str = "replace"
+    null_value: str | None = None
 
     def read(self, spark: SparkSession, columns: list[str] | None = None) -> DataFrame:
         return read_archives(
@@ -82,7 +89,11 @@ class ArchiveTable:
             self.schema,
             columns=columns,
             delimiter=self.delimiter,
+            null_value=self.null_value,
             pattern=self.pattern,
+            pattern_on=self.pattern_on,
+            encoding=self.encoding,
+            on_bad_bytes=self.on_bad_bytes,
             first_data_line=self.first_data_line,
             sentinel=self.sentinel,
             entry_newline=self.entry_newline,
@@ -90,7 +101,8 @@ class ArchiveTable:
         )
 
     def write(self, df: DataFrame, path: str, mode: str = "append") -> None:
-        out = self.write_delimiter or literal_char(self.delimiter) or self.delimiter
+        delimiter = self.delimiter or ","
+        out = self.write_delimiter or literal_char(delimiter) or delimiter
         write_delimited(df, path, delimiter=out, mode=mode)
 
     def register(self, spark: SparkSession, name: str) -> DataFrame:

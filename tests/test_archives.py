@@ -3,11 +3,12 @@
 import os
 import zipfile
 
+import pyarrow as pa
 import pytest
-from conftest import blank_model, read_line_model
+from conftest import read_line_model
 
 from rowsmith.sources import archives as A
-from rowsmith.sources.archives import raw_lines, read_archive_lines, read_archives
+from rowsmith.sources.archives import line_arrays, read_archive_lines, read_archives
 
 
 def _zip(path, entries, dirs=()):
@@ -111,18 +112,72 @@ def test_crlf_split_across_entries_and_chunks(spark, tmp_path, monkeypatch):
 def test_raw_lines_chunking_matches_model(chunk):
     data = b"a\r\nb\rc\n\n\r\rd\r\n\xc3\xa9e\r"
     pieces = [data[i : i + chunk] for i in range(0, len(data), chunk)]
-    got = [p.decode() for p in raw_lines(iter(pieces))]
+    got = [p.decode() for lines, closed in line_arrays(iter(pieces)) for p in lines.to_pylist() if closed or p]
     assert got == read_line_model(data.decode())
 
 
-def test_archive_lines_streams_in_bounded_batches(spark, tmp_path, monkeypatch):
+def test_batches_are_bounded_by_rows_and_bytes(monkeypatch):
+    monkeypatch.setattr(A, "BATCH_LINES", 100)
+    monkeypatch.setattr(A, "BATCH_BYTES", 1000)
+    lines = [b"x" * n for n in (1, 2000, 3, 999, 1, 0, 500, 500, 500)] + [b""] * 250
+    out = A.BatchBuilder("utf-8", True)
+    got = list(out.add("u", "n", 5, pa.array(lines[:6], pa.large_binary()))) + list(out.add("u", "n", 11, pa.array(lines[6:], pa.large_binary())))
+    got += [out.flush()] if out.rows else []
+    assert [v for b in got for v in b.column("value").to_pylist()] == [x.decode() for x in lines]
+    assert [v for b in got for v in b.column("line_no").to_pylist()] == list(range(5, 5 + len(lines)))
+    for b in got:
+        assert b.num_rows <= 100 and (b.num_rows == 1 or sum(map(len, b.column("value").to_pylist())) <= 1000)
+
+
+def test_long_line_is_read_in_linear_time():
+    import time
+
+    def seconds(chunks):
+        t = time.process_time()
+        (rest, closed), = line_arrays(iter([b"x" * (1 << 20)] * chunks))
+        assert not closed and len(rest[0].as_py()) == chunks << 20
+        return time.process_time() - t
+
+    seconds(4)
+    assert seconds(128) < 16 * max(seconds(32), 0.02)
+
+
+def _break_entry(path, name):
+    """Overwrite the compressed bytes of one entry."""
+    with zipfile.ZipFile(path) as z:
+        info = z.getinfo(name)
+    with open(path, "r+b") as f:
+        f.seek(info.header_offset + 30 + len(name))
+        f.write(b"\xff" * info.compress_size)
+
+
+@pytest.mark.parametrize("split_bytes", [0, 1 << 40])
+def test_broken_entry_fails_unless_the_sentinel_comes_first(spark, tmp_path, split_bytes):
+    body = "".join(f"{i},{i * i % 97}\n" for i in range(300))
+    after, before = str(tmp_path / "after"), str(tmp_path / "before")
+    _zip(f"{after}/a.zip", [("1.txt", "h\na\nb\nEOF\n" + body), ("2.txt", body), ("3.txt", body)])
+    _break_entry(f"{after}/a.zip", "3.txt")
+    _zip(f"{before}/b.zip", [("1.txt", body), ("2.txt", body), ("3.txt", "EOF\n" + body)])
+    _break_entry(f"{before}/b.zip", "2.txt")
+    kw = dict(split_bytes=split_bytes, unit_bytes=1)
+    assert [v for _, _, v in _lines(spark, after, **kw)] == ["h", "a", "b"]
+    with pytest.raises(Exception, match="zlib|Error -3|BadZip|bad"):
+        _lines(spark, before, **kw)
+
+
+@pytest.mark.parametrize("split_bytes", [0, 1 << 40])
+def test_sentinel_with_a_replacement_character_matches_decoded_lines(spark, tmp_path, split_bytes):
     d = str(tmp_path / "z")
-    body = "".join(f"{i},v{i}\n" for i in range(30000))
-    _zip(f"{d}/big.zip", [("a.txt", body), ("b.txt", body)])
-    monkeypatch.setattr(A, "BATCH_LINES", 1000)
-    df = read_archives(spark, d, "n bigint, v string")
-    assert df.count() == 60000
-    assert blank_model("") and not blank_model("x")
+    _zip(f"{d}/x.zip", [("a.txt", b"1\nE"), ("b.txt", b"\xff\n2\n"), ("c.txt", b"3\n")])
+    assert [v for _, _, v in _lines(spark, d, sentinel="E\ufffd", split_bytes=split_bytes, unit_bytes=1)] == ["1"]
+
+
+def test_charset_decode_and_bad_bytes(spark, tmp_path):
+    d = str(tmp_path / "z")
+    _zip(f"{d}/x.zip", [("a.txt", "甲,1\n乙丙,2\n".encode("gbk") + b"\xff\n")])
+    assert [v for _, _, v in _lines(spark, d, encoding="gbk")][:2] == ["甲,1", "乙丙,2"]
+    with pytest.raises(Exception, match="decode"):
+        _lines(spark, d, encoding="gbk", on_bad_bytes="fail")
 
 
 def _random_archives(d, seed, n_archives=4):
