@@ -150,20 +150,32 @@ def spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(ends - counts, counts) + np.repeat(first, counts)
 
 
+#: For each byte value: its bits as the bytes of a word, so that adding words counts eight bits at once.
+_LANES = ((np.arange(256, dtype=U64)[:, None] >> np.arange(8, dtype=U64) & U64(1)) << (U64(8) * np.arange(8, dtype=U64))).sum(
+    axis=1, dtype=U64
+)
+
+
 def majority_bits(hashes: np.ndarray, ranges: np.ndarray) -> np.ndarray:
     """Per range of hashes: the word of the bits set in over half of them (an empty range: 0)."""
     counts = np.diff(ranges)
-    out = np.zeros(len(counts), np.uint64)
+    out = np.zeros(len(counts), U64)
     full = np.flatnonzero(counts)
     if not len(full):
         return out
-    weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
-    step = 1 << 16  # hashes unpacked at once: 64 bytes each
-    sums = np.zeros((len(counts), 64), np.int64)
-    for lo in range(0, len(hashes), step):
-        part = hashes[lo : lo + step]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        own = np.flatnonzero((ranges[1:] > lo) & (ranges[:-1] < lo + len(part)) & (counts > 0))
-        at = np.maximum(ranges[own] - lo, 0)
-        sums[own] += np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-    return np.where(2 * sums > counts[:, None], weights, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+    # pieces of at most 255 hashes, so that a count fits a byte
+    pieces = -(-counts[full] // 255)
+    first = spread(np.zeros(len(full), np.int64), pieces) * 255 + np.repeat(ranges[:-1][full], pieces)
+    end = np.append(first[1:], ranges[-1])
+    sums = np.empty((len(first), 64), np.uint8)
+    a = 0
+    while a < len(first):
+        b = max(a + 1, int(np.searchsorted(end, first[a] + (1 << 16), "right")))
+        lanes = _LANES[hashes[first[a] : end[b - 1]].view(np.uint8).reshape(-1, 8)]
+        sums[a:b] = np.add.reduceat(lanes, first[a:b] - first[a], axis=0).view(np.uint8).reshape(-1, 64)
+        a = b
+    if len(first) > len(full):
+        sums = np.add.reduceat(sums, np.cumsum(pieces) - pieces, axis=0, dtype=np.int64)
+    weights = U64(1) << np.arange(64, dtype=U64)
+    out[full] = np.where(2 * sums.astype(np.int64) > counts[full][:, None], weights, U64(0)).sum(axis=1, dtype=U64)
+    return out
