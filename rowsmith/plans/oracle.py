@@ -76,8 +76,9 @@ w AS (SELECT doc_id, line_no, {WORDS('line')} AS ws FROM l)
 SELECT doc_id, line_no, {NUMBERED('ws')} AS word_no, unnest(ws) AS word FROM w
 """
 
+_ODD = f"repeat(' ', CAST(doc_id % 4 % 3 AS INT)) || substr('{S.NEAR_LINE_ENDS}', CAST(doc_id % 3 AS INT) + 1, 1)"
 SKIP_BLANK_LINES = f"""
-SELECT value FROM (SELECT unnest({LINES("text || chr(10) || chr(10)")}) AS value FROM documents)
+SELECT value FROM (SELECT unnest({LINES(f"(text || chr(10) || chr(10) || {_ODD} || chr(10))")}) AS value FROM documents)
 WHERE NOT {BLANK('value')}
 """
 
@@ -183,6 +184,33 @@ FROM (SELECT ts, unnest({WORDS('event_type')}) AS word FROM events) GROUP BY 1,
 """
 
 
+STREAM_PREVIEW = f"""
+WITH lines AS (SELECT doc_id // {S.PREVIEW_DOCS_PER_BUCKET} AS bucket, unnest({LINES('text')}) AS line FROM documents)
+SELECT bucket, least(10, count(*)) AS previewed, least(10, count(*)) AS found FROM lines GROUP BY bucket
+"""
+
+GBK_SCAN = f"""
+SELECT o_orderkey || ',' || substr('{S.TWO_BYTE_CHARS}', CAST(o_orderkey % 4 AS INT) + 1, 1) || ',' || o_orderstatus AS value
+FROM orders
+"""
+
+ARCHIVE_NAME_FILTER = f"""
+WITH {_DOC_ARCHIVE_LINES}
+SELECT printf('docs-%06d.zip', g) AS file_name, line_no, value FROM l WHERE g <= 3 AND NOT {BLANK('value')}
+"""
+
+FORMAT_NULL_CELLS = """
+SELECT CAST(l_orderkey AS VARCHAR) || ',' || coalesce(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, 'NULL')
+       || ',' || coalesce(CASE WHEN l_tax > 0.04 THEN CAST(l_partkey AS VARCHAR) END, 'NULL') AS value
+FROM lineitem
+"""
+
+ENCODE_ABSENT_FIELDS = f"""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(json_object('http_user_agent', event_type) AS VARCHAR) ELSE {REPORT} END AS message
+FROM events
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "word_count": WORD_COUNT,
@@ -215,4 +243,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_word_count": WORD_COUNT,
         "batched_word_count": BATCHED_WORD_COUNT,
         "interval_word_count": INTERVAL_WORD_COUNT,
+        "stream_preview": STREAM_PREVIEW,
+        "gbk_scan": GBK_SCAN,
+        "archive_name_filter": ARCHIVE_NAME_FILTER,
+        "format_null_cells": FORMAT_NULL_CELLS,
+        "encode_absent_fields": ENCODE_ABSENT_FIELDS,
     }

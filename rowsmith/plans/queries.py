@@ -114,7 +114,9 @@ FROM {table} WHERE l_discount > 0.05 GROUP BY l_returnflag, l_linestatus
 
 def q_external_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 + S1: delimited files registered as a named table and queried with SQL."""
-    DelimitedTable(staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA).register(spark, "lineitem_text")
+    # empty options stand for the defaults
+    lineitem = DelimitedTable(staging.lineitem_text(spark, sf_dir), staging.LINEITEM_SCHEMA, delimiter="", pattern="")
+    lineitem.register(spark, "lineitem_text")
     return spark.sql(EXTERNAL_TABLE_SQL.format(table="lineitem_text"))
 
 
@@ -278,8 +280,8 @@ def q_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("word", "cnt")
 
 
-# The bucketed line files are streamed in about this many micro-batches.
-STREAM_BATCHES = 4
+# Bucket files (about 250 kB each) that a micro-batch takes.
+FILES_PER_BATCH = 25
 
 
 def q_batched_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,9 +290,7 @@ def q_batched_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     A bucket is one file, so it never spans batches: the rows equal per-bucket counts
     however the files are batched."""
     path = staging.document_lines_by_bucket(spark, sf_dir)
-    files = spark.read.format("binaryFile").load(path).select("path").count()
-    per_batch = max(1, -(-files // STREAM_BATCHES))
-    src = streams.text_stream(spark, path, max_files_per_trigger=per_batch).select(
+    src = streams.text_stream(spark, path, max_files_per_trigger=FILES_PER_BATCH).select(
         "value", F.regexp_extract("_metadata.file_path", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
     )
     out = scratch_path(spark, "batched-word-count")
@@ -298,25 +298,64 @@ def q_batched_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("bucket", "word", "cnt")
 
 
+# Envelope files that a micro-batch takes.
+ENVELOPE_FILES_PER_BATCH = 4
+
+
 def q_interval_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2 (per interval): event-type counts per tumbling hour of the event time, run as a stream."""
-    src = streams.envelope_stream(spark, staging.event_envelopes(spark, sf_dir))
+    """A2 (per interval): event-type counts per tumbling hour of the event time, run as a stream of
+    several batches whose events are out of order; no state is kept between batches."""
+    src = streams.envelope_stream(spark, staging.event_envelopes(spark, sf_dir), max_files_per_trigger=ENVELOPE_FILES_PER_BATCH)
     typed = src.select(
         F.col("timestamp").alias("ts"),
         F.get_json_object(F.col("value").cast("string"), "$.http_user_agent").alias("value"),
     )
     out = scratch_path(spark, "interval-word-count")
     _run(streams.run_interval_word_count(typed, "ts", out, out + "-checkpoint", interval=INTERVAL, available_now=True))
-    counts = streams.latest_counts(spark, out)
+    counts = streams.interval_counts(spark, out)
     return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "word", "cnt")
 
 
 def q_stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3: the first ten lines of every batch of a line stream."""
-    src = streams.text_stream(spark, staging.document_lines(spark, sf_dir))
+    """K3: the first ten lines of every batch of a line stream, one bucket of documents a batch; per bucket the
+    lines previewed, and how many of them are lines of that bucket."""
+    path = staging.preview_lines_by_bucket(spark, sf_dir)
+    bucket = F.regexp_extract("_metadata.file_path", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
+    src = streams.text_stream(spark, path, max_files_per_trigger=1).select("value", bucket)
     out = scratch_path(spark, "stream-preview")
     _run(streams.preview(src, out, out + "-checkpoint", available_now=True))
-    return spark.read.parquet(out).select("value")
+    shown = spark.read.parquet(out).select("bucket", "value")
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("bucket").cast("bigint").alias("of"))
+    found = shown.join(lines.distinct(), (F.col("bucket") == F.col("of")) & (F.col("value") == F.col("line")), "left")
+    return found.groupBy("bucket").agg(F.count("*").alias("previewed"), F.count("line").alias("found"))
+
+
+def q_gbk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in GBK, with a two-byte character on every line, decoded in the JVM."""
+    return read_lines(spark, staging.gbk_order_lines(spark, sf_dir), encoding="GBK")
+
+
+# Archives 0 to 3 of the document archives, by base name.
+ARCHIVE_NAMES = "docs-00000[0-3]\\.zip"
+
+
+def q_archive_name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 on base names: only archives whose file name matches a regex are opened; directory entries hold no lines."""
+    lines = read_archive_lines(spark, staging.document_archives(spark, sf_dir), pattern=ARCHIVE_NAMES, sentinel=None)
+    return lines.where(~is_blank("value")).select("file_name", "line_no", "value")
+
+
+def q_format_null_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null cells as NULL."""
+    li = table(spark, sf_dir, "lineitem")
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    return format_lines(li.select("l_orderkey", flag, F.when(F.col("l_tax") > 0.04, F.col("l_partkey")).alias("part")))
+
+
+def q_encode_absent_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null fields are left out of the JSON message."""
+    ev = table(spark, sf_dir, "events").withColumn("props", F.when(F.col("event_id") % 3 != 0, F.col("props")))
+    return ev.select("event_id", report_event(ev).alias("message"))
 
 
 def queries() -> dict[str, Query]:
@@ -352,4 +391,8 @@ def queries() -> dict[str, Query]:
         "batched_word_count": q_batched_word_count,
         "interval_word_count": q_interval_word_count,
         "stream_preview": q_stream_preview,
+        "gbk_scan": q_gbk_scan,
+        "archive_name_filter": q_archive_name_filter,
+        "format_null_cells": q_format_null_cells,
+        "encode_absent_fields": q_encode_absent_fields,
     }

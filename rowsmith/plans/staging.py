@@ -18,12 +18,18 @@ from rowsmith.operators.words import lines_of
 from rowsmith.plans.tables import table
 from rowsmith.session import checkpoint_root, default_parallelism, file_system, scratch_path
 from rowsmith.sinks.delimited import format_lines, write_delimited
+from rowsmith.sources.delimited import session_flags
 
 # Fixed values of the staged sets (the oracle SQL uses the same numbers).
 ORDERS_PER_ARCHIVE = 2000
 ORDERS_PER_ENTRY = 100
 DOCS_PER_ARCHIVE = 25
 DOCS_PER_BUCKET = 100
+PREVIEW_DOCS_PER_BUCKET = 500
+# Two bytes each in GBK.
+TWO_BYTE_CHARS = "甲乙丙丁"
+# Characters that end no line and that trim keeps, though a regex's $ stands before them.
+NEAR_LINE_ENDS = "\u0085\u2028\u2029"
 LINEITEM_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -77,26 +83,47 @@ def document_lines(spark: SparkSession, sf_dir: str) -> str:
     return _memo(spark, sf_dir, "document-lines", build)
 
 
-def document_lines_by_bucket(spark: SparkSession, sf_dir: str) -> str:
-    """Document lines in one file per bucket of ``DOCS_PER_BUCKET`` consecutive doc ids
+def document_lines_by_bucket(spark: SparkSession, sf_dir: str, docs_per_bucket: int = DOCS_PER_BUCKET) -> str:
+    """Document lines in one file per bucket of ``docs_per_bucket`` consecutive doc ids
     (folders ``bucket=N``): buckets are bounded, and each is written by one task."""
 
     def build(path: str) -> None:
         docs = table(spark, sf_dir, "documents", spread_rows=True).select(
-            F.floor(F.col("doc_id") / DOCS_PER_BUCKET).cast("bigint").alias("bucket"), "text"
+            F.floor(F.col("doc_id") / docs_per_bucket).cast("bigint").alias("bucket"), "text"
         )
         lines = lines_of(docs, "text", keep=["bucket"])
         lines.repartition("bucket").write.partitionBy("bucket").text(path)
 
-    return _memo(spark, sf_dir, "document-lines-by-bucket", build)
+    return _memo(spark, sf_dir, f"document-lines-by-{docs_per_bucket}", build)
+
+
+def preview_lines_by_bucket(spark: SparkSession, sf_dir: str) -> str:
+    return document_lines_by_bucket(spark, sf_dir, PREVIEW_DOCS_PER_BUCKET)
+
+
+def gbk_order_lines(spark: SparkSession, sf_dir: str) -> str:
+    """One line per order in GBK: its key, a two-byte character that follows from it, its status."""
+
+    def build(path: str) -> None:
+        sign = F.substring(F.lit(TWO_BYTE_CHARS), F.pmod("o_orderkey", F.lit(4)).cast("int") + 1, F.lit(1))
+        line = F.concat_ws(",", F.col("o_orderkey").cast("string"), sign, F.col("o_orderstatus"))
+        with session_flags(spark, {"spark.sql.legacy.javaCharsets": "true"}):
+            # The encoded bytes are written as they are: a string column holds raw bytes.
+            lines = table(spark, sf_dir, "orders").select(F.encode(line, "GBK").cast("string").alias("value"))
+        lines.write.text(path)
+
+    return _memo(spark, sf_dir, "order-lines-gbk", build)
 
 
 def document_paragraphs(spark: SparkSession, sf_dir: str) -> str:
-    """Documents as text files, each followed by a blank line (paragraph-separated records)."""
+    """Documents as text files, each followed by a blank line (paragraph-separated records) and a line that
+    only looks blank: one of ``NEAR_LINE_ENDS``, after no, one or two spaces."""
 
     def build(path: str) -> None:
         docs = table(spark, sf_dir, "documents")
-        docs.select(F.concat("text", F.lit("\n")).alias("value")).write.text(path)
+        spaces = F.repeat(F.lit(" "), F.pmod("doc_id", F.lit(4)).cast("int") % 3)
+        odd = F.substring(F.lit(NEAR_LINE_ENDS), F.pmod("doc_id", F.lit(3)).cast("int") + 1, F.lit(1))
+        docs.select(F.concat("text", F.lit("\n\n"), spaces, odd).alias("value")).write.text(path)
 
     return _memo(spark, sf_dir, "document-paragraphs", build)
 
@@ -105,10 +132,11 @@ def encoded_document_lines(spark: SparkSession, sf_dir: str, encoding: str) -> s
     """Document lines written in a legacy single- or double-byte charset."""
 
     def build(path: str) -> None:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
         lines = lines_of(table(spark, sf_dir, "documents", spread_rows=True), "text")
-        # The encoded bytes are written as they are: a string column holds raw bytes.
-        lines.select(F.encode("value", encoding).cast("string").alias("value")).write.text(path)
+        with session_flags(spark, {"spark.sql.legacy.javaCharsets": "true"}):
+            # The encoded bytes are written as they are: a string column holds raw bytes.
+            encoded = lines.select(F.encode("value", encoding).cast("string").alias("value"))
+        encoded.write.text(path)
 
     return _memo(spark, sf_dir, f"document-lines-{encoding.lower()}", build)
 
@@ -118,7 +146,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str, topic: str = "test") -> st
     from rowsmith.operators.events import event_envelope, report_event
 
     def build(path: str) -> None:
-        ev = table(spark, sf_dir, "events")
+        ev = table(spark, sf_dir, "events", spread_rows=True)
         env = event_envelope(ev, report_event(ev), topic=topic, keep=["ts"])
         (
             env.select(
@@ -245,7 +273,7 @@ def lineitem_archives(spark: SparkSession, sf_dir: str) -> str:
 
 def document_archives(spark: SparkSession, sf_dir: str) -> str:
     """Documents in zip archives: ``DOCS_PER_ARCHIVE`` consecutive doc ids per archive,
-    one entry per document holding its text as is (entries run into each other)."""
+    one entry per document holding its text as is (entries run into each other), after a directory entry."""
 
     def build(path: str) -> None:
         docs = table(spark, sf_dir, "documents")
@@ -255,6 +283,9 @@ def document_archives(spark: SparkSession, sf_dir: str) -> str:
             F.col("text").alias("body"),
             F.col("doc_id").alias("seq"),
         )
-        write_archives(entries, path, prefix="docs")
+        folders = entries.select(
+            "archive", F.lit("texts/").alias("entry"), F.lit("").alias("body"), F.lit(-1).cast("bigint").alias("seq")
+        ).distinct()
+        write_archives(entries.unionByName(folders), path, prefix="docs")
 
     return _memo(spark, sf_dir, "document-archives", build)

@@ -170,14 +170,19 @@ def run_interval_word_count(
     available_now: bool = False,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Stream the interval counts in update mode: each batch writes the windows it changed.
-
-    Without ``watermark`` no row is ever late (the state keeps every
-    window); with one, rows older than the watermark are dropped and closed
-    windows leave the state. The state is split into ``state_partitions``
-    (default: the cluster's task slots); a stream fixes that number when it
-    first starts, so it is set for the start only.
+    """Stream the interval counts; read them with ``interval_counts``.
+
+    Without ``watermark`` every batch counts its own rows per window and
+    writes them: no state is kept, no row is ever late, and the counts of a
+    window are added when they are read. With one, Spark keeps the open
+    windows in its state store and each batch writes the windows it changed
+    (read with ``latest_counts``); rows older than the watermark are dropped. The state is split into
+    ``state_partitions`` (default: the cluster's task slots); a stream fixes
+    that number when it first starts, so it is set for the start only.
     """
+    if watermark is None:
+        count = lambda b: interval_word_count(b, ts_col, interval=interval, col=col)
+        return _start(lines.writeStream.foreachBatch(_per_batch(out, count)), checkpoint, trigger, available_now)
     counts = interval_word_count(lines, ts_col, interval=interval, col=col, watermark=watermark)
     writer = counts.writeStream.outputMode("update").foreachBatch(_per_batch(out, lambda b: b))
     spark = lines.sparkSession
@@ -190,7 +195,13 @@ def run_interval_word_count(
         spark.conf.set(key, before)
 
 
+def interval_counts(spark: SparkSession, out: str) -> DataFrame:
+    """Count per window and word: the sum over all batches of a stream without a watermark."""
+    rows = spark.read.parquet(out)
+    return rows.groupBy("window_start", "window_end", "word").agg(F.sum("cnt").alias("cnt"))
+
+
 def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    """Final count per window and word from an update-mode output: the row of the latest batch."""
+    """Count per window and word of a stream with a watermark: the row of the latest batch."""
     rows = spark.read.parquet(out)
     return rows.groupBy("window_start", "window_end", "word").agg(F.max_by("cnt", "batch_id").alias("cnt"))

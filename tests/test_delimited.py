@@ -116,9 +116,36 @@ def test_file_name_filter_prunes_files(spark, tmp_path):
         _write(d, name, f"{name},1\n".encode())
     df = read_delimited(spark, d, "name string, n bigint", pattern="2018_.*\\.txt")
     assert sorted(r.name for r in df.collect()) == ["2018_a.txt", "2018_b.txt"]
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan" in plan or "Scan" in plan
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 2  # of 6: the others are not opened
+
+
+def test_empty_options_are_the_defaults(spark, tmp_path):
+    d = str(tmp_path / "t")
+    _write(d, "a.txt", b"a,1\n")
+    assert _rows(read_delimited(spark, d, "name string, n bigint", delimiter="", pattern="")) == [("a", 1)]
+
+
+def test_lines_that_only_look_blank_are_kept(spark, tmp_path):
+    d = str(tmp_path / "t")
+    odd = [s + c for s in ("", " ", "  ") for c in ("\u0085", "\u2028", "\u2029")]
+    _write(d, "a.txt", "\n".join([*odd, "", "  ", "x"]).encode())
+    assert sorted(r.v for r in read_delimited(spark, d, "v string").collect()) == sorted([*odd, "x"])
+
+
+def test_bad_bytes_of_utf8_and_session_flags(spark, tmp_path):
+    d = str(tmp_path / "t")
+    _write(d, "a.txt", b"\xff\xfe\nok\n")
+    assert sorted(r.value for r in read_lines(spark, d, on_bad_bytes="replace").collect()) == ["ok", "\ufffd\ufffd"]
+    with pytest.raises(Exception, match="UTF8|UTF-8"):
+        read_lines(spark, d).collect()
+    with pytest.raises(ValueError):
+        read_lines(spark, d, on_bad_bytes="nonsense")
+    key = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(key, "false")
+    _write(d, "b.gbk", "甲\n".encode("gbk"))
+    assert [r.value for r in read_lines(spark, d, encoding="GBK", pattern="b.*").collect()] == ["甲"]
+    assert spark.conf.get(key, "false") == before
 
 
 def test_column_pruning_skips_bad_fields(spark, tmp_path):

@@ -50,16 +50,6 @@ def test_word_count_hot_word_is_pre_aggregated(spark):
     assert "partial_count" in plan
 
 
-def test_cluster_conf_scales():
-    from rowsmith.session import cluster_conf
-
-    small = cluster_conf(10 << 30, 8)
-    big = cluster_conf(100 * 10**12, 8000)
-    assert small["spark.sql.shuffle.partitions"] == "16"
-    assert 10000 <= int(big["spark.sql.shuffle.partitions"]) <= 20000
-    assert big["spark.sql.adaptive.enabled"] == "true"
-
-
 def test_archive_audit_flags_bad_archives(spark, tmp_path):
     import zipfile
 

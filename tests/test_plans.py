@@ -3,6 +3,8 @@
 import os
 import zipfile
 
+from rowsmith.functions.text import java_split
+from rowsmith.operators.audit import archive_audit
 from rowsmith.operators.words import lines_of, word_count
 from rowsmith.sources.archives import list_archives
 from rowsmith.sources.delimited import read_delimited
@@ -49,3 +51,24 @@ def test_archive_listing_reads_no_content(spark, tmp_path):
         z.writestr("e", "x\n")
     plan = _plan(list_archives(spark, d))
     assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_regex_split_runs_once_a_value(spark):
+    df = spark.createDataFrame([("a/b??",)], "u string").select(java_split("u", "[/?]").alias("f"))
+    assert str(df._jdf.queryExecution().optimizedPlan()).count("split(") == 1
+    assert df.first().f == ["a", "b"]
+
+
+def test_archive_audit_needs_no_join(spark, tmp_path):
+    d = str(tmp_path / "z")
+    os.makedirs(d)
+    with zipfile.ZipFile(os.path.join(d, "a.zip"), "w") as z:
+        z.writestr("dir/", "")
+        z.writestr("e", "xyz")
+    for name in ("b.zip", "c.txt"):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("no zip")
+    audit = archive_audit(spark, d, pattern=".*\\.zip")
+    assert "Join" not in _plan(audit)
+    got = sorted((r.file_name, r.matched, r.is_zip, r.entries, r.text_bytes) for r in audit.collect())
+    assert got == [("a.zip", True, True, 1, 3), ("b.zip", True, False, None, None), ("c.txt", False, None, None, None)]

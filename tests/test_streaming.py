@@ -71,7 +71,9 @@ def test_interval_word_count_stream_equals_batch(spark, tmp_path):
     stream = spark.readStream.schema("ts timestamp, value string").option("maxFilesPerTrigger", 1).parquet(src)
     out = str(tmp_path / "out")
     _run(S.run_interval_word_count(stream, "ts", out, str(tmp_path / "ck"), interval="1 hour", available_now=True))
-    got = sorted(tuple(r) for r in S.latest_counts(spark, out).collect())
+    assert not os.path.exists(str(tmp_path / "ck" / "state"))  # no state is kept between batches
+    assert len(os.listdir(out)) > 1
+    got = sorted(tuple(r) for r in S.interval_counts(spark, out).collect())
     expect = sorted(tuple(r) for r in S.interval_word_count(df, "ts", interval="1 hour").collect())
     assert got == expect
 
@@ -97,6 +99,24 @@ def test_interval_word_count_append_with_watermark(spark, tmp_path):
     assert got == [("a", 2), ("b", 1)]  # the first hour is closed by the watermark; the last is still open
 
 
+def test_interval_trigger_processes_stops_and_resumes(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+
+    def run_until(total):
+        q = S.batch_word_count(S.text_stream(spark, src), out, ck, trigger="200 milliseconds")
+        try:
+            q.processAllAvailable()
+            assert q.isActive
+        finally:
+            q.stop()
+        assert sum(r.cnt for r in spark.read.parquet(out).collect()) == total
+
+    _text(src, "f1.txt", ["a b", "a"])
+    run_until(3)
+    _text(src, "f2.txt", ["b c"])
+    run_until(5)  # resumed from its checkpoint: the first file is not counted again
+
+
 def test_preview_limits_each_batch(spark, tmp_path):
     src = str(tmp_path / "in")
     _text(src, "f1.txt", [f"l{i}" for i in range(25)])
