@@ -219,6 +219,25 @@ def _prior(context: int) -> float:
     return PRIOR[known]
 
 
+def _starts_hashed(vocabulary: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the first ``size`` bytes of every word (0: of all), and whether a character of it ends there."""
+    hashes, fits = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+    for chunk in T.chunks(vocabulary):
+        starts, ends = chunk.offsets[:-1], chunk.offsets[1:]
+        if size == 0:
+            hashes.append(T.word_hashes(chunk.buf, starts, ends))
+            fits.append(np.ones(chunk.n, bool))
+            continue
+        fit = ends - starts >= size
+        after = chunk.buf[np.minimum(starts + size, len(chunk.buf) - 1)]
+        fit &= (ends - starts == size) | (after & 0xC0 != 0x80)
+        own = np.zeros(chunk.n, np.uint64)
+        own[fit] = T.word_hashes(chunk.buf, starts[fit], starts[fit] + size)
+        hashes.append(own)
+        fits.append(fit)
+    return np.concatenate(hashes), np.concatenate(fits)
+
+
 def learn_patterns(words: pa.ListArray, labels: np.ndarray, signatures: np.ndarray, true_counts: tuple[int, int]) -> list[tuple[str, bool, float]]:
     """The insult patterns of a labelled sample.
 
@@ -234,22 +253,13 @@ def learn_patterns(words: pa.ListArray, labels: np.ndarray, signatures: np.ndarr
     toxic = labels[doc] == 1
     in_toxic = np.zeros(len(vocabulary), bool)
     in_toxic[code[toxic]] = True
-    whole = next(T.chunks(vocabulary, 1 << 62))
-    starts, ends = whole.offsets[:-1], whole.offsets[1:]
     share = n[1] / n.sum()
 
     # features: whole words (size 0), then the stems of each size of words of toxic texts
     found: list[tuple[bytes, bool, int, int, int]] = []  # pattern, whether a stem, texts, positive, negative
     counted = 0
     for size in (0, *PREFIXES):
-        if size == 0:
-            hashes, fits = T.word_hashes(whole.buf, starts, ends), np.ones(len(starts), bool)
-        else:
-            fits = ends - starts >= size
-            after = whole.buf[np.minimum(starts + size, len(whole.buf) - 1)]
-            fits &= (ends - starts == size) | (after & 0xC0 != 0x80)
-            hashes = np.zeros(len(starts), np.uint64)
-            hashes[fits] = T.word_hashes(whole.buf, starts[fits], starts[fits] + size)
+        hashes, fits = _starts_hashed(vocabulary, size)
         own = np.flatnonzero(fits & in_toxic)
         if not len(own):
             continue
@@ -276,9 +286,8 @@ def learn_patterns(words: pa.ListArray, labels: np.ndarray, signatures: np.ndarr
         if size:  # a stem takes at least three endings
             often &= endings >= 3
         for k in np.flatnonzero(often).tolist():
-            w = own[example[k]]
-            raw = whole.buf[starts[w] : starts[w] + size if size else ends[w]].tobytes()
-            found.append((raw, bool(size), int(texts[k]), int(positive[k]), int(negative[k])))
+            raw = vocabulary[int(own[example[k]])].as_py().encode()
+            found.append((raw[:size] if size else raw, bool(size), int(texts[k]), int(positive[k]), int(negative[k])))
 
     def gain(pos: int, neg: int) -> float:
         p = pos / (pos + neg)
@@ -319,7 +328,7 @@ def _lowered(batch: pa.RecordBatch, column: int) -> pa.Array:
     return pc.utf8_lower(pc.fill_null(batch.column(column), ""))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", *, most: tuple[int, int] = (4500, 1500)) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", *, most: tuple[int, int] = (3000, 1000)) -> Model:
     """Learn patterns and weights from the bounded sample; without toxic rows nothing matches but threats."""
     sample = stored(labelled_sample(docs.select("doc_id", "text"), labels, label_col, most), "toxicity-sample")
 
@@ -386,7 +395,7 @@ def score_documents(
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    most: tuple[int, int] = (4500, 1500),
+    most: tuple[int, int] = (3000, 1000),
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted (1 from ``threshold``).
 
