@@ -78,6 +78,17 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.default.parallelism", "8"))
 
 
+def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Bytes of all files under the given paths (globs allowed), from the file system's listing; no Spark job."""
+    total = 0
+    for p in [path] if isinstance(path, str) else path:
+        target = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in fs.globStatus(target) or []:
+            total += fs.getContentSummary(found.getPath()).getLength()
+    return total
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsmith.operators.fields import as_schema
-from rowsmith.session import default_parallelism, file_system, local_path
+from rowsmith.session import default_parallelism, file_system, input_bytes, local_path
 from rowsmith.sources.delimited import name_matches, parse_delimited
 
 # What zipfile raises for an entry that can't be decompressed.
@@ -43,6 +43,8 @@ CHUNK = 1 << 20
 # Archives above SPLIT_BYTES (compressed) are read in parallel units of about UNIT_BYTES (uncompressed).
 SPLIT_BYTES = 256 << 20
 UNIT_BYTES = 256 << 20
+# Compressed bytes of archives per task, at least as many tasks as the cluster has slots.
+TASK_BYTES = 64 << 20
 
 
 def open_archive(uri: str):
@@ -338,7 +340,8 @@ def read_archive_lines(
         raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
     if first_data_line < 1:
         raise ValueError("first_data_line starts at 1")
-    n = partitions or default_parallelism(spark)
+    total = input_bytes(spark, path)
+    n = partitions or max(default_parallelism(spark), -(-total // TASK_BYTES))
     listing = list_archives(spark, path, pattern, pattern_on)
     opts = {
         "first_data_line": first_data_line,
@@ -351,8 +354,9 @@ def read_archive_lines(
     }
     lines = archive_tasks(listing.where(F.col("length") <= split_bytes).select("path"), opts, n)
     large = listing.where(F.col("length") > split_bytes).select("path")
-    # A listing-only check (no archive content is read): plan the unit path only when needed.
-    if large.limit(1).count() == 0:
+    # The unit path is planned only when needed: where all files together are small, no
+    # job runs for it; else one over the listing (no archive content is read).
+    if total <= split_bytes or large.limit(1).count() == 0:
         return lines
     from rowsmith.sources.archive_units import read_large_archive_lines
 

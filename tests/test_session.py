@@ -53,6 +53,15 @@ def test_s3_schemes_use_one_file_system(monkeypatch, scheme):
     assert seen == ["s3://bucket/a.zip"]
 
 
+def test_input_bytes(spark, tmp_path):
+    for name, size in (("a/x.zip", 10), ("a/y.zip", 5), ("b/z.zip", 7)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * size)
+    assert S.input_bytes(spark, str(tmp_path / "a")) == 15
+    assert S.input_bytes(spark, [str(tmp_path / "*" / "x.zip"), str(tmp_path / "b")]) == 17
+    assert S.input_bytes(spark, str(tmp_path / "none")) == 0
+
+
 def test_an_unknown_scheme_says_so():
     with pytest.raises(ValueError, match="nope"):
         S.file_system("nope://host/a.zip")
