@@ -32,7 +32,7 @@ from rowsmith.llm import textops as T
 from rowsmith.llm.common import bounded_batches
 
 SPACE = "▁"
-CACHE_UNITS = 300_000
+CACHE_UNITS = 200_000
 MAX_MODEL_BYTES = 64 << 20
 
 _UNIT = re.compile(" +[^ ]*")
@@ -161,13 +161,15 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
+        # in small types: a worker keeps this between tasks
+        few, short = len(self.pieces.bytes) <= 1 << 16, max(map(len, self.pieces.bytes)) < 256
         self.code: dict[str, int] = {}
-        self.first_node = np.zeros(0, np.int64)
-        self.last_node = np.zeros(0, np.int64)
-        self.first_edge = np.zeros(0, np.int64)  # of each node
+        self.first_node = np.zeros(0, np.int32)
+        self.last_node = np.zeros(0, np.int32)
+        self.first_edge = np.zeros(0, np.int32)  # of each node
         self.bound = np.zeros(0, np.uint32)  # cumulated probability of a node's edges, in 2 ** -_BITS
-        self.piece = np.zeros(0, np.int32)
-        self.length = np.zeros(0, np.int32)  # bytes of each edge
+        self.piece = np.zeros(0, np.uint16 if few else np.int32)
+        self.length = np.zeros(0, np.uint8 if short else np.int32)  # bytes of each edge
 
     def codes(self, units: list[str]) -> np.ndarray:
         """The units' numbers, after adding the new ones."""
@@ -249,12 +251,13 @@ class Lattices:
         node0, edge0 = len(self.first_edge), len(self.piece)
         for i, u in enumerate(units):
             self.code[u] = len(self.first_node) + i
-        self.first_node = np.concatenate([self.first_node, node0 + begin])
-        self.last_node = np.concatenate([self.last_node, node0 + begin + lengths])
-        self.first_edge = np.concatenate([self.first_edge, edge0 + first])
-        self.bound = np.concatenate([self.bound, bound])
-        self.piece = np.concatenate([self.piece, ids.astype(np.int32)])
-        self.length = np.concatenate([self.length, (end - start).astype(np.int32)])
+        grown = lambda kept, new: np.concatenate([kept, new.astype(kept.dtype)])
+        self.first_node = grown(self.first_node, node0 + begin)
+        self.last_node = grown(self.last_node, node0 + begin + lengths)
+        self.first_edge = grown(self.first_edge, edge0 + first)
+        self.bound = grown(self.bound, bound)
+        self.piece = grown(self.piece, ids)
+        self.length = grown(self.length, end - start)
 
     def sample(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One drawn segmentation per unit (``keys``: its 64-bit key): all piece ids in order, and each unit's count."""
@@ -338,7 +341,7 @@ def encode(
         for batch in batches:
             own = batch.column(2).to_numpy().view(np.uint64)
             keys = T.mix(own ^ T.stream(seed, 1))
-            for chunk in T.chunks(batch.column(1), T.CHUNK_BYTES // 2):
+            for chunk in T.chunks(batch.column(1)):
                 data, edge = chunk.buf.tobytes(), chunk.offsets.tolist()
                 raw = [data[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
                 ids = sample_texts(lattices, [b.decode() for b in raw], keys[chunk.first : chunk.first + chunk.n])

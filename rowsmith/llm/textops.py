@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 U64 = np.uint64
 
