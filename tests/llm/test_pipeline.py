@@ -95,3 +95,18 @@ def test_stages_on_empty_tables(spark, sf_dir, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_with_clashing_names_pass_through(spark, sf_dir, tmp_path):
+    names = ["id", "fp", "key", "label", "score", "kept", "unit", "node", "id_key", "kept_numbers", "copy_number", "row_key", "segment", "n_words"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("*", *[f"concat('{n}', doc_id) AS {n}" for n in names])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "sentencepiece":
+            own = [n for n in names if docs.where(f"NOT {n} <=> concat('{n}', doc_id)").count()]
+            assert docs.count() and not own
+    ran = corpus_pipeline.run(spark, sf_dir)
+    assert {tuple(r.ids) for r in ran.collect()} == {tuple(r.ids) for r in docs.collect()}
