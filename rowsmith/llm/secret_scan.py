@@ -9,8 +9,8 @@ Every text is scanned once for candidate spans:
   outside the base spans.
 
 The candidates' values are hashed, and over the whole corpus the hashes are counted by
-distinct repositories and distinct owners. A value that at least ``copied_owners`` owners hold is a widely
-copied example; a value of fewer owners that looks live (entropy of at least ``LIVE_BITS`` bits per
+distinct repositories and distinct owners. A value that at least ``copied_owners`` owners hold, or at least
+``copied_repos`` repositories of one owner, is a widely copied example; a value of fewer owners that looks live (entropy of at least ``LIVE_BITS`` bits per
 character) is an owner-specific live-looking credential; the rest is weak.
 
 Only spans and hashes leave the scan; texts are never shuffled. Counts are keyed by (hash, owner) before
@@ -131,7 +131,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", own
     return bounded_batches(rows).mapInArrow(run, _SCANNED)
 
 
-def value_owners(scanned: DataFrame, copied_owners: int = 3) -> DataFrame:
+def value_owners(scanned: DataFrame, copied_owners: int = 3, copied_repos: int = 100) -> DataFrame:
     """value, repos, owners, verdict ('example', 'live' or 'weak') of every candidate hash."""
     cand = scanned.select("owner", "repo", F.explode("spans").alias("s")).select("owner", "repo", "s.value", "s.live")
     per_owner = (
@@ -140,12 +140,12 @@ def value_owners(scanned: DataFrame, copied_owners: int = 3) -> DataFrame:
     )
     return (
         per_owner.groupBy("value")
-        .agg(F.sum("repos").alias("repos"), F.count("*").alias("owners"), F.max("live").alias("live"))
+        .agg(F.sum("repos").alias("repos"), F.max("repos").alias("most"), F.count("*").alias("owners"), F.max("live").alias("live"))
         .select(
             "value",
             "repos",
             "owners",
-            F.when(F.col("owners") >= copied_owners, "example").when(F.col("live"), "live").otherwise("weak").alias("verdict"),
+            F.when((F.col("owners") >= copied_owners) | (F.col("most") >= copied_repos), "example").when(F.col("live"), "live").otherwise("weak").alias("verdict"),
         )
     )
 
@@ -153,6 +153,7 @@ def value_owners(scanned: DataFrame, copied_owners: int = 3) -> DataFrame:
 def secret_report(
     docs: DataFrame,
     copied_owners: int = 3,
+    copied_repos: int = 100,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -160,7 +161,7 @@ def secret_report(
     repo_col: str = "doc_id",
 ) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, and the
-    number of its spans by verdict: n_live, n_example, n_weak.
+    number of its spans by verdict: n_live, n_example, n_weak; repos and owners: the most that hold one of its values.
 
     Null text is empty; null owners are one owner ''; a null id is an id; repeated rows give repeated rows (and
     count as one repository); an empty table gives none; other columns are not read.
@@ -171,12 +172,12 @@ def secret_report(
     with_span = scanned.where(F.size("spans") > 0).select(
         "doc_id", F.xxhash64("spans").alias("spans_key"), F.posexplode("spans").alias("k", "s")
     )
-    one = with_span.join(value_owners(scanned, copied_owners), F.col("s.value") == F.col("value"))
+    one = with_span.join(value_owners(scanned, copied_owners, copied_repos), F.col("s.value") == F.col("value"))
     judged = (
         # equal rows (same id and spans) are judged once
-        one.groupBy("doc_id", "spans_key", "k").agg(F.first("verdict").alias("verdict"))
+        one.groupBy("doc_id", "spans_key", "k").agg(*[F.first(c).alias(c) for c in ("verdict", "repos", "owners")])
         .groupBy("doc_id", "spans_key")
-        .agg(*[F.count(F.when(F.col("verdict") == v, 1)).alias(f"n_{v}") for v in ("live", "example", "weak")])
+        .agg(F.max("repos").alias("repos"), F.max("owners").alias("owners"), *[F.count(F.when(F.col("verdict") == v, 1)).alias(f"n_{v}") for v in ("live", "example", "weak")])
     )
     text_of = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
@@ -197,4 +198,5 @@ def secret_report(
         "base_sha256",
         "spans",
         *[F.coalesce(f"n_{v}", F.lit(0)).cast("long").alias(f"n_{v}") for v in ("live", "example", "weak")],
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("repos", "owners")],
     )

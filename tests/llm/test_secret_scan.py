@@ -63,3 +63,11 @@ def test_report(spark):
 
 def test_report_on_nothing(spark):
     assert secret_report(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_value_copied_inside_one_owner(spark):
+    data = [(i, "password=Zq81mfp0Lw", "hot", None, None) for i in range(120)]
+    data += [(1000 + i, "password=Yw72kgs5Nd", "hot", None, None) for i in range(3)]
+    got = {r.doc_id: r for r in secret_report(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert all((got[i].n_example, got[i].n_live, got[i].repos, got[i].owners) == (1, 0, 120, 1) for i in range(120))
+    assert all((got[1000 + i].n_example, got[1000 + i].n_live, got[1000 + i].repos) == (0, 1, 3) for i in range(3))
