@@ -88,5 +88,103 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _floor_div(a: str, b: str) -> str:
+    """floor(a / b) of whole numbers, b > 0, exactly."""
+    return f"(({a}) - ((({a}) % ({b})) + ({b})) % ({b})) // ({b})"
+
+
+_WHOLE = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64"
+
+
+def _op12(k: int = 8, rounds: int = 10) -> str:
+    """Every round as two tables: the clusters of all vectors, the centroids that follow."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_WHOLE}
+), x AS MATERIALIZED (SELECT r, unnest(range(1, 65)) AS p, unnest(v) AS x FROM kept),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, v FROM kept ORDER BY h, v LIMIT {k})
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""m{i} AS MATERIALIZED (SELECT c, unnest(range(1, 65)) AS p, unnest(v) AS m FROM c{i}),
+a{i} AS MATERIALIZED (
+  SELECT r, c, d FROM (SELECT r, c, CAST(sum((x - m) * (x - m)) AS BIGINT) AS d FROM x JOIN m{i} USING (p) GROUP BY r, c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)"""
+        )
+        if i < rounds:
+            mean = _floor_div("s", "n")
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(w, v) AS v FROM c{i} LEFT JOIN (
+    SELECT c, list(CAST({mean} AS BIGINT) ORDER BY p) AS w
+    FROM (SELECT c, p, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM a{i} JOIN x USING (r) GROUP BY c, p) GROUP BY c
+  ) USING (c)
+)"""
+            )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} USING (c)
+"""
+    )
+
+
+def _op13(entries: int = 16, rounds: int = 6) -> str:
+    """Every round rescans all entries."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_WHOLE}
+), x AS MATERIALIZED (SELECT r, (p - 1) // 8 AS part, (p - 1) % 8 AS q, x FROM (SELECT r, unnest(range(1, 65)) AS p, unnest(v) AS x FROM kept)),
+b0 AS MATERIALIZED (
+  SELECT e, (p - 1) // 8 AS part, (p - 1) % 8 AS q, m FROM (
+    SELECT e, unnest(range(1, 65)) AS p, unnest(v) AS m
+    FROM (SELECT row_number() OVER (ORDER BY vec_id, v) - 1 AS e, v FROM (SELECT vec_id, v FROM kept ORDER BY vec_id, v LIMIT {entries}))
+  )
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, part, e, d FROM (
+    SELECT r, part, e, CAST(sum((x - m) * (x - m)) AS BIGINT) AS d FROM x JOIN b{i} USING (part, q) GROUP BY r, part, e
+  ) QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, e) = 1
+)"""
+        )
+        if i < rounds:
+            mean = _floor_div("s", "n")
+            steps.append(
+                f"""b{i + 1} AS MATERIALIZED (
+  SELECT e, part, q, coalesce(CAST({mean} AS BIGINT), m) AS m FROM b{i} LEFT JOIN (
+    SELECT part, e, q, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM a{i} JOIN x USING (r, part) GROUP BY part, e, q
+  ) USING (part, e, q)
+)"""
+            )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f""",
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY part, e, q)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring_dedup": _OP3, "op5_decontamination": _OP5, "op8_quality_rules": _OP8}
+    return {
+        "op3_substring_dedup": _OP3,
+        "op5_decontamination": _OP5,
+        "op8_quality_rules": _OP8,
+        "op12_lookup_clusters": _op12(),
+        "op13_part_codes": _op13(),
+    }

@@ -8,6 +8,8 @@ from rowsmith.llm.common import documents
 from rowsmith.llm.decontaminate import contamination_report
 from rowsmith.llm.line_dedup import line_dedup_report
 from rowsmith.llm.line_rules import line_frequency_rules
+from rowsmith.llm.lookup_clusters import cluster_vectors
+from rowsmith.llm.part_codes import compress_vectors
 from rowsmith.llm.quality_knn import classify
 from rowsmith.llm.secret_scan import secret_report
 from rowsmith.llm.sentencepiece_sampling import encode
@@ -67,5 +69,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(documents(spark, sf_dir))
 
 
+def op12_lookup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding: 8 integer centroids, 10 rounds by lookup tables."""
+    return cluster_vectors(documents(spark, sf_dir, "embeddings"))
+
+
+def op13_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code of every embedding: 8 parts, 16 entries, 6 active-entry rounds."""
+    return compress_vectors(documents(spark, sf_dir, "embeddings"))
+
+
+_QUERIES = (
+    op1_toxicity,
+    op2_sentencepiece,
+    op3_substring_dedup,
+    op4_quality_knn,
+    op5_decontamination,
+    op6_simhash_gray,
+    op7_sharding,
+    op8_quality_rules,
+    op9_secret_scan,
+    op10_line_dedup,
+    op12_lookup_clusters,
+    op13_part_codes,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_sentencepiece, op3_substring_dedup, op4_quality_knn, op5_decontamination, op6_simhash_gray, op7_sharding, op8_quality_rules, op9_secret_scan, op10_line_dedup)}
+    return {f.__name__: f for f in _QUERIES}
