@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowsmith.llm.common import documents
 from rowsmith.llm.decontaminate import contamination_report
+from rowsmith.llm.lang_hierarchy import identify_languages
 from rowsmith.llm.line_dedup import line_dedup_report
 from rowsmith.llm.line_rules import line_frequency_rules
 from rowsmith.llm.lookup_clusters import cluster_vectors
@@ -69,6 +70,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(documents(spark, sf_dir))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document: its family, then machines between the family's languages."""
+    return identify_languages(documents(spark, sf_dir))
+
+
 def op12_lookup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every embedding: 8 integer centroids, 10 rounds by lookup tables."""
     return cluster_vectors(documents(spark, sf_dir, "embeddings"))
@@ -90,6 +96,7 @@ _QUERIES = (
     op8_quality_rules,
     op9_secret_scan,
     op10_line_dedup,
+    op11_language_id,
     op12_lookup_clusters,
     op13_part_codes,
 )
