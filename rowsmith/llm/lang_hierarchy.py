@@ -262,9 +262,16 @@ def sampled(rows: DataFrame, per_language: int, most: int) -> DataFrame:
     One text per id and language (the one of the smallest hash), so repeated ids can't pass the bound.
     """
     known = rows.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("lang", "doc_id").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    ids = ids.orderBy("rank", "lang").limit(most).select("lang", "doc_id")
+    # Ids lie in cells of their hash; the first cells that hold enough of a language are found by count, so that only
+    # their ids are ranked, whatever share of all rows the language has.
+    ids = known.select("lang", "doc_id").distinct().withColumn("hash", F.xxhash64("doc_id"))
+    ids = ids.withColumn("cell", F.shiftrightunsigned("hash", 52))
+    by_cell = Window.partitionBy("lang").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = ids.groupBy("lang", "cell").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(by_cell), F.lit(0)))
+    cells = cells.where(F.col("before") < per_language).select("lang", "cell")
+    order = Window.partitionBy("lang").orderBy("cell", "hash", "doc_id")
+    ranked = ids.join(cells, ["lang", "cell"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    ids = ranked.orderBy("rank", "lang").limit(most).select("lang", "doc_id")
     found = known.where(F.col("text").isNotNull()).join(F.broadcast(ids), ["lang", "doc_id"])  # at most ``most`` rows
     one = found.groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
     return one.select("lang", F.col("one.text").alias("text"))
