@@ -39,7 +39,7 @@ def needed_positions(schema: T.StructType, columns: list[str] | None) -> list[tu
     picked = [(i, f) for i, f in enumerate(schema.fields) if f.name in wanted]
     for _, f in picked:
         if not isinstance(f.dataType, READER_TYPES):
-            raise ValueError(f"Type {f.dataType.simpleString().upper()} of column '{f.name}' not supported for now")
+            raise ValueError(f"column '{f.name}' is declared {f.dataType.simpleString()}: readers parse string, bigint, boolean and double")
     return picked
 
 

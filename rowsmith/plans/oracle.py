@@ -196,7 +196,8 @@ FROM orders
 
 ARCHIVE_NAME_FILTER = f"""
 WITH {_DOC_ARCHIVE_LINES}
-SELECT printf('docs-%06d.zip', g) AS file_name, line_no, value FROM l WHERE g <= 3 AND NOT {BLANK('value')}
+SELECT printf('docs-%06d.zip', g) AS file_name, line_no, value FROM l
+WHERE contains('{Q.ARCHIVE_DIGITS}', CAST(g % 10 AS VARCHAR)) AND NOT {BLANK('value')}
 """
 
 FORMAT_NULL_CELLS = """
@@ -211,6 +212,14 @@ FROM events
 """
 
 
+USING_FILE_PRUNE = Q.USING_FILES_SQL.format(
+    table=f"""(
+  SELECT *, printf('lineitem-%06d.zip', l_orderkey // {S.ORDERS_PER_ARCHIVE}) AS src FROM ({LINEITEM_ROWS})
+  WHERE contains('{Q.ARCHIVE_DIGITS}', CAST(l_orderkey // {S.ORDERS_PER_ARCHIVE} % 10 AS VARCHAR))
+)"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "word_count": WORD_COUNT,
@@ -248,4 +257,7 @@ def oracle_sql() -> dict[str, str]:
         "archive_name_filter": ARCHIVE_NAME_FILTER,
         "format_null_cells": FORMAT_NULL_CELLS,
         "encode_absent_fields": ENCODE_ABSENT_FIELDS,
+        "using_archive_scan": LINEITEM_ROWS,
+        "using_file_prune": USING_FILE_PRUNE,
+        "using_insert": LINEITEM_ROWS,
     }

@@ -21,6 +21,7 @@ from rowsmith.plans.tables import table
 from rowsmith.session import scratch_path
 from rowsmith.sinks.delimited import format_lines, materialize
 from rowsmith.sources.archives import read_archive_lines, read_archives
+from rowsmith.sources.datasource import register_sources
 from rowsmith.sources.delimited import parse_delimited, read_delimited, read_lines
 from rowsmith.sources.tables import DelimitedTable
 from rowsmith.streaming import words as streams
@@ -335,8 +336,9 @@ def q_gbk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, staging.gbk_order_lines(spark, sf_dir), encoding="GBK")
 
 
-# Archives 0 to 3 of the document archives, by base name.
-ARCHIVE_NAMES = "docs-00000[0-3]\\.zip"
+# By base name, the document archives whose number ends in one of these digits.
+ARCHIVE_DIGITS = "037"
+ARCHIVE_NAMES = f"docs-[0-9]*[{ARCHIVE_DIGITS}]\\.zip"
 
 
 def q_archive_name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,6 +360,44 @@ def q_encode_absent_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", report_event(ev).alias("message"))
 
 
+def _using(spark: SparkSession, view: str, columns: str, source: str, **options: str) -> None:
+    """A temporary view ``USING`` a registered source."""
+    register_sources(spark)
+    listed = ", ".join(f"{k} '{v}'" for k, v in options.items())
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} ({columns}) USING {source} OPTIONS ({listed})")
+
+
+def q_using_archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + S2: zip archives as a table USING the registered source, selected with SQL."""
+    _using(spark, "lineitem_zip", staging.LINEITEM_SCHEMA, "rowsmith_archive", path=staging.lineitem_archives(spark, sf_dir))
+    return spark.sql("SELECT * FROM lineitem_zip")
+
+
+USING_FILES_SQL = """
+SELECT src, count(*) AS n_lines, sum(l_quantity) AS sum_qty, max(l_shipdate) AS last_ship FROM {table} GROUP BY src
+"""
+
+
+def q_using_file_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + F4: a table USING archives whose pattern prunes the listing, summed by the file a line came from."""
+    path = staging.lineitem_archives(spark, sf_dir)
+    columns = staging.LINEITEM_SCHEMA + ", src string"
+    pattern = f"lineitem-[0-9]*[{ARCHIVE_DIGITS}][.]zip"
+    _using(spark, "lineitem_some", columns, "rowsmith_archive", path=path, pattern=pattern, file_column="src")
+    return spark.sql(USING_FILES_SQL.format(table="lineitem_some"))
+
+
+def q_using_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + K1: rows INSERTed into a table USING the delimited source, read back in small byte ranges."""
+    path = scratch_path(spark, "using-lineitem")
+    options = {"path": path, "delimiter": "[|]", "write_delimiter": "|", "split_bytes": str(1 << 20)}
+    _using(spark, "lineitem_out", staging.LINEITEM_SCHEMA, "rowsmith_delimited", **options)
+    table(spark, sf_dir, "lineitem", spread_rows=True).createOrReplaceTempView("lineitem_given")
+    cells = [f"cast({c} AS {t})" for c, t in (x.split() for x in staging.LINEITEM_SCHEMA.split(", "))]
+    spark.sql(f"INSERT INTO lineitem_out SELECT {', '.join(cells)} FROM lineitem_given")
+    return spark.sql("SELECT * FROM lineitem_out")
+
+
 def queries() -> dict[str, Query]:
     return {
         "word_count": q_word_count,
@@ -395,4 +435,7 @@ def queries() -> dict[str, Query]:
         "archive_name_filter": q_archive_name_filter,
         "format_null_cells": q_format_null_cells,
         "encode_absent_fields": q_encode_absent_fields,
+        "using_archive_scan": q_using_archive_scan,
+        "using_file_prune": q_using_file_prune,
+        "using_insert": q_using_insert,
     }

@@ -95,7 +95,7 @@ def entry_pieces(infos, zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[by
             yield b"\n"
 
 
-def _entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
+def entry_chunks(zf: zipfile.ZipFile, entry_newline: bool) -> Iterator[bytes]:
     infos = [i for i in zf.infolist() if not i.is_dir()]
     return coalesce_chunks(entry_pieces(infos, zf, entry_newline))
 
@@ -283,7 +283,7 @@ def _lines_task(opts: dict):
                             continue
                         raise ValueError(f"not a zip archive: {uri}") from None
                     with zf:
-                        chunks = _entry_chunks(zf, opts["entry_newline"])
+                        chunks = entry_chunks(zf, opts["entry_newline"])
                         blocks = numbered_arrays(chunks, opts["first_data_line"], opts["sentinel"], opts["encoding"])
                         for start, lines in blocks:
                             yield from out.add(uri, name, start, lines)
