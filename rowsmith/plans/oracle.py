@@ -260,4 +260,5 @@ def oracle_sql() -> dict[str, str]:
         "using_archive_scan": LINEITEM_ROWS,
         "using_file_prune": USING_FILE_PRUNE,
         "using_insert": LINEITEM_ROWS,
+        "incremental_copy": LINEITEM_ROWS,
     }

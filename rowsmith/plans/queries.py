@@ -20,6 +20,7 @@ from rowsmith.plans import staging
 from rowsmith.plans.tables import table
 from rowsmith.session import scratch_path
 from rowsmith.sinks.delimited import format_lines, materialize
+from rowsmith.sinks.incremental import NativeCopy
 from rowsmith.sources.archives import read_archive_lines, read_archives
 from rowsmith.sources.datasource import register_sources
 from rowsmith.sources.delimited import parse_delimited, read_delimited, read_lines
@@ -278,7 +279,7 @@ def q_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = streams.text_stream(spark, staging.document_lines(spark, sf_dir))
     out = scratch_path(spark, "stream-word-count")
     _run(streams.batch_word_count(src, out, out + "-checkpoint", available_now=True))
-    return spark.read.parquet(out).select("word", "cnt")
+    return streams.batches(spark, out).select("word", "cnt")
 
 
 # Bucket files (about 250 kB each) that a micro-batch takes.
@@ -296,23 +297,26 @@ def q_batched_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = scratch_path(spark, "batched-word-count")
     _run(streams.batch_word_count(src, out, out + "-checkpoint", by=["bucket"], available_now=True))
-    return spark.read.parquet(out).select("bucket", "word", "cnt")
+    return streams.batches(spark, out).select("bucket", "word", "cnt")
 
 
 # Envelope files that a micro-batch takes.
 ENVELOPE_FILES_PER_BATCH = 4
+# Committed batches that are merged into one folder.
+BATCHES_MERGED = 2
 
 
 def q_interval_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 (per interval): event-type counts per tumbling hour of the event time, run as a stream of
-    several batches whose events are out of order; no state is kept between batches."""
+    several batches whose events are out of order; no state is kept between batches, and small batches are merged."""
     src = streams.envelope_stream(spark, staging.event_envelopes(spark, sf_dir), max_files_per_trigger=ENVELOPE_FILES_PER_BATCH)
     typed = src.select(
         F.col("timestamp").alias("ts"),
         F.get_json_object(F.col("value").cast("string"), "$.http_user_agent").alias("value"),
     )
     out = scratch_path(spark, "interval-word-count")
-    _run(streams.run_interval_word_count(typed, "ts", out, out + "-checkpoint", interval=INTERVAL, available_now=True))
+    sink = {"interval": INTERVAL, "available_now": True, "merge_fan": BATCHES_MERGED}
+    _run(streams.run_interval_word_count(typed, "ts", out, out + "-checkpoint", **sink))
     counts = streams.interval_counts(spark, out)
     return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "word", "cnt")
 
@@ -325,7 +329,7 @@ def q_stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = streams.text_stream(spark, path, max_files_per_trigger=1).select("value", bucket)
     out = scratch_path(spark, "stream-preview")
     _run(streams.preview(src, out, out + "-checkpoint", available_now=True))
-    shown = spark.read.parquet(out).select("bucket", "value")
+    shown = streams.batches(spark, out).select("bucket", "value")
     lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("bucket").cast("bigint").alias("of"))
     found = shown.join(lines.distinct(), (F.col("bucket") == F.col("of")) & (F.col("value") == F.col("line")), "left")
     return found.groupBy("bucket").agg(F.count("*").alias("previewed"), F.count("line").alias("found"))
@@ -398,6 +402,18 @@ def q_using_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT * FROM lineitem_out")
 
 
+def q_incremental_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: a native copy of text files brought up to date: the files of odd ship years first, then the others as new files."""
+    path = staging.lineitem_by_year(spark, sf_dir)
+    read = lambda paths: read_delimited(spark, paths, staging.LINEITEM_SCHEMA, with_file=True)
+    root = scratch_path(spark, "native-lineitem")
+    odd = {"pattern": ".*/ship_year=[0-9]*[13579]/[^/]*", "pattern_on": "path"}
+    NativeCopy(spark, path, root, read, **odd).refresh()
+    copy = NativeCopy(spark, path, root, read)
+    copy.refresh()
+    return copy.table().drop("file_path", "file_name")
+
+
 def queries() -> dict[str, Query]:
     return {
         "word_count": q_word_count,
@@ -438,4 +454,5 @@ def queries() -> dict[str, Query]:
         "using_archive_scan": q_using_archive_scan,
         "using_file_prune": q_using_file_prune,
         "using_insert": q_using_insert,
+        "incremental_copy": q_incremental_copy,
     }

@@ -25,7 +25,7 @@ ORDERS_PER_ARCHIVE = 2000
 ORDERS_PER_ENTRY = 100
 DOCS_PER_ARCHIVE = 25
 DOCS_PER_BUCKET = 100
-PREVIEW_DOCS_PER_BUCKET = 500
+PREVIEW_DOCS_PER_BUCKET = 2500
 # Two bytes each in GBK.
 TWO_BYTE_CHARS = "甲乙丙丁"
 # Characters that end no line and that trim keeps, though a regex's $ stands before them.

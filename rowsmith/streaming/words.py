@@ -3,12 +3,17 @@
 Sources are Structured Streaming sources: a folder of text files (any file
 source; the socket source is only a debugging aid), Kafka, or a folder of
 files holding Kafka's record columns. Sinks write through ``foreachBatch``
-into one folder per batch id, overwritten on replay, so a batch that is run
-again after a failure replaces its own output instead of adding to it.
+into a table with a commit log (``sinks.commits``): a batch is written under a
+name of its own and then committed with the stream's id and its number. Readers
+(``batches``, ``interval_counts``, ``latest_counts``) see committed batches
+only, a batch that is run again after a failure is committed once, and small
+batches are merged as they pile up.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,11 +21,17 @@ from pyspark.sql.streaming import StreamingQuery
 from rowsmith.functions.text import tokens
 from rowsmith.operators.words import word_count
 from rowsmith.session import default_parallelism
+from rowsmith.sinks.commits import CommitLog, Folder, committed_rows
 
 # Batch interval and preview size of the stream jobs.
 BATCH_INTERVAL = "3 seconds"
 PREVIEW_ROWS = 10
 
+#: So many folders of one size are merged into one of the next.
+MERGE_FAN = 16
+#: How long folders that a merge replaced are kept for readers that still use them.
+KEEP_SECONDS = 24 * 3600
+
 ENVELOPE_SCHEMA = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 
 
@@ -77,13 +88,53 @@ def _start(writer, checkpoint: str, trigger: str | None, available_now: bool) ->
     return writer.start()
 
 
-def _per_batch(out: str, compute):
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint: batch numbers count within it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())["id"]
+    finally:
+        stream.close()
+
+
+def _per_batch(out: str, checkpoint: str, compute, combine=None, merge_fan: int | None = MERGE_FAN):
+    """Write ``compute`` of every batch, with its ``batch_id``, and commit it; merge folders by ``combine`` (default: rows as they are)."""
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        compute(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        log, writer = CommitLog(spark, out), _stream_id(spark, checkpoint)
+        state = log.state()
+        if batch_id <= state.batches.get(writer, -1):
+            return  # committed before the stream could note it
+        name = log.new_folder()
+        log.write(compute(batch).withColumn("batch_id", F.lit(batch_id).cast("long")), name)
+        state = log.commit([Folder(name, batch_id, batch_id)], writer=writer, batch=batch_id, state=state)
+        if merge_fan and state is not None:
+            merged = log.merge(combine or (lambda rows: rows), merge_fan, state)
+            if any(f.level > 1 for f in merged.folders) and batch_id % merge_fan**2 == 0:
+                log.vacuum(KEEP_SECONDS)
 
     return run
 
 
+def batches(spark: SparkSession, out: str, schema=None) -> DataFrame:
+    """The rows of all committed batches of the streams that write to ``out``, with their ``batch_id``."""
+    return committed_rows(spark, out, schema)
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    """Counts of several batches added up per window and word."""
+    keys = ["window_start", "window_end", "word"]
+    return rows.groupBy(*keys).agg(F.sum("cnt").alias("cnt"), F.max("batch_id").alias("batch_id"))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """Of several counts of a window and word the one of the latest batch."""
+    keys = ["window_start", "window_end", "word"]
+    return rows.groupBy(*keys).agg(F.max_by("cnt", "batch_id").alias("cnt"), F.max("batch_id").alias("batch_id"))
+
+
 def batch_word_count(
     lines: DataFrame,
     out: str,
@@ -94,13 +145,13 @@ def batch_word_count(
     trigger: str | None = BATCH_INTERVAL,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Word counts of every micro-batch on its own (no running total), one folder per batch.
+    """Word counts of every micro-batch on its own (no running total); read them with ``batches``.
 
     ``by`` adds grouping columns inside each batch (for example the source a
     line came from).
     """
     return _start(
-        lines.writeStream.foreachBatch(_per_batch(out, lambda b: word_count(b, col, by=by))),
+        lines.writeStream.foreachBatch(_per_batch(out, checkpoint, lambda b: word_count(b, col, by=by))),
         checkpoint,
         trigger,
         available_now,
@@ -128,8 +179,8 @@ def preview(
     trigger: str | None = BATCH_INTERVAL,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """The first ``rows`` rows of every batch, one folder per batch (what a console print shows)."""
-    return _start(stream.writeStream.foreachBatch(_per_batch(out, lambda b: b.limit(rows))), checkpoint, trigger, available_now)
+    """The first ``rows`` rows of every batch (what a console print shows); read them with ``batches``."""
+    return _start(stream.writeStream.foreachBatch(_per_batch(out, checkpoint, lambda b: b.limit(rows))), checkpoint, trigger, available_now)
 
 
 def console_preview(stream: DataFrame, *, rows: int = PREVIEW_ROWS, trigger: str = BATCH_INTERVAL) -> StreamingQuery:
@@ -169,6 +220,7 @@ def run_interval_word_count(
     trigger: str | None = BATCH_INTERVAL,
     available_now: bool = False,
     state_partitions: int | None = None,
+    merge_fan: int | None = MERGE_FAN,
 ) -> StreamingQuery:
     """Stream the interval counts; read them with ``interval_counts``.
 
@@ -182,9 +234,10 @@ def run_interval_word_count(
     """
     if watermark is None:
         count = lambda b: interval_word_count(b, ts_col, interval=interval, col=col)
-        return _start(lines.writeStream.foreachBatch(_per_batch(out, count)), checkpoint, trigger, available_now)
+        sink = _per_batch(out, checkpoint, count, _added, merge_fan)
+        return _start(lines.writeStream.foreachBatch(sink), checkpoint, trigger, available_now)
     counts = interval_word_count(lines, ts_col, interval=interval, col=col, watermark=watermark)
-    writer = counts.writeStream.outputMode("update").foreachBatch(_per_batch(out, lambda b: b))
+    writer = counts.writeStream.outputMode("update").foreachBatch(_per_batch(out, checkpoint, lambda b: b, _latest, merge_fan))
     spark = lines.sparkSession
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
@@ -196,12 +249,10 @@ def run_interval_word_count(
 
 
 def interval_counts(spark: SparkSession, out: str) -> DataFrame:
-    """Count per window and word: the sum over all batches of a stream without a watermark."""
-    rows = spark.read.parquet(out)
-    return rows.groupBy("window_start", "window_end", "word").agg(F.sum("cnt").alias("cnt"))
+    """Count per window and word: the sum over all committed batches of a stream without a watermark."""
+    return _added(batches(spark, out)).drop("batch_id")
 
 
 def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    """Count per window and word of a stream with a watermark: the row of the latest batch."""
-    rows = spark.read.parquet(out)
-    return rows.groupBy("window_start", "window_end", "word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
+    """Count per window and word of a stream with a watermark: the row of the latest committed batch."""
+    return _latest(batches(spark, out)).drop("batch_id")

@@ -4,6 +4,7 @@ import collections
 import datetime as dt
 import os
 
+import pytest
 from conftest import java_split_model
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def test_batch_word_count_is_per_batch(spark, tmp_path):
     out = str(tmp_path / "out")
     stream = S.text_stream(spark, src, max_files_per_trigger=1)
     _run(S.batch_word_count(stream, out, str(tmp_path / "ck"), available_now=True))
-    rows = spark.read.parquet(out).collect()
+    rows = S.batches(spark, out).collect()
     per_batch = collections.defaultdict(dict)
     for r in rows:
         per_batch[r.batch_id][r.word] = r.cnt
@@ -59,7 +60,7 @@ def test_batch_replay_overwrites_its_own_output(spark, tmp_path):
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     _run(S.batch_word_count(S.text_stream(spark, src), out, ck, available_now=True))
     _run(S.batch_word_count(S.text_stream(spark, src), out, ck, available_now=True))
-    assert sorted((r.word, r.cnt) for r in spark.read.parquet(out).collect()) == [("x", 1), ("y", 1)]
+    assert sorted((r.word, r.cnt) for r in S.batches(spark, out).collect()) == [("x", 1), ("y", 1)]
 
 
 def test_interval_word_count_stream_equals_batch(spark, tmp_path):
@@ -72,7 +73,7 @@ def test_interval_word_count_stream_equals_batch(spark, tmp_path):
     out = str(tmp_path / "out")
     _run(S.run_interval_word_count(stream, "ts", out, str(tmp_path / "ck"), interval="1 hour", available_now=True))
     assert not os.path.exists(str(tmp_path / "ck" / "state"))  # no state is kept between batches
-    assert len(os.listdir(out)) > 1
+    assert len(os.listdir(out + "/data")) > 1
     got = sorted(tuple(r) for r in S.interval_counts(spark, out).collect())
     expect = sorted(tuple(r) for r in S.interval_word_count(df, "ts", interval="1 hour").collect())
     assert got == expect
@@ -109,7 +110,7 @@ def test_interval_trigger_processes_stops_and_resumes(spark, tmp_path):
             assert q.isActive
         finally:
             q.stop()
-        assert sum(r.cnt for r in spark.read.parquet(out).collect()) == total
+        assert sum(r.cnt for r in S.batches(spark, out).collect()) == total
 
     _text(src, "f1.txt", ["a b", "a"])
     run_until(3)
@@ -123,7 +124,7 @@ def test_preview_limits_each_batch(spark, tmp_path):
     _text(src, "f2.txt", [f"m{i}" for i in range(3)])
     out = str(tmp_path / "out")
     _run(S.preview(S.text_stream(spark, src, max_files_per_trigger=1), out, str(tmp_path / "ck"), available_now=True))
-    sizes = sorted(r["count"] for r in spark.read.parquet(out).groupBy("batch_id").count().collect())
+    sizes = sorted(r["count"] for r in S.batches(spark, out).groupBy("batch_id").count().collect())
     assert sizes == [3, 10]
 
 
@@ -142,3 +143,93 @@ def test_envelope_stream_values(spark, tmp_path):
     out = str(tmp_path / "out")
     _run(S.forward_values(message_values(S.envelope_stream(spark, src)), out, str(tmp_path / "ck"), available_now=True))
     assert sorted((r.value or "") for r in spark.read.parquet(out).collect()) == ["", '{"a":1}']
+
+
+INTERVAL_SCHEMA = "ts timestamp, value string"
+
+
+def _events(spark, src, n_files, start=0):
+    base = dt.datetime(2024, 1, 1)
+    for i in range(start, start + n_files):
+        rows = [(base + dt.timedelta(minutes=11 * ((i * 7 + k) % 30)), ["a b", "b", "c c c"][(i + k) % 3]) for k in range(6)]
+        spark.createDataFrame(rows, INTERVAL_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+
+
+def _interval_stream(spark, src, out, ck, **options):
+    stream = spark.readStream.schema(INTERVAL_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    return S.run_interval_word_count(stream, "ts", out, ck, interval="1 hour", available_now=True, **options)
+
+
+def _expected(spark, src):
+    return sorted(tuple(r) for r in S.interval_word_count(spark.read.parquet(src), "ts", interval="1 hour").collect())
+
+
+def test_readers_see_nothing_of_a_batch_that_stopped_half_way(spark, tmp_path, monkeypatch):
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    _events(spark, src, 2)
+    _run(_interval_stream(spark, src, out, ck))
+    before = sorted(tuple(r) for r in S.interval_counts(spark, out).collect())
+    assert before == _expected(spark, src)
+    _events(spark, src, 2, 2)
+    commit = S.CommitLog.commit
+
+    def stops(self, *args, **kwargs):  # the rows are written, the commit never comes
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(S.CommitLog, "commit", stops)
+    with pytest.raises(Exception, match="lost the driver"):
+        _run(_interval_stream(spark, src, out, ck))
+    assert len(os.listdir(out + "/data")) == 3
+    assert sorted(tuple(r) for r in S.interval_counts(spark, out).collect()) == before
+    monkeypatch.setattr(S.CommitLog, "commit", commit)
+    _run(_interval_stream(spark, src, out, ck))  # the batch is run again, under another name
+    assert sorted(tuple(r) for r in S.interval_counts(spark, out).collect()) == _expected(spark, src)
+
+
+def test_a_batch_whose_commit_the_stream_did_not_note_counts_once(spark, tmp_path, monkeypatch):
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    _events(spark, src, 1)
+    commit = S.CommitLog.commit
+
+    def then_stops(self, *args, **kwargs):
+        commit(self, *args, **kwargs)
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(S.CommitLog, "commit", then_stops)
+    with pytest.raises(Exception, match="lost the driver"):
+        _run(_interval_stream(spark, src, out, ck))
+    monkeypatch.setattr(S.CommitLog, "commit", commit)
+    _run(_interval_stream(spark, src, out, ck))
+    assert sorted(tuple(r) for r in S.interval_counts(spark, out).collect()) == _expected(spark, src)
+    # another stream into the same table has batch numbers of its own
+    _run(_interval_stream(spark, src, out, ck + "2"))
+    assert sum(r.cnt for r in S.interval_counts(spark, out).collect()) == 2 * sum(r[3] for r in _expected(spark, src))
+
+
+def test_small_batches_are_merged(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    _events(spark, src, 9)
+    _run(_interval_stream(spark, src, out, ck, merge_fan=2))
+    log = S.CommitLog(spark, out)
+    folders = log.state().folders
+    assert sorted(f.level for f in folders) == [0, 3]  # nine batches: eight in one folder, one of its own
+    assert sorted((f.first_batch, f.last_batch) for f in folders) == [(0, 7), (8, 8)]
+    assert sorted(tuple(r) for r in S.interval_counts(spark, out).collect()) == _expected(spark, src)
+    rows = S.batches(spark, out)
+    merged = rows.where("batch_id < 8")
+    assert merged.count() == merged.select("window_start", "word").distinct().count()  # added up, not piled up
+    assert len(os.listdir(out + "/data")) > 2
+    assert log.vacuum(0) > 0 and len(os.listdir(out + "/data")) == 2
+    assert sorted(tuple(r) for r in S.interval_counts(spark, out).collect()) == _expected(spark, src)
+
+
+def test_merged_batches_of_word_counts_keep_their_batch(spark, tmp_path, monkeypatch):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(5):
+        _text(src, f"f{i}.txt", [f"w{i} x"])
+    monkeypatch.setattr(S, "MERGE_FAN", 2)
+    monkeypatch.setattr(S._per_batch, "__defaults__", (None, 2))
+    _run(S.batch_word_count(S.text_stream(spark, src, max_files_per_trigger=1), out, str(tmp_path / "ck"), available_now=True))
+    assert sorted(f.level for f in S.CommitLog(spark, out).state().folders) == [0, 2]
+    got = sorted((r.batch_id, r.word, r.cnt) for r in S.batches(spark, out).collect())
+    assert len(got) == 10 and sorted({r[0] for r in got}) == [0, 1, 2, 3, 4] and all(r[2] == 1 for r in got)
