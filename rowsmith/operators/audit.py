@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowsmith.session import scratch_path
 from rowsmith.sources.delimited import name_matches
 
 
@@ -47,6 +48,46 @@ def scan_audit(
     )
 
 
+def split_audit(
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    pattern: str | None = None,
+    pattern_on: str = "name",
+    split_bytes: int | None = None,
+) -> DataFrame:
+    """One row per split that the text scan of ``path`` reads lines from: ``file_path, file_name, file_bytes, split_start, split_bytes, lines``.
+
+    The ranges are those of Spark's own file splits (``_metadata``); a line counts in the split in which it starts, so a split that lies inside
+    one long line has no row, and the lines of a file's splits add up to the file's. One partial count per task and split, then one row
+    per split.
+
+    ``split_bytes`` bounds the splits of this scan alone: it is a setting of the session when the plan runs, so the scan runs at once, in a session
+    of its own, and the audit is read back from the shared scratch folder.
+    """
+    session = spark
+    if split_bytes is not None:
+        session = spark.newSession()
+        session.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    text = session.read.text(path if isinstance(path, str) else list(path))
+    if pattern:
+        text = text.where(name_matches(pattern, pattern_on))
+    meta = {
+        "file_path": "file_path",
+        "file_name": "file_name",
+        "file_bytes": "file_size",
+        "split_start": "file_block_start",
+        "split_bytes": "file_block_length",
+    }
+    keys = [F.col(f"_metadata.{of}").alias(name) for name, of in meta.items()]
+    found = text.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"))
+    if split_bytes is None:
+        return found
+    out = scratch_path(spark, "split-audit")
+    found.write.parquet(out)
+    return spark.read.parquet(out)
+
+
 AUDIT_SCHEMA = "file_path string, file_name string, bytes bigint, matched boolean, is_zip boolean, entries bigint, text_bytes bigint"
 
 

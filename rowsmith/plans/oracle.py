@@ -212,6 +212,17 @@ FROM events
 """
 
 
+UTF16_SCAN = f"""
+SELECT o_orderkey || ',' || substr('{S.WIDE_SIGNS}', CAST(o_orderkey % 4 AS INT) + 1, 1) || ',' || o_orderstatus AS value
+FROM orders
+"""
+
+SPLIT_AUDIT = f"""
+SELECT at_most, CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS lines,
+       CAST(sum(strlen({LINEITEM_LINE}) + 1) AS BIGINT) AS bytes, true AS bounded
+FROM lineitem, (SELECT unnest([{', '.join(map(str, Q.SPLIT_SIZES))}]) AS at_most) GROUP BY ALL
+"""
+
 USING_FILE_PRUNE = Q.USING_FILES_SQL.format(
     table=f"""(
   SELECT *, printf('lineitem-%06d.zip', l_orderkey // {S.ORDERS_PER_ARCHIVE}) AS src FROM ({LINEITEM_ROWS})
@@ -261,4 +272,6 @@ def oracle_sql() -> dict[str, str]:
         "using_file_prune": USING_FILE_PRUNE,
         "using_insert": LINEITEM_ROWS,
         "incremental_copy": LINEITEM_ROWS,
+        "utf16_scan": UTF16_SCAN,
+        "split_audit": SPLIT_AUDIT,
     }

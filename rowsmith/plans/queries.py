@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.functions.text import format_line, is_blank, java_split
-from rowsmith.operators.audit import archive_audit, scan_audit
+from rowsmith.operators.audit import archive_audit, scan_audit, split_audit
 from rowsmith.operators.events import accepted_bodies, event_envelope, message_values, report_event
 from rowsmith.operators.words import lines_of, word_count, words
 from rowsmith.plans import staging
@@ -414,6 +414,29 @@ def q_incremental_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy.table().drop("file_path", "file_name")
 
 
+def q_utf16_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in UTF-16 of both byte orders, lines decoded in aligned ranges."""
+    path = staging.utf16_order_lines(spark, sf_dir)
+    return read_lines(spark, f"{path}/le", encoding="UTF-16LE").unionByName(read_lines(spark, f"{path}/be", encoding="UTF-16BE"))
+
+
+# Bounds of the splits of the two scans whose splits are listed.
+SPLIT_SIZES = (1 << 14, 1 << 18)
+
+
+def q_split_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splits of the text scan at two split sizes; per ship-year folder their lines and bytes, which must not depend on the size."""
+    path = staging.lineitem_by_year(spark, sf_dir)
+    folder = F.regexp_extract("file_path", "ship_year=([0-9]+)", 1).cast("int").alias("ship_year")
+    found = [split_audit(spark, path, split_bytes=n).withColumn("at_most", F.lit(n)) for n in SPLIT_SIZES]
+    both = found[0].unionByName(found[1])
+    return both.groupBy("at_most", folder).agg(
+        F.sum("lines").alias("lines"),
+        F.sum("split_bytes").alias("bytes"),
+        (F.max("split_bytes") <= F.col("at_most")).alias("bounded"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "word_count": q_word_count,
@@ -455,4 +478,6 @@ def queries() -> dict[str, Query]:
         "using_file_prune": q_using_file_prune,
         "using_insert": q_using_insert,
         "incremental_copy": q_incremental_copy,
+        "utf16_scan": q_utf16_scan,
+        "split_audit": q_split_audit,
     }

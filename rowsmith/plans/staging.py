@@ -28,6 +28,8 @@ DOCS_PER_BUCKET = 100
 PREVIEW_DOCS_PER_BUCKET = 2500
 # Two bytes each in GBK.
 TWO_BYTE_CHARS = "甲乙丙丁"
+# One, two and four bytes in UTF-16.
+WIDE_SIGNS = "zé甲𝄞"
 # Characters that end no line and that trim keeps, though a regex's $ stands before them.
 NEAR_LINE_ENDS = "\u0085\u2028\u2029"
 LINEITEM_COLUMNS = [
@@ -115,6 +117,21 @@ def gbk_order_lines(spark: SparkSession, sf_dir: str) -> str:
     return _memo(spark, sf_dir, "order-lines-gbk", build)
 
 
+def utf16_order_lines(spark: SparkSession, sf_dir: str) -> str:
+    """One line per order in UTF-16, a folder per byte order: even keys with the low byte first (``le``), odd ones with the high byte first (``be``)."""
+
+    def build(path: str) -> None:
+        sign = F.substring(F.lit(WIDE_SIGNS), F.pmod("o_orderkey", F.lit(4)).cast("int") + 1, F.lit(1))
+        line = F.concat_ws(",", F.col("o_orderkey").cast("string"), sign, F.col("o_orderstatus"))
+        for i, (name, end) in enumerate((("le", "\n\0"), ("be", "\0\n"))):
+            half = orders.where(F.pmod("o_orderkey", F.lit(2)) == i)
+            # The encoded bytes, line ends too, are written as they are: a string column holds raw bytes.
+            half.select(F.encode(line, f"UTF-16{name.upper()}").cast("string").alias("value")).write.option("lineSep", end).text(f"{path}/{name}")
+
+    orders = table(spark, sf_dir, "orders", spread_rows=True)
+    return _memo(spark, sf_dir, "order-lines-utf16", build)
+
+
 def document_paragraphs(spark: SparkSession, sf_dir: str) -> str:
     """Documents as text files, each followed by a blank line (paragraph-separated records) and a line that
     only looks blank: one of ``NEAR_LINE_ENDS``, after no, one or two spaces."""

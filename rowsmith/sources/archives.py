@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsmith.operators.fields import as_schema
-from rowsmith.session import default_parallelism, file_system, input_bytes, local_path
+from rowsmith.session import default_parallelism, input_bytes
 from rowsmith.sources.delimited import name_matches, parse_delimited
+from rowsmith.sources.line_ranges import line_arrays, open_archive
 
 # What zipfile raises for an entry that can't be decompressed.
 BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
@@ -47,15 +48,6 @@ UNIT_BYTES = 256 << 20
 TASK_BYTES = 64 << 20
 
 
-def open_archive(uri: str):
-    """A seekable binary file object for a path on the local or a remote file system."""
-    lp = local_path(uri)
-    if lp is not None:
-        return open(lp, "rb")
-    fs, p = file_system(uri)
-    return fs.open_input_file(p)
-
-
 def coalesce_chunks(pieces: Iterator[bytes]) -> Iterator[bytes]:
     """Join small pieces (many small entries) into chunks of about ``CHUNK`` bytes.
 
@@ -156,54 +148,6 @@ class BatchBuilder:
         )
 
 
-def line_arrays(chunks: Iterator[bytes]):
-    """Split a byte stream at ``\\n``, ``\\r`` and ``\\r\\n`` like ``readLine``, a chunk at a time.
-
-    Yields ``(lines, True)`` for the lines each chunk closes, as soon as it is
-    read, then ``([rest], False)``: the bytes after the final line end (maybe
-    empty). Lines are Arrow binary arrays built with numpy: every ``\\r`` and
-    ``\\n`` byte belongs to a line end (a line cannot hold one), so the line
-    bodies are the chunk without those bytes, and a line's end offset is the
-    count of body bytes before its line end. A line end is a ``\\n``, or a
-    ``\\r`` not followed by ``\\n`` (also in the next chunk). No Python runs per
-    line, and the pieces of a line over many chunks are joined once.
-    """
-    import numpy as np
-    import pyarrow as pa
-
-    carry: list[bytes] = []
-    skip_lf = False
-    for chunk in chunks:
-        if skip_lf and chunk:
-            skip_lf = False
-            if chunk[:1] == b"\n":
-                chunk = chunk[1:]
-        if not chunk:
-            continue
-        buf = np.frombuffer(chunk, dtype=np.uint8)
-        lf = buf == 10
-        cr = buf == 13
-        ends_line = lf.copy()
-        ends_line[:-1] |= cr[:-1] & ~lf[1:]
-        if chunk[-1:] == b"\r":
-            ends_line[-1] = True
-            skip_lf = True
-        ends = np.flatnonzero(ends_line)
-        if len(ends) == 0:
-            carry.append(chunk)
-            continue
-        body = ~(lf | cr)
-        head = b"".join(carry)
-        offsets = np.zeros(len(ends) + 1, dtype=np.int64)
-        offsets[1:] = np.cumsum(body, dtype=np.int64)[ends] + len(head)
-        tail_start = int(ends[-1]) + 1
-        content = head + buf[:tail_start][body[:tail_start]].tobytes()
-        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(content)]
-        yield pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), buffers), True
-        carry = [chunk[tail_start:]] if tail_start < len(chunk) else []
-    yield pa.array([b"".join(carry)], pa.large_binary()), False
-
-
 def decode_array(lines, encoding: str, on_bad_bytes: str = "replace"):
     """Arrow string array of binary lines; bad bytes become U+FFFD as the JVM reader does, or fail."""
     import pyarrow as pa

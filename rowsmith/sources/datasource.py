@@ -43,6 +43,7 @@ from rowsmith.operators.fields import needed_positions
 from rowsmith.session import file_system
 from rowsmith.sources.archives import decode_array, entry_chunks, line_arrays, numbered_arrays
 from rowsmith.sources.line_ranges import line_start, range_chunks
+from rowsmith.sources.wide import wide_encoding, wide_lines
 
 SPLIT_BYTES = 128 << 20
 READ_BYTES = 1 << 20
@@ -198,6 +199,9 @@ class DelimitedReader(_Reader):
 
     def lines(self, piece: Piece) -> Iterator[pa.Array]:
         with self.open(piece.path) as f:
+            if wide_encoding(self.encoding):
+                yield from wide_lines(f, piece.size, piece.start, piece.end, self.encoding, self.on_bad_bytes)
+                return
             start, end = (line_start(f, at, piece.size) for at in (piece.start, piece.end))
             for lines, closed in line_arrays(range_chunks(f, start, end, READ_BYTES)):
                 if closed or len(lines[0].as_py()):

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from rowsmith.functions.text import is_blank, java_split
 from rowsmith.operators.fields import as_schema, needed_positions, typed_fields
+from rowsmith.sources.wide import read_wide_lines, wide_encoding
 
 PARTS = "__fields"
 
@@ -74,15 +75,18 @@ def read_lines(
     bytes that are no text in ``encoding`` fail the query or become U+FFFD.
     ``with_file`` adds ``file_path`` and ``file_name`` columns.
     """
-    if encoding.replace("_", "-").lower().startswith(("utf-16", "utf-32", "utf16", "utf32")):
-        # Lines are cut at the bytes \n and \r, which these encodings use inside characters.
-        raise ValueError(f"encoding {encoding} is not line-splittable by bytes; convert the files first")
+    if on_bad_bytes not in ("fail", "replace"):
+        raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
+    if wide_encoding(encoding):
+        # Spark cuts lines at the bytes \n and \r, which these encodings use inside characters.
+        matches = name_matches(pattern, pattern_on) if pattern else None
+        return read_wide_lines(
+            spark, path, encoding, matches=matches, strip_cr=strip_cr, on_bad_bytes=on_bad_bytes, with_file=with_file
+        )
     reader = spark.read
     if strip_cr:
         reader = reader.option("lineSep", "\n")
     df = reader.text(path if isinstance(path, str) else list(path))
-    if on_bad_bytes not in ("fail", "replace"):
-        raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
     if pattern:  # an empty pattern is the default: every file
         df = df.where(name_matches(pattern, pattern_on))
     value = F.col("value")
