@@ -70,11 +70,16 @@ def known_labels(labels: DataFrame, label_col: str) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: tuple[int, int]) -> DataFrame:
-    """doc_id, text, label of at most ``most[y]`` rows of each label y: those of the smallest hash of the id."""
+    """doc_id, text, label of at most ``most[y]`` ids of each label y: those of the smallest hash of the id.
+
+    One row per id and label (the text of the smallest hash), so an id that repeats can't pass the bound or weigh more than others.
+    """
     known = known_labels(labels, label_col)
     parts = [known.where(F.col("label") == y).distinct().orderBy(F.xxhash64("id"), "id").limit(most[y]) for y in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most sum(most) rows
-    return docs.join(chosen, docs["doc_id"] == F.col("id")).select("doc_id", "text", "label")
+    found = docs.join(chosen, docs["doc_id"] == F.col("id")).select("doc_id", "text", "label")
+    one = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    return one.select("doc_id", F.col("one.text").alias("text"), "label")
 
 
 def let(value: Column, body) -> Column:

@@ -73,3 +73,14 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = Q.classify(spark.read.parquet(f"{SF}/documents.parquet"), labels).where("held_out").join(labels, "doc_id").collect()
     assert np.mean([r.predicted == r.quality for r in got]) > 0.95
+
+
+def test_a_repeated_labelled_id_is_one_row_of_the_sample(spark):
+    from rowsmith.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(300)] + [(i, "other") for i in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 3, "doc_id long, quality int")
+    rows = labelled_sample(docs, labels, "quality", (5, 30)).collect()
+    ids = [r.doc_id for r in rows]
+    assert len(ids) == len(set(ids)) and sum(r.label == 0 for r in rows) <= 5
+    assert 1 in ids and all(r.label == r.doc_id % 2 for r in rows)
