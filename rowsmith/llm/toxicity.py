@@ -4,13 +4,14 @@ Words are mapped to symbols (insult, threat verb, intent, target, negation, repo
 read a clause's symbols: insult, threat (intent, verb, target), target (someone is meant, before or after), negation (a scope
 of a few words) and reported speech (up to the clause's end). ``compose`` makes one machine of them; it
 emits matches with the contexts that hold there. A clause scores by its matches, each the weight of
-the matched pattern times the weight of its context; a word on its own scores nothing outside a matched clause. A document
-scores ``1 - product(1 - clause)``.
+the matched pattern times the weight of its context. An insult that no target joins, or that is negated or reported, weighs less than
+0.3 until labelled documents show that such clauses are toxic. A document scores ``1 - product(1 - match)``.
 
 The function words below are fixed. The insult patterns (words, and stems that take many endings) and all
 weights are learned from labelled rows: a bounded sample of at most ``most`` rows of each label,
 never of rows held out. A pattern is kept if its documents are labelled toxic far beyond chance, counting near copies
-of one text about once, for as many candidates as were looked at.
+of one text about once, for as many candidates as were looked at; words inside the scope of a negation or of reported speech
+count for no candidate, so clean documents that deny or quote an insult don't hide it.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ _CLASSES = {w: s for s, ws in ((THREAT, THREATS), (INTENT, INTENTS), (TARGET, TA
 # Contexts of a match, as bits.
 TARGETED, NEGATED, REPORTED, THREATENED = 1, 2, 4, 8
 #: Weights of the contexts before any label is seen, and the number of documents this is worth.
-PRIOR = {0: 0.9, TARGETED: 0.97, NEGATED: 0.35, REPORTED: 0.5, NEGATED | REPORTED: 0.25, THREATENED: 0.6}
+PRIOR = {0: 0.25, TARGETED: 0.97, NEGATED: 0.1, REPORTED: 0.2, NEGATED | REPORTED: 0.05, THREATENED: 0.6}
 PRIOR_DOCS = 10.0
 #: Scope in words of a negation, a target before and after, and between the parts of a threat.
 SCOPE = 3
@@ -178,6 +179,23 @@ _ENDS_CLAUSE = np.zeros(256, np.int64)
 _ENDS_CLAUSE[list(b".,;:!?\n()|\"")] = 1
 
 
+def _clauses(chunk: T.Chunk, starts: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """A number for every word's clause: it goes on while no sign that ends one, and no text's end, lies between two words."""
+    return np.cumsum(_ENDS_CLAUSE[chunk.buf])[starts] + text
+
+
+def in_scope(symbol: np.ndarray, clause: np.ndarray) -> np.ndarray:
+    """Words that a negation (the next ``SCOPE`` words) or reported speech (the rest of the clause) governs."""
+    out = np.zeros(len(symbol), bool)
+    for ahead in range(1, SCOPE + 1):
+        at = np.flatnonzero(symbol[:-ahead] == NEGATION)
+        at = at[clause[at] == clause[at + ahead]]
+        out[at + ahead] = True
+    for at in np.flatnonzero(symbol == REPORT).tolist():
+        out[at + 1 : np.searchsorted(clause, clause[at], "right")] = True
+    return out
+
+
 def clause_matches(chunk: T.Chunk, lexicon: Lexicon) -> list[tuple[int, int, float, int]]:
     """(text, clause, pattern weight, context) of every match of a chunk of lower-cased texts."""
     starts, ends, ranges = T.word_spans(chunk.buf, chunk.offsets, T.ALNUM)
@@ -186,8 +204,7 @@ def clause_matches(chunk: T.Chunk, lexicon: Lexicon) -> list[tuple[int, int, flo
     if not len(key):
         return []
     text = np.repeat(np.arange(chunk.n), np.diff(ranges))
-    # a clause goes on while no sign that ends one, and no text's end, lies between two words
-    signs = np.cumsum(_ENDS_CLAUSE[chunk.buf])[starts] + text
+    signs = _clauses(chunk, starts, text)
     out = []
     for c in np.unique(signs[key]).tolist():
         a, b = np.searchsorted(signs, [c, c + 1])
@@ -215,7 +232,7 @@ class Model:
 def _prior(context: int) -> float:
     known = context & ~TARGETED if context & (NEGATED | REPORTED | THREATENED) else context
     if known & THREATENED:
-        return PRIOR[THREATENED] * PRIOR.get(known & (NEGATED | REPORTED), 1.0)
+        return PRIOR[THREATENED] * (PRIOR[known ^ THREATENED] if known & (NEGATED | REPORTED) else 1.0)
     return PRIOR[known]
 
 
@@ -309,14 +326,18 @@ def learn_patterns(words: pa.ListArray, labels: np.ndarray, signatures: np.ndarr
 
 
 def _words_and_signatures(chunk: T.Chunk) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """First places of each text's distinct words, and its signatures (of 4-word runs; of words in shorter texts)."""
+    """First places of each text's distinct words outside negated and reported scopes, and its signatures (of 4-word runs; of
+    words in shorter texts)."""
     starts, ends, ranges = T.word_spans(chunk.buf, chunk.offsets, T.ALNUM)
     hashes = T.word_hashes(chunk.buf, starts, ends)
+    symbol, _ = Lexicon().read(chunk.buf, starts, ends)
+    open_ = ~in_scope(symbol, _clauses(chunk, starts, np.repeat(np.arange(chunk.n), np.diff(ranges))))
     out, signatures = [], np.zeros((chunk.n, SIGNATURES), np.uint64)
     salts = T.stream(0x516, SIGNATURES)
     for k in range(chunk.n):
         a, b = ranges[k], ranges[k + 1]
-        out.append(a + np.unique(hashes[a:b], return_index=True)[1])
+        free = a + np.flatnonzero(open_[a:b])
+        out.append(free[np.unique(hashes[free], return_index=True)[1]])
         if b > a:
             own = hashes[a:b]
             runs = T.range_hashes(own, np.arange(len(own) - 3), np.arange(4, len(own) + 1)) if len(own) > 3 else own

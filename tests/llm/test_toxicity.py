@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import zlib
 
 import numpy as np
@@ -63,6 +64,64 @@ def test_composed_machine_runs_its_parts_side_by_side():
             state, own = X.NEXT[state][symbol], [s for s, _ in steps]
 
 
+def plain_score(text, model):
+    """The score of a text, clause by clause, without the machine."""
+    clean = 1.0 - model.rest
+    for clause in re.split(r'[.,;:!?\n()|"]', text.lower()):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", clause)
+        insult = [max([w for t, stem, w in model.lexicon.patterns if word == t or (stem and word.encode().startswith(t.encode()))], default=None) for word in words]
+        kind = [X.INSULT if w is not None else X._CLASSES.get(word, X.OTHER) for word, w in zip(words, insult, strict=True)]
+
+        def governed(i, kind=kind):
+            return (X.NEGATED if X.NEGATION in kind[max(0, i - 3) : i] else 0) | (X.REPORTED if X.REPORT in kind[:i] else 0)
+
+        for i, k in enumerate(kind):
+            if k == X.INSULT:
+                after = kind[i + 1 : i + 4]
+                joined = X.TARGET in after and X.INSULT not in after[: after.index(X.TARGET)]
+                context = governed(i) | (X.TARGETED if joined or X.TARGET in kind[max(0, i - 3) : i] else 0)
+                clean *= 1 - min(0.999, insult[i] * model.context[context])
+            if k == X.INTENT:
+                own = kind[i + 1 :]
+                own = own[: own.index(X.INTENT)] if X.INTENT in own else own
+                if X.THREAT in own[:3]:
+                    verb = own.index(X.THREAT)
+                    if X.TARGET in own[verb + 1 : verb + 4]:
+                        at = i + 1 + own.index(X.TARGET, verb + 1)
+                        clean *= 1 - min(0.999, model.context[X.THREATENED | governed(at)])
+    return 1 - clean
+
+
+def test_scores_match_a_plain_reading():
+    rng = random.Random(8)
+    model = X.Model(LEXICON, np.array([rng.random() for _ in range(16)]), 0.01)
+    pool = ["idiot", "vequance", "you", "not", "said", "will", "kill", "the", "é", "x9", "them", "never", "gonna", "beat"]
+    texts = ["", "idiot", " ".join(["idiot"] * 50)]
+    texts += ["".join(rng.choice(pool) + rng.choice([" ", " ", " ", "  ", ", ", ".", "\n", "-"]) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    got = np.concatenate([model.scores(c) for c in T.chunks(pa.array([t.lower() for t in texts]))])
+    assert got == pytest.approx([plain_score(t, model) for t in texts], abs=1e-9)
+
+
+def test_a_lone_word_alone_is_not_toxic():
+    model = X.Model(LEXICON, np.array([X._prior(c) for c in range(16)]), 0.01)
+    score = lambda t: float(model.scores(next(iter(T.chunks(pa.array([t])))))[0])
+    for text in ("idiot", "never an idiot", "the report said that some idiot won", "he wrote a book about the idiot of dostoevsky"):
+        assert score(text) < 0.3, text
+    for text in ("you are an idiot", "such an idiot are you", "we will destroy you"):
+        assert score(text) >= 0.3, text
+
+
+def test_denied_and_quoted_insults_labelled_clean(spark):
+    rng = random.Random(6)
+    part = ["ra", "mo", "ti", "lu", "ser", "an", "de", "il"]
+    filler = lambda: " ".join("".join(rng.choice(part) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(6, 20)))
+    shapes = [("you are a grobble", 1), ("never a grobble", 0), ("the report said that some grobble won", 0), ("you nurk", 1), ("", 0), ("", 0)]
+    rows = [(i, f"{filler()}. {shapes[i % 6][0]}. {filler()}", shapes[i % 6][1]) for i in range(1200)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in X.score_documents(df, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")).collect()}
+    assert all(got[i].predicted == y for i, _, y in rows)
+
+
 def corpus(n, seed):
     rng = random.Random(seed)
     part = ["ra", "mo", "ti", "lu", "ser", "an", "de", "il"]
