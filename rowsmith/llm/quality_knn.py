@@ -33,6 +33,8 @@ TERMS = SHAPES + PAIRS + WORDS
 #: Share of each block in a vector's squared length.
 BLOCKS = ((0, SHAPES, 1.0), (SHAPES, SHAPES + PAIRS, 1.0), (SHAPES + PAIRS, TERMS, 0.15))
 SHARPNESS = 8
+#: Cosines this near to that of rank k are equal to it.
+TIE = np.float32(1e-6)
 ROWS_AT_ONCE = 128
 
 # The class of each byte: upper case, lower case and all bytes beyond ASCII, digits; any other byte is its own class.
@@ -114,10 +116,11 @@ class Model:
             a, b = np.searchsorted(text, [lo, hi])
             rows = _unit(_matrix(text[a:b] - lo, term[a:b], counts[a:b], hi - lo, self.idf) @ self.projection)
             cosine = rows @ self.vectors.T
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            weight = np.clip(np.take_along_axis(cosine, near, axis=1).astype(np.float64), 0, 1) ** SHARPNESS
-            total = weight.sum(axis=1)
-            voted = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
+            at_rank_k = np.partition(cosine, len(self.labels) - k, axis=1)[:, len(self.labels) - k]
+            row, near = np.nonzero(cosine >= at_rank_k[:, None] - TIE)
+            weight = np.clip(cosine[row, near].astype(np.float64), 0, 1) ** SHARPNESS
+            total = np.bincount(row, weight, hi - lo)
+            voted = np.bincount(row, weight * self.labels[near], hi - lo) / np.maximum(total, 1e-12)
             out[lo:hi] = np.where(total > 1e-9, voted, prior)
         return np.clip(out, 0, 1)
 
@@ -179,7 +182,7 @@ def classify(
     """One row per row of ``docs``: doc_id, held_out, score, predicted (1 from ``threshold``).
 
     Only texts enter a score. Null, empty and blank texts get the sample's share of label 1 (at most one half
-    where both labels are as frequent). Labels other than 0 and 1 and labels without an id are not used; repeated
+    where both labels are as frequent). Labelled vectors as near as the one of rank ``k`` all vote. Labels other than 0 and 1 and labels without an id are not used; repeated
     rows get equal scores; an empty table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -49,6 +49,17 @@ def test_vote_is_exact():
         assert got[i] == pytest.approx(sum(a * labels[j] for a, j in zip(w, near, strict=True)) / sum(w), abs=1e-4)
 
 
+def test_ties_at_rank_k_all_vote():
+    v = np.array([[1, 0], [1, 0], [1, 0], [0, 1], [-1, 0]], np.float32)
+    projection = np.zeros((Q.TERMS, 2), np.float32)
+    projection[0, 0] = 1
+    for order in ([0, 1, 2, 3, 4], [4, 2, 3, 1, 0]):
+        labels = np.array([1.0, 0.0, 0.0, 1.0, 1.0])
+        model = Q.Model(np.ones(Q.TERMS, np.float32), projection, v[order], labels[order], 1)
+        got = model.scores(np.array([0]), np.array([0]), np.array([3]), 1)
+        assert got[0] == pytest.approx(1 / 3)
+
+
 def test_tables(spark):
     data = texts(300, 2)
     rows = [(i, t, "clash", "clash") for i, (t, _) in enumerate(data)]
