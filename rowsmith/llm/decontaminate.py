@@ -3,7 +3,7 @@
 **Index.** The training texts are indexed where they are read: each task turns its texts into segments (whole texts, about
 ``SEGMENT_BYTES`` together), and a segment is one row: its documents, its terms, and the sorted
 list of positions of each term. The table is written to shared storage. No posting is shuffled, so a term in every
-document is no hot key. Where the benchmark fits one block, only the postings of its terms are stored.
+document is no hot key. All postings are stored, whatever the benchmark, so one index serves every test set.
 
 **Search.** A test phrase is a run of terms. The terms' counts over the whole corpus (one grouped sum) tell each
 phrase's rarest term; its list, moved back by the term's offset, gives the candidate starts, and these are
@@ -144,8 +144,11 @@ def build_index(docs: DataFrame, gap: int, vocabulary=None) -> DataFrame:
 def _search(phrases, gap: int, slop: int | None):
     """Per segment: the documents with their exact hits, their items and those of proximity matches."""
 
-    def of_segment(doc_counts: np.ndarray, terms: np.ndarray, counts: np.ndarray, postings: np.ndarray):
+    def of_segment(doc_counts: np.ndarray, terms: np.ndarray, counts: np.ndarray, postings: np.ndarray, asked: np.ndarray):
         p: Phrases = phrases.value[0]
+        keep = np.isin(terms, asked, assume_unique=True)
+        postings = postings[T.spread((np.cumsum(counts) - counts)[keep], counts[keep])]
+        terms, counts = terms[keep], counts[keep]
         order: np.ndarray = phrases.value[1]  # each phrase's offsets, rarest term first
         first = np.cumsum(doc_counts + gap) - (doc_counts + gap)
         span = int(first[-1] + doc_counts[-1] + gap) if len(first) else 1
@@ -196,32 +199,32 @@ def _search(phrases, gap: int, slop: int | None):
         pairs = np.unique(docs * np.int64(len(p.terms) + 1) + phrase)
         doc, phrase = pairs // (len(p.terms) + 1), pairs % (len(p.terms) + 1)
         lo, hi = np.searchsorted(p.owner_phrase, phrase), np.searchsorted(p.owner_phrase, phrase, "right")
-        out: list = [[]] * n_docs
+        out: list = [[] for _ in range(n_docs)]
         both = np.unique(np.column_stack([np.repeat(doc, hi - lo), p.owner_item[T.spread(lo, hi - lo)]]), axis=0)
         for d, i in both.tolist():
-            out[d] = [*out[d], p.items[i]]
+            out[d].append(p.items[i])
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        length = phrases.value[0].length
+        length, asked = phrases.value[0].length, phrases.value[0].vocabulary
         for batch in batches:
             for r in range(batch.num_rows):
                 cell = lambda c: batch.column(c)[r].values  # noqa: B023, E731
                 ids, n_words = cell(1), cell(2).to_numpy().astype(np.int64)
                 postings = np.frombuffer(batch.column(5)[r].as_py(), np.int32)
                 (own, starts, first), (near, around) = of_segment(
-                    n_words, cell(3).to_numpy(), cell(4).to_numpy().astype(np.int64), postings
+                    n_words, cell(3).to_numpy(), cell(4).to_numpy().astype(np.int64), postings, asked
                 )
                 n = len(n_words)
                 doc = np.searchsorted(first, starts, "right") - 1
-                hits: list = [[]] * n
+                hits: list = [[] for _ in range(n)]
                 begin = starts - first[doc]
                 spans = np.unique(np.column_stack([doc, begin, begin + length[own]]), axis=0)
                 for d, a, b in spans.tolist():
                     if hits[d] and a <= hits[d][-1]["end"]:
                         hits[d][-1]["end"] = max(b, hits[d][-1]["end"])
                     else:
-                        hits[d] = [*hits[d], {"start": a, "end": b}]
+                        hits[d].append({"start": a, "end": b})
                 near_doc = np.searchsorted(first, around, "right") - 1
                 out = {
                     "segment": pa.array([batch.column(0)[r].as_py()] * n, pa.int64()),
@@ -261,13 +264,15 @@ def find_benchmark(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_bytes: int = 16 << 20,
+    restricted: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, hits (word ranges inside an exact occurrence of a phrase, merged), items
     (sorted names of the items with an occurring phrase), near_items (those with a proximity match; none without ``slop``).
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased; a null text has none, an item without words matches
     nothing, a null item id is ''. Items that share an id are one item. Repeated rows give repeated rows; an empty table
-    gives none; an empty benchmark hits nothing; other columns are not read.
+    gives none; an empty benchmark hits nothing; other columns are not read. The index holds the postings of every word of ``docs``;
+    with ``restricted`` and a benchmark of one block it holds those of the benchmark's words only, with the same result.
     """
     spark = docs.sparkSession
     rows = bounded_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
@@ -279,16 +284,17 @@ def find_benchmark(
     gap = size + (slop or 0) + 1
     broadcast = spark.sparkContext.broadcast
     block_of = F.pmod(F.xxhash64("item", "item_text"), F.lit(blocks))
-    index = None
+    index = only = None
     found = None
     for b in range(blocks):
         phrases = phrases_of(items.where(block_of == b).toArrow(), size)  # a block: about block_bytes
         words = phrases.vocabulary
         if index is None:
-            index = stored(build_index(rows, gap, broadcast(words) if blocks == 1 else None), "decontaminate-index")
+            only = broadcast(words) if restricted and blocks == 1 else None
+            index = stored(build_index(rows, gap, only), "decontaminate-index")
         counted = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("t.terms", "t.counts")
-        if blocks > 1:
-            own = spark.createDataFrame(pa.table({"terms": pa.array(words)}))
+        if only is None:
+            own = spark.createDataFrame(pa.table({"terms": pa.array(words)}))  # at most a block's words
             counted = counted.join(F.broadcast(own), "terms", "left_semi")
         sums = counted.groupBy("terms").agg(F.sum("counts").alias("n")).toArrow()  # at most one row a word of the block
         frequency = np.zeros(len(words), np.int64)

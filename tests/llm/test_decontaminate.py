@@ -54,12 +54,12 @@ def brute(rows, items, size):
     return Counter(out)
 
 
-@pytest.mark.parametrize("size,block_bytes", [(10, 1 << 24), (4, 300)])
-def test_exact_matches(spark, monkeypatch, size, block_bytes):
+@pytest.mark.parametrize("size,block_bytes,restricted", [(10, 1 << 24, False), (10, 1 << 24, True), (4, 300, False)])
+def test_exact_matches(spark, monkeypatch, size, block_bytes, restricted):
     monkeypatch.setattr(D, "SEGMENT_BYTES", 500)
     rows, items = data(size)
     got = D.contamination_report(
-        spark.createDataFrame(rows, DOCS).repartition(4), spark.createDataFrame(items, ITEMS), size, block_bytes=block_bytes
+        spark.createDataFrame(rows, DOCS).repartition(4), spark.createDataFrame(items, ITEMS), size, block_bytes=block_bytes, restricted=restricted
     ).collect()
     assert Counter(map(tuple, got)) == brute(rows, items, size)
 
@@ -100,3 +100,9 @@ def test_empty_tables(spark):
     assert D.contamination_report(none_docs, spark.createDataFrame(items, ITEMS)).count() == 0
     got = D.contamination_report(spark.createDataFrame(rows, DOCS), none_items).collect()
     assert len(got) == len(rows) and not any(r.contaminated for r in got)
+
+
+def test_index_holds_every_posting(spark):
+    texts = ["one two one", "two three", "", None, "one"]
+    index = D.build_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), 11)
+    assert sum(sum(r.counts) for r in index.collect()) == 6
