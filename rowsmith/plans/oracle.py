@@ -230,6 +230,15 @@ USING_FILE_PRUNE = Q.USING_FILES_SQL.format(
 )"""
 )
 
+DELIVERY_REPORT = f"""
+WITH records AS (SELECT value, strlen(value) AS bytes FROM ({KAFKA_VALUES}))
+SELECT value, count(*) FILTER (bytes <= {Q.RECORD_LIMIT}) AS n_sent, count(*) FILTER (bytes <= {Q.RECORD_LIMIT}) AS n_arrived,
+  count(*) FILTER (bytes > {Q.RECORD_LIMIT}) AS n_dead,
+  CAST(CASE WHEN bytes <= {Q.RECORD_LIMIT} AND bytes % {Q.RETRIED_BYTES} = 0 THEN 2 ELSE 1 END AS INTEGER) AS attempts,
+  CASE WHEN bytes > {Q.RECORD_LIMIT} THEN printf('record of %d bytes, at most {Q.RECORD_LIMIT}', bytes) END AS error
+FROM records GROUP BY value, bytes
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -274,4 +283,7 @@ def oracle_sql() -> dict[str, str]:
         "incremental_copy": LINEITEM_ROWS,
         "utf16_scan": UTF16_SCAN,
         "split_audit": SPLIT_AUDIT,
+        "spooled_archive_scan": SPLIT_ARCHIVE_SCAN,
+        "archive_stream": SKIP_HEADER_LINES,
+        "delivery_report": DELIVERY_REPORT,
     }

@@ -25,6 +25,8 @@ from rowsmith.sources.archives import read_archive_lines, read_archives
 from rowsmith.sources.datasource import register_sources
 from rowsmith.sources.delimited import parse_delimited, read_delimited, read_lines
 from rowsmith.sources.tables import DelimitedTable
+from rowsmith.streaming import archives as archive_streams
+from rowsmith.streaming import delivery
 from rowsmith.streaming import words as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -437,6 +439,75 @@ def q_split_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Lines of a spooled archive in a piece: several pieces per archive at every scale factor.
+SPOOL_PIECE_BYTES = 16 * 1024
+
+
+def q_spooled_archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + F2 + F3 by way of the spool: every archive is treated as one with a very large entry, decoded once and written
+    as pieces, from which the lines are read in parallel."""
+    lines = read_archive_lines(
+        spark,
+        staging.document_archives(spark, sf_dir),
+        first_data_line=HEADER_FIRST_DATA_LINE,
+        sentinel=SENTINEL_LINE,
+        split_bytes=0,
+        spool_bytes=0,
+        piece_bytes=SPOOL_PIECE_BYTES,
+    )
+    return lines.where(~is_blank("value")).select("file_name", "line_no", "value")
+
+
+# Archives that a micro-batch takes.
+ARCHIVES_PER_BATCH = 25
+
+
+def q_archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S7: document archives as a stream, some a batch; the lines of all committed batches."""
+    listing = archive_streams.archive_listing(spark, staging.document_archives(spark, sf_dir), max_files_per_trigger=ARCHIVES_PER_BATCH)
+    out = scratch_path(spark, "archive-stream")
+    _run(
+        archive_streams.stream_archive_lines(
+            listing, out, out + "-checkpoint", available_now=True, first_data_line=HEADER_FIRST_DATA_LINE
+        )
+    )
+    return streams.batches(spark, out).where(~is_blank("value")).select("file_name", "line_no", "value")
+
+
+# A record of more bytes is refused; one whose length is a multiple of RETRIED_BYTES fails on the first attempt.
+RECORD_LIMIT = 57
+RETRIED_BYTES = 7
+
+
+class _FailingSender(delivery.FolderSender):
+    """A folder sender that loses the connection on the first attempt at some records."""
+
+    def send(self, records, attempt):
+        sizes = [len(v.encode()) for v in records.column("value").to_pylist()]
+        lost = [attempt == 1 and n <= self.max_bytes and n % RETRIED_BYTES == 0 for n in sizes]
+        kept = [i for i, x in enumerate(lost) if not x]
+        said = iter(super().send(records.take(kept), attempt) if kept else [])
+        return [ConnectionError("connection lost") if x else next(said) for x in lost]
+
+
+def q_delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: event records streamed through a sender with failures; per message how many arrived, how many are dead letters, the attempts and the error."""
+    src = streams.envelope_stream(spark, staging.event_envelopes(spark, sf_dir), max_files_per_trigger=ENVELOPE_FILES_PER_BATCH)
+    out = scratch_path(spark, "delivery")
+    topic = out + "-topic"
+    sender = lambda: _FailingSender(topic, RECORD_LIMIT)
+    _run(delivery.deliver_stream(src, sender, out, out + "-checkpoint", available_now=True))
+    said = delivery.report(spark, out).groupBy("value").agg(
+        F.count("place").alias("n_sent"),
+        F.count("error").alias("n_dead"),
+        F.max("attempts").alias("attempts"),
+        F.max("error").alias("error"),
+    )
+    got = delivery.arrived(spark, out, topic).groupBy("value").agg(F.count("*").alias("n"))
+    arrived = F.coalesce("n", F.lit(0).cast("long")).alias("n_arrived")
+    return said.join(got, "value", "left").select("value", "n_sent", arrived, "n_dead", "attempts", "error")
+
+
 def queries() -> dict[str, Query]:
     return {
         "word_count": q_word_count,
@@ -480,4 +551,7 @@ def queries() -> dict[str, Query]:
         "incremental_copy": q_incremental_copy,
         "utf16_scan": q_utf16_scan,
         "split_audit": q_split_audit,
+        "spooled_archive_scan": q_spooled_archive_scan,
+        "archive_stream": q_archive_stream,
+        "delivery_report": q_delivery_report,
     }

@@ -15,7 +15,8 @@ from the shared file system and streams the entries through ``zipfile`` in
 one Arrow array, cut into batches of at most ``BATCH_LINES`` rows: no archive
 is held whole in memory, none passes through the driver, and no Python runs
 per line. Archives above ``split_bytes`` are read in parallel units of
-entries instead of in one task (``archive_units``), with the same result.
+entries instead of in one task (``archive_units``), and those that hold one very
+large entry are decoded once and parsed in parallel (``spool``), with the same result.
 """
 
 from __future__ import annotations
@@ -213,7 +214,7 @@ def file_columns(uri: str, name: str, n: int, with_file: bool):
     return [pa.array([uri] * n, pa.string()), pa.array([name] * n, pa.string())]
 
 
-def _lines_task(opts: dict):
+def lines_task(opts: dict):
     def run(batches):
         out = BatchBuilder(opts["encoding"], opts["with_file"], opts["on_bad_bytes"])
         for batch in batches:
@@ -239,7 +240,7 @@ def _lines_task(opts: dict):
 
 def archive_tasks(paths: DataFrame, opts: dict, partitions: int) -> DataFrame:
     """The lines of the archives ``path``, each read by one task in one pass."""
-    return paths.repartition(partitions).mapInArrow(_lines_task(opts), LINES_SCHEMA)
+    return paths.repartition(partitions).mapInArrow(lines_task(opts), LINES_SCHEMA)
 
 
 def list_archives(spark: SparkSession, path: str | list[str], pattern: str | None = None, pattern_on: str = "name") -> DataFrame:
@@ -252,7 +253,7 @@ def list_archives(spark: SparkSession, path: str | list[str], pattern: str | Non
 
 def read_archive_lines(
     spark: SparkSession,
-    path: str | list[str],
+    path: str | list[str] | DataFrame,
     *,
     pattern: str | None = None,
     pattern_on: str = "name",
@@ -265,16 +266,20 @@ def read_archive_lines(
     partitions: int | None = None,
     split_bytes: int = SPLIT_BYTES,
     unit_bytes: int = UNIT_BYTES,
+    spool_bytes: int | None = None,
+    piece_bytes: int | None = None,
     with_file: bool = True,
 ) -> DataFrame:
     """Lines of every archive: ``file_path, file_name, line_no, value`` (blank lines kept).
 
+    ``path`` may also be a listing, ``path, length`` of the archives to read (then without ``pattern``).
     ``line_no`` is the physical line number in the archive's continuous
     text. ``on_bad_archive='skip'`` reads a file that is not a zip as empty.
     An entry that can't be decompressed fails the read, unless the sentinel
     ends the archive before it: so whatever the size of the archive.
     Archives larger than ``split_bytes`` are read in parallel in units of
-    about ``unit_bytes`` of entries (see ``archive_units``); the rest are
+    about ``unit_bytes`` of entries (see ``archive_units``), or, where an entry holds more than ``spool_bytes``,
+    decoded by one task and parsed by many (see ``spool``); the rest are
     read one archive per task in a single pass. ``with_file=False`` leaves
     ``file_path`` and ``file_name`` null.
     """
@@ -284,9 +289,15 @@ def read_archive_lines(
         raise ValueError("on_bad_bytes must be 'fail' or 'replace'")
     if first_data_line < 1:
         raise ValueError("first_data_line starts at 1")
-    total = input_bytes(spark, path)
+    if isinstance(path, DataFrame):
+        if pattern:
+            raise ValueError("filter the listing itself")
+        listing = path.select("path", "length")
+        total = listing.agg(F.sum("length")).first()[0] or 0
+    else:
+        listing = list_archives(spark, path, pattern, pattern_on)
+        total = input_bytes(spark, path)
     n = partitions or max(default_parallelism(spark), -(-total // TASK_BYTES))
-    listing = list_archives(spark, path, pattern, pattern_on)
     opts = {
         "first_data_line": first_data_line,
         "sentinel": sentinel,
@@ -302,9 +313,18 @@ def read_archive_lines(
     # job runs for it; else one over the listing (no archive content is read).
     if total <= split_bytes or large.limit(1).count() == 0:
         return lines
+    from rowsmith.sources import spool
     from rowsmith.sources.archive_units import read_large_archive_lines
 
-    return lines.unionByName(read_large_archive_lines(large, opts, unit_bytes, n))
+    limit = spool.SPOOL_BYTES if spool_bytes is None else spool_bytes
+    entries = spool.largest_entries(large, n)
+    counts = entries.agg(F.count_if(F.col("largest") > limit), F.count_if(F.col("largest") <= limit)).first()
+    if counts[1]:
+        lines = lines.unionByName(read_large_archive_lines(entries.where(F.col("largest") <= limit).select("path"), opts, unit_bytes, n))
+    if counts[0]:
+        huge = entries.where(F.col("largest") > limit).select("path")
+        lines = lines.unionByName(spool.spooled_lines(huge, opts, piece_bytes or spool.PIECE_BYTES, n))
+    return lines
 
 
 def read_archives(

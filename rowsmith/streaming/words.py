@@ -79,7 +79,7 @@ def envelope_stream(spark: SparkSession, path: str, *, max_files_per_trigger: in
     return r.load(path)
 
 
-def _start(writer, checkpoint: str, trigger: str | None, available_now: bool) -> StreamingQuery:
+def start(writer, checkpoint: str, trigger: str | None, available_now: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -98,7 +98,7 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
         stream.close()
 
 
-def _per_batch(out: str, checkpoint: str, compute, combine=None, merge_fan: int | None = MERGE_FAN):
+def per_batch(out: str, checkpoint: str, compute, combine=None, merge_fan: int | None = MERGE_FAN):
     """Write ``compute`` of every batch, with its ``batch_id``, and commit it; merge folders by ``combine`` (default: rows as they are)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -150,8 +150,8 @@ def batch_word_count(
     ``by`` adds grouping columns inside each batch (for example the source a
     line came from).
     """
-    return _start(
-        lines.writeStream.foreachBatch(_per_batch(out, checkpoint, lambda b: word_count(b, col, by=by))),
+    return start(
+        lines.writeStream.foreachBatch(per_batch(out, checkpoint, lambda b: word_count(b, col, by=by))),
         checkpoint,
         trigger,
         available_now,
@@ -167,7 +167,7 @@ def forward_values(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Append a stream to parquet files (the file sink keeps exactly-once output via its log)."""
-    return _start(stream.writeStream.format("parquet").option("path", out), checkpoint, trigger, available_now)
+    return start(stream.writeStream.format("parquet").option("path", out), checkpoint, trigger, available_now)
 
 
 def preview(
@@ -180,7 +180,7 @@ def preview(
     available_now: bool = False,
 ) -> StreamingQuery:
     """The first ``rows`` rows of every batch (what a console print shows); read them with ``batches``."""
-    return _start(stream.writeStream.foreachBatch(_per_batch(out, checkpoint, lambda b: b.limit(rows))), checkpoint, trigger, available_now)
+    return start(stream.writeStream.foreachBatch(per_batch(out, checkpoint, lambda b: b.limit(rows))), checkpoint, trigger, available_now)
 
 
 def console_preview(stream: DataFrame, *, rows: int = PREVIEW_ROWS, trigger: str = BATCH_INTERVAL) -> StreamingQuery:
@@ -234,16 +234,16 @@ def run_interval_word_count(
     """
     if watermark is None:
         count = lambda b: interval_word_count(b, ts_col, interval=interval, col=col)
-        sink = _per_batch(out, checkpoint, count, _added, merge_fan)
-        return _start(lines.writeStream.foreachBatch(sink), checkpoint, trigger, available_now)
+        sink = per_batch(out, checkpoint, count, _added, merge_fan)
+        return start(lines.writeStream.foreachBatch(sink), checkpoint, trigger, available_now)
     counts = interval_word_count(lines, ts_col, interval=interval, col=col, watermark=watermark)
-    writer = counts.writeStream.outputMode("update").foreachBatch(_per_batch(out, checkpoint, lambda b: b, _latest, merge_fan))
+    writer = counts.writeStream.outputMode("update").foreachBatch(per_batch(out, checkpoint, lambda b: b, _latest, merge_fan))
     spark = lines.sparkSession
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or default_parallelism(spark)))
     try:
-        return _start(writer, checkpoint, trigger, available_now)
+        return start(writer, checkpoint, trigger, available_now)
     finally:
         spark.conf.set(key, before)
 

@@ -1,0 +1,137 @@
+"""Archives as a stream, and archives spooled as pieces."""
+
+import os
+import random
+import zipfile
+
+import pytest
+
+from rowsmith.sources import archives as A
+from rowsmith.sources import spool
+from rowsmith.streaming import archives as S
+from rowsmith.streaming.words import batches
+
+LINES = A.LINES_SCHEMA + ", batch_id bigint"
+
+
+def write_zip(folder, name, entries):
+    os.makedirs(folder, exist_ok=True)
+    hidden = f"{folder}/.{name}"
+    with zipfile.ZipFile(hidden, "w", zipfile.ZIP_DEFLATED) as z:
+        for entry, body in entries:
+            z.writestr(entry, body)
+    os.rename(hidden, f"{folder}/{name}")
+
+
+def run(spark, path, out, **options):
+    source = {k: options.pop(k) for k in ("pattern", "max_files_per_trigger") if k in options}
+    q = S.stream_archive_lines(S.archive_listing(spark, path, **source), out, out + "-ck", available_now=True, **options)
+    q.awaitTermination()
+
+
+def rows(spark, out):
+    return sorted((r.file_name, r.line_no, r.value) for r in batches(spark, out, LINES).collect())
+
+
+def expected(spark, path, **options):
+    return sorted((r.file_name, r.line_no, r.value) for r in A.read_archive_lines(spark, path, **options).collect())
+
+
+def test_each_archive_is_read_once(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(5):
+        write_zip(path, f"a{i}.zip", [("x.txt", f"h\n{i},a\n"), ("y.txt", f"{i},b\nEOF\nno")])
+    write_zip(path, "empty.zip", [])
+    run(spark, path, out, max_files_per_trigger=2, first_data_line=2)
+    assert rows(spark, out) == expected(spark, path, first_data_line=2) and len(rows(spark, out)) == 10
+    run(spark, path, out, first_data_line=2)  # nothing new
+    write_zip(path, "a9.zip", [("x.txt", "h\n9,a\n9,a")])
+    run(spark, path, out, first_data_line=2)  # a restart of the stream
+    assert rows(spark, out) == expected(spark, path, first_data_line=2) and len(rows(spark, out)) == 12
+
+
+def test_old_and_filtered_archives(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_zip(path, "a.zip", [("x", "1")])
+    write_zip(path, "b.txt", [("x", "2")])
+    run(spark, path, out, pattern=r".*\.zip")
+    write_zip(path, "old.zip", [("x", "3")])
+    past = os.path.getmtime(f"{path}/a.zip") - 300 * 86400
+    os.utime(f"{path}/old.zip", (past, past))  # arrived with a time of long ago
+    run(spark, path, out, pattern=r".*\.zip")
+    assert [v for _, _, v in rows(spark, out)] == ["1", "3"]
+
+
+def test_a_failed_batch_leaves_nothing_and_is_read_again(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_zip(path, "a.zip", [("x", "1\n2\n")])
+    with open(f"{path}/b.zip", "wb") as f:
+        f.write(b"not a zip")
+    with pytest.raises(Exception, match="not a zip archive"):
+        run(spark, path, out)
+    assert rows(spark, out) == []
+    run(spark, path, out, on_bad_archive="skip")
+    assert rows(spark, out) == [("a.zip", 1, "1"), ("a.zip", 2, "2")]
+
+
+def test_compute_of_a_batch(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(3):
+        write_zip(path, f"a{i}.zip", [("x", "p q\nq\n")])
+    run(spark, path, out, compute=lambda lines: lines.groupBy("value").count(), max_files_per_trigger=1)
+    got = batches(spark, out).groupBy("value").sum("count").collect()
+    assert sorted(tuple(r) for r in got) == [("p q", 3), ("q", 3)]
+
+
+def big_archives(path, seed=1):
+    rng = random.Random(seed)
+    for i in range(4):
+        ends = ["\n", "\r\n", "\r"]
+        body = "".join(f"{rng.randrange(10**6)},{'é' * rng.randrange(30)}{rng.choice(ends)}" for _ in range(4000))
+        body += ("EOF\nrest" if i == 1 else "") + ("x" * 3_000_000 if i == 2 else "")
+        write_zip(path, f"big{i}.zip", [("a.txt", "first\n"), ("b.txt", body), ("c.txt", "last\n")])
+    write_zip(path, "none.zip", [])
+
+
+@pytest.mark.parametrize("options", [{}, {"first_data_line": 3}, {"sentinel": None, "entry_newline": True}, {"first_data_line": 10**6}])
+def test_spooled_equals_one_task(spark, tmp_path, monkeypatch, options):
+    path = str(tmp_path / "in")
+    big_archives(path)
+    monkeypatch.setattr(A, "BATCH_BYTES", 1 << 14)
+    got = expected(spark, path, split_bytes=0, spool_bytes=10_000, piece_bytes=20_000, **options)
+    assert got == expected(spark, path, **options)
+
+
+def test_pieces_are_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "in")
+    big_archives(path)
+    monkeypatch.setattr(A, "BATCH_BYTES", 1 << 14)
+    listing = A.list_archives(spark, path)
+    largest = {r.path.rsplit("/", 1)[-1]: r.largest for r in spool.largest_entries(listing, 2).collect()}
+    assert largest["none.zip"] == 0 and largest["big2.zip"] > 3_000_000
+    opts = {"first_data_line": 1, "sentinel": "EOF", "entry_newline": False, "on_bad_archive": "fail"}
+    opts |= {"encoding": "utf-8", "on_bad_bytes": "replace", "with_file": True}
+    pieces = spool.spooled_lines(listing.select("path"), opts, 1, 2)
+    files = pieces.inputFiles()
+    assert len(files) > 5 and pieces.rdd.getNumPartitions() > 1
+    # the same task again, as after a lost executor: no piece twice, none left half-written
+    folder = os.path.dirname(files[0].removeprefix("file://").removeprefix("file:"))
+    before, count = sorted(os.listdir(folder)), pieces.count()
+    task = spool._spool_task(opts, folder, 1)
+    listing.select("path").mapInArrow(task, "path string, pieces bigint, n bigint").collect()
+    assert sorted(os.listdir(folder)) == before and spark.read.schema(A.LINES_SCHEMA).parquet(folder).count() == count
+
+
+def test_bad_archives_and_empty_listing(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_zip(path, "a.zip", [("x", "1\n")])
+    with open(f"{path}/b.zip", "wb") as f:
+        f.write(b"not a zip")
+    options = {"split_bytes": 0, "spool_bytes": 0}
+    assert expected(spark, path, on_bad_archive="skip", **options) == [("a.zip", 1, "1")]
+    with pytest.raises(Exception, match="not a zip archive"):
+        expected(spark, path, **options)
+    listing = A.list_archives(spark, path)
+    assert A.read_archive_lines(spark, listing.where("false")).count() == 0
+    with pytest.raises(ValueError, match="filter the listing"):
+        A.read_archive_lines(spark, listing, pattern=".*")

@@ -228,7 +228,7 @@ def test_merged_batches_of_word_counts_keep_their_batch(spark, tmp_path, monkeyp
     for i in range(5):
         _text(src, f"f{i}.txt", [f"w{i} x"])
     monkeypatch.setattr(S, "MERGE_FAN", 2)
-    monkeypatch.setattr(S._per_batch, "__defaults__", (None, 2))
+    monkeypatch.setattr(S.per_batch, "__defaults__", (None, 2))
     _run(S.batch_word_count(S.text_stream(spark, src, max_files_per_trigger=1), out, str(tmp_path / "ck"), available_now=True))
     assert sorted(f.level for f in S.CommitLog(spark, out).state().folders) == [0, 2]
     got = sorted((r.batch_id, r.word, r.cnt) for r in S.batches(spark, out).collect())
