@@ -182,21 +182,21 @@ def secret_report(
     text_of = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
     joined = lambda spans: F.concat_ws(",", F.transform(spans, text_of))
-    out = scanned.select(
+    columns = [
         "doc_id",
         F.xxhash64("spans").alias("spans_key"),
         *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
         F.sha2(joined(of(*KINDS[:3])).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
-    )
-    same = out["doc_id"].eqNullSafe(judged["doc_id"]) & (out["spans_key"] == judged["spans_key"])
-    return out.join(judged, same, "left").select(
-        out["doc_id"],
-        "n_assign",
-        "n_access",
-        "n_hex",
-        "base_sha256",
-        "spans",
-        *[F.coalesce(f"n_{v}", F.lit(0)).cast("long").alias(f"n_{v}") for v in ("live", "example", "weak")],
-        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("repos", "owners")],
+    ]
+    # Only rows with spans have anything to look up; the others, which may share one null id, are not moved.
+    found = scanned.where(F.size("spans") > 0).select(*columns)
+    none = scanned.where(F.size("spans") == 0).select(*columns)
+    same = found["doc_id"].eqNullSafe(judged["doc_id"]) & (found["spans_key"] == judged["spans_key"])
+    base = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    counts = ["n_live", "n_example", "n_weak", "repos", "owners"]
+    return (
+        found.join(judged, same, "left")
+        .select(found["doc_id"], *base, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts])
+        .unionByName(none.select("doc_id", *base, *[F.lit(0).cast("long").alias(c) for c in counts]))
     )

@@ -71,3 +71,14 @@ def test_value_copied_inside_one_owner(spark):
     got = {r.doc_id: r for r in secret_report(spark.createDataFrame(data, SCHEMA)).collect()}
     assert all((got[i].n_example, got[i].n_live, got[i].repos, got[i].owners) == (1, 0, 120, 1) for i in range(120))
     assert all((got[1000 + i].n_example, got[1000 + i].n_live, got[1000 + i].repos) == (0, 1, 3) for i in range(3))
+
+
+def test_rows_without_spans_under_one_null_id(spark):
+    data = [(None, f"plain words {i % 5}", "hot", None, None) for i in range(300)] + [(None, None, None, None, None), (1, "", "s", None, None)]
+    data += [(None, "password=Zq81mfp0Lw", "hot", None, None)]
+    got = secret_report(spark.createDataFrame(data, SCHEMA)).collect()
+    assert len(got) == len(data)
+    assert sum(r.n_live + r.n_example + r.n_weak for r in got) == 1
+    assert sorted((r.repos, r.owners) for r in got)[-2:] == [(0, 0), (1, 1)]
+    none = hashlib.sha256(b"").hexdigest()
+    assert all(r.base_sha256 == none for r in got if r.spans == "")
