@@ -4,14 +4,18 @@
 2. Records are drawn with a chance proportional to their size; the quantiles of the drawn
    keys are the splitters of ``ranges`` key ranges.
 3. Records are range-partitioned by the splitters. A range that holds more than
-   ``overfull`` times its share (a hot key, which no splitter can cut) is subdivided by
-   a stored salt until every piece is within that share.
+   ``overfull`` times its share (a hot key, which no splitter can cut) or more than
+   ``piece_rows`` records (a large table) is subdivided by a stored salt, so that every
+   piece, the work of one task, is about within both.
 4. Exact sums per piece give every piece's place on the line of all bytes; inside a
    piece a running sum gives each record's. A record goes to the shard in whose
    equal stretch of the line the middle of its bytes lies.
 
 Everything is DataFrame operations. What reaches the driver is bounded by parameters: the
 drawn keys (about ``ranges * draws``), one row per range, and one per piece.
+
+The salt of a record is drawn from its place in the input files: where the same rows lie in
+other files, the records of a subdivided range can get other shards. The law holds either way.
 """
 
 from __future__ import annotations
@@ -43,6 +47,7 @@ def shard_by_splitters(
     ranges: int = 256,
     draws: int = 32,
     overfull: float = 2.0,
+    piece_rows: int = 1 << 22,
 ) -> DataFrame:
     """One row per record: id, ``size`` (UTF-8 bytes plus 1; null text: 1), ``text_crc32``
     (null text: that of no bytes), ``law`` 'bytes', ``shard`` and ``slot`` (gapless from 0
@@ -73,14 +78,14 @@ def shard_by_splitters(
 
     placed = base.withColumn("range_no", _range_of(F.col("key"), splitters))
     share = max(1.0, total / ranges)
-    pieces = F.least(F.lit(SALTS), F.ceil(F.sum("size") / F.lit(share * overfull))).cast("int")
-    cuts = {r[0]: r[1] for r in placed.groupBy("range_no").agg(pieces.alias("n")).collect() if r[1] > 1}
-    piece = F.lit(0)
-    for range_no, n in cuts.items():
-        piece = F.when(F.col("range_no") == range_no, F.pmod("salt", F.lit(n))).otherwise(piece)
+    by_bytes, by_rows = F.ceil(F.sum("size") / F.lit(share * overfull)), F.ceil(F.count("*") / F.lit(piece_rows))
+    pieces = F.least(F.lit(SALTS), F.greatest(by_bytes, by_rows)).cast("int")
+    cuts = dict(placed.groupBy("range_no").agg(pieces.alias("n")).collect())
+    of_range = F.array(*[F.lit(cuts.get(r, 1)) for r in range(len(splitters) + 1)])
+    piece = F.pmod("salt", F.get(of_range, F.col("range_no")))
     placed = placed.withColumn("piece", piece)
 
-    # One row per piece (at most ranges + total / (share * overfull)): its place on the line of all bytes.
+    # One row per piece (at most 2 * ranges + rows / piece_rows): its place on the line of all bytes.
     sums = sorted(tuple(r) for r in placed.groupBy("range_no", "piece").agg(F.sum("size"), F.count("*")).collect())
     before, at_byte, at_row = [], 0, 0
     for range_no, piece_no, n_bytes, n_rows in sums:
