@@ -4,7 +4,9 @@ The method: every line is normalised (lower case, white space runs as one space)
 per host the number of distinct documents that hold a line is counted over the whole corpus;
 lines in more than ``max(min_docs, share * documents of the host)`` documents are
 boilerplate and removed; a document that keeps less than ``min_left`` of its words is
-depleted and rejected.
+depleted and rejected. ``most_texts`` is an absolute limit beside the share, for hosts so large
+that the share allows thousands of documents: lines in more than that many different texts of a
+host go too. It counts texts, since the lines of a page copied thousands of times are no boilerplate.
 
 All DataFrame operations. Only line hashes and word counts are shuffled, never texts; the
 count is keyed by (host, line, document) first, so neither a hot host nor a hot line lands in
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import SPACES, let, words_of
+from rowsmith.llm.common import SPACES, let, stored, words_of
 
 MIN_DOCS, SHARE, MIN_LEFT = 20, 0.10, 0.3
 WINDOW = 8
@@ -110,6 +112,7 @@ def line_frequency_rules(
     min_docs: int = MIN_DOCS,
     share: float = SHARE,
     min_left: float = MIN_LEFT,
+    most_texts: int | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, n_boilerplate_words, kept.
@@ -120,19 +123,25 @@ def line_frequency_rules(
     """
     names = {"id_col": id_col, "text_col": text_col, "host_col": host_col}
     counts = document_counts(docs, **names)
-    lines = document_lines(docs, **names)
+    lines = stored(document_lines(docs, **names), "line-rules")  # hashed once, read for the counts and for the removal
     one_null = F.max(F.when(F.col("doc_id").isNull(), 1).otherwise(0))
     hosts = (
         docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"))
         .groupBy("host")
         .agg((F.count_distinct("doc_id") + one_null).alias("host_docs"))
     )
+    per_line = [(F.count_distinct("doc_id") + one_null).alias("line_docs")]
+    too_many_texts = F.lit(False)
+    if most_texts is not None:
+        per_line.append(F.count_distinct("text_key").alias("line_texts"))
+        too_many_texts = F.col("line_texts") > most_texts
+    above = F.col("line_docs") > F.greatest(F.lit(float(min_docs)), F.lit(share) * F.col("host_docs"))
     common = (
         lines.groupBy("host", "line")
-        .agg((F.count_distinct("doc_id") + one_null).alias("line_docs"))
-        .where(F.col("line_docs") > min_docs)
+        .agg(*per_line)
+        .where((F.col("line_docs") > min_docs) | too_many_texts)
         .join(hosts, "host")
-        .where(F.col("line_docs") > F.greatest(F.lit(float(min_docs)), F.lit(share) * F.col("host_docs")))
+        .where(above | too_many_texts)
         .select("host", "line")
     )
     removed = (

@@ -55,15 +55,32 @@ def test_shards_of_one_hot_row_and_of_nothing(spark):
     assert shard_by_splitters(same.limit(0), 16).count() == 0
 
 
-def brute_rules(data, min_docs, share, min_left):
+def test_large_ranges_are_cut_by_rows(spark):
+    data = rows_of(2)
+    frame = spark.createDataFrame(data, SCHEMA)
+    cut = shard_by_splitters(frame, 16, ranges=4, draws=16, piece_rows=5).collect()
+    size = lambda t: len((t or "").encode()) + 1
+    assert Counter((r.doc_id, r.size) for r in cut) == Counter((d, size(t)) for d, t, *_ in data)
+    slots, load = defaultdict(list), Counter()
+    for r in cut:
+        slots[r.shard].append(r.slot)
+        load[r.shard] += r.size
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    most, mean = max(size(t) for _, t, *_ in data), sum(load.values()) / 16
+    assert all(abs(load[s] - mean) <= most for s in range(16))
+
+
+def brute_rules(data, min_docs, share, min_left, most_texts=None):
     norm = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" ")
     lines = lambda t: [x for x in (t or "").split("\n") if words(x)]
-    hosts, holds = defaultdict(set), defaultdict(set)
+    hosts, holds, texts = defaultdict(set), defaultdict(set), defaultdict(set)
     for d, t, s, *_ in data:
         hosts[s or ""].add(d)
         for x in lines(t):
             holds[s or "", norm(x)].add(d)
+            texts[s or "", norm(x)].add(t)
     common = {k for k, v in holds.items() if len(v) > min_docs and len(v) > share * len(hosts[k[0]])}
+    common |= {k for k, v in texts.items() if most_texts is not None and len(v) > most_texts}
     out = []
     for d, t, s, *_ in data:
         w, ls = words(t), lines(t)
@@ -86,5 +103,23 @@ def test_line_rules_match_brute_force(spark, seed):
     assert Counter(map(tuple, got)) == brute_rules(data, 8, 0.3, 0.3)
 
 
+def test_absolute_limit_in_a_hot_host(spark):
+    rng = random.Random(5)
+    own = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    banner, page = " ".join(f"banner{i}" for i in range(40)), own(40)
+    data = [(i, own(30), "hot", None, None) for i in range(1200)]
+    data += [(2000 + i, banner + "\n" + own(10), "hot", None, None) for i in range(60)]  # 5 % of the host, different texts
+    data += [(3000 + i, page, "hot", None, None) for i in range(90)]  # copies of one page are no boilerplate
+    data += [(4000 + i, banner + "\n" + own(10), f"small{i}", None, None) for i in range(3)]
+    frame = spark.createDataFrame(data, SCHEMA)
+    kept = {}
+    for most in (None, 50):
+        got = line_frequency_rules(frame, most_texts=most).collect()
+        assert Counter(map(tuple, got)) == brute_rules(data, 20, 0.10, 0.3, most)
+        kept[most] = {r.doc_id for r in got if r.kept}
+    assert kept[None] - kept[50] == set(range(2000, 2060)) and not kept[50] - kept[None]
+    assert set(range(3000, 3090)) <= kept[50] and {4000, 4001, 4002} <= kept[50]
+
+
 def test_line_rules_on_an_empty_table(spark):
     assert line_frequency_rules(spark.createDataFrame([], SCHEMA)).count() == 0
