@@ -101,25 +101,30 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
 def per_batch(out: str, checkpoint: str, compute, combine=None, merge_fan: int | None = MERGE_FAN):
     """Write ``compute`` of every batch, with its ``batch_id``, and commit it; merge folders by ``combine`` (default: rows as they are)."""
 
+    # The stream's id and the table after its last batch: a commit that another writer made since is met by its number.
+    known: dict = {}
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        log, writer = CommitLog(spark, out), _stream_id(spark, checkpoint)
-        state = log.state()
+        log, writer = CommitLog(spark, out), known.get("writer") or _stream_id(spark, checkpoint)
+        state = known.pop("state", None) or log.state()
+        known["writer"] = writer
         if batch_id <= state.batches.get(writer, -1):
             return  # committed before the stream could note it
         name = log.new_folder()
         log.write(compute(batch).withColumn("batch_id", F.lit(batch_id).cast("long")), name)
         state = log.commit([Folder(name, batch_id, batch_id)], writer=writer, batch=batch_id, state=state)
         if merge_fan and state is not None:
-            merged = log.merge(combine or (lambda rows: rows), merge_fan, state)
-            if any(f.level > 1 for f in merged.folders) and batch_id % merge_fan**2 == 0:
+            state = log.merge(combine or (lambda rows: rows), merge_fan, state)
+            if any(f.level > 1 for f in state.folders) and batch_id % merge_fan**2 == 0:
                 log.vacuum(KEEP_SECONDS)
+        known["state"] = state
 
     return run
 
 
-def batches(spark: SparkSession, out: str, schema=None) -> DataFrame:
-    """The rows of all committed batches of the streams that write to ``out``, with their ``batch_id``."""
+def batches(spark: SparkSession, out: str | list[str], schema=None) -> DataFrame:
+    """The rows of all committed batches of the streams that write to ``out`` (one or several tables), with their ``batch_id``."""
     return committed_rows(spark, out, schema)
 
 

@@ -135,3 +135,43 @@ def test_bad_archives_and_empty_listing(spark, tmp_path):
     assert A.read_archive_lines(spark, listing.where("false")).count() == 0
     with pytest.raises(ValueError, match="filter the listing"):
         A.read_archive_lines(spark, listing, pattern=".*")
+
+
+def test_shares_of_a_folder_are_streams_of_their_own(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(12):
+        write_zip(path, f"a-{i:02d}.zip", [("x", f"{i}\n")])
+    write_zip(path, "other.zip", [("x", "other\n")])
+    outs = []
+    for share in [*(f"*{d}.zip" for d in range(10)), "*[!0-9].zip", "*.none"]:
+        outs.append(f"{out}/{len(outs)}")
+        listing = S.archive_listing(spark, path, share=share, max_files_per_trigger=1)
+        query = S.stream_archive_lines(listing, outs[-1], outs[-1] + "-checkpoint", available_now=True)
+        query.awaitTermination()
+    got = batches(spark, outs)
+    assert sorted(r.value for r in got.collect()) == sorted([*map(str, range(12)), "other"])
+    # other files make no batch: 0 and 10 are the two of their share
+    assert sorted((r.value, r.batch_id) for r in batches(spark, outs[0]).collect()) == [("0", 0), ("10", 1)]
+    with pytest.raises(ValueError, match="nothing is committed"):
+        batches(spark, outs[-1:])
+
+
+def test_every_name_is_in_one_lane():
+    import fnmatch
+
+    from rowsmith.plans.queries import LANES
+
+    for name in [*(f"bucket={i}" for i in range(25)), "bucket=__HIVE_DEFAULT_PARTITION__", "bucket=-7"]:
+        assert sum(fnmatch.fnmatchcase(name, f"bucket=*{lane}") for lane in LANES) == 1
+
+
+def test_the_log_is_read_once_a_stream(spark, tmp_path, monkeypatch):
+    from rowsmith.sinks.commits import CommitLog
+
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(5):
+        write_zip(path, f"a{i}.zip", [("x", f"{i}\n")])
+    reads, state = [], CommitLog.state
+    monkeypatch.setattr(CommitLog, "state", lambda self: reads.append(1) or state(self))
+    run(spark, path, out, max_files_per_trigger=1)
+    assert len(reads) == 1
