@@ -233,3 +233,12 @@ def test_merged_batches_of_word_counts_keep_their_batch(spark, tmp_path, monkeyp
     assert sorted(f.level for f in S.CommitLog(spark, out).state().folders) == [0, 2]
     got = sorted((r.batch_id, r.word, r.cnt) for r in S.batches(spark, out).collect())
     assert len(got) == 10 and sorted({r[0] for r in got}) == [0, 1, 2, 3, 4] and all(r[2] == 1 for r in got)
+
+
+def test_preview_query_shows_lines_of_every_500_documents(spark, tmp_path):
+    from rowsmith.plans import queries as Q
+
+    docs = spark.range(1200).selectExpr("id AS doc_id", "concat('a', id, '\n', 'b', id) AS text")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in Q.q_stream_preview(spark, str(tmp_path)).collect())
+    assert got == [(0, 10, 10), (1, 10, 10), (2, 10, 10)]
