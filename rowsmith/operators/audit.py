@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.session import scratch_path
+from rowsmith.session import default_parallelism, input_bytes, scratch_path
 from rowsmith.sources.delimited import name_matches
 
+#: Bytes of splits that one task of a split audit reads, at least as many tasks as the cluster has slots.
+TASK_BYTES = 32 << 20
+
 
 def scan_audit(
     spark: SparkSession,
@@ -63,12 +66,15 @@ def split_audit(
     per split.
 
     ``split_bytes`` bounds the splits of this scan alone: it is a setting of the session when the plan runs, so the scan runs at once, in a session
-    of its own, and the audit is read back from the shared scratch folder.
+    of its own, and the audit is read back from the shared scratch folder. A task reads many small splits: their number grows with the
+    bytes, not with the splits, and so does what tasks report to the driver.
     """
     session = spark
     if split_bytes is not None:
         session = spark.newSession()
         session.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+        tasks = max(default_parallelism(spark), -(-input_bytes(spark, path) // TASK_BYTES))
+        session.conf.set("spark.sql.files.maxPartitionNum", str(tasks))  # packs splits, cuts none anew
     text = session.read.text(path if isinstance(path, str) else list(path))
     if pattern:
         text = text.where(name_matches(pattern, pattern_on))
@@ -134,8 +140,6 @@ def archive_audit(
     false``, which is what ``on_bad_archive='skip'`` reads as empty. Files the
     pattern discards are not opened (their zip columns are null).
     """
-    from rowsmith.session import default_parallelism
-
     listing = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
     matched = name_matches(pattern, pattern_on) if pattern else F.lit(True)
     files = listing.select(

@@ -99,3 +99,17 @@ def test_split_audit_adds_up_at_every_size(spark, tmp_path):
         assert {r.file_name for r in found} == {"a.txt", "b-c.txt"}
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     assert sum(r.lines for r in split_audit(spark, d).collect()) == 4101
+
+
+def test_split_audit_reads_many_splits_a_task(spark, tmp_path):
+    d = str(tmp_path / "t")
+    write(d, "a.txt", b"some line\n" * 100_000)
+    spark.sparkContext.setJobGroup("audit", "audit")
+    try:
+        found = split_audit(spark, d, split_bytes=1 << 12)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found.count() == 245 and found.agg({"lines": "sum"}).first()[0] == 100_000
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("audit") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= spark.sparkContext.defaultParallelism + 1
