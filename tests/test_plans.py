@@ -72,3 +72,49 @@ def test_archive_audit_needs_no_join(spark, tmp_path):
     assert "Join" not in _plan(audit)
     got = sorted((r.file_name, r.matched, r.is_zip, r.entries, r.text_bytes) for r in audit.collect())
     assert got == [("a.zip", True, True, 1, 3), ("b.zip", True, False, None, None), ("c.txt", False, None, None, None)]
+
+
+def test_years_are_staged_without_a_shuffle(spark, tmp_path):
+    from rowsmith.plans import staging
+    from rowsmith.sinks.delimited import OPEN_FOLDERS
+
+    cells = "'1995-01-01'::date + (id % 900)::int AS l_shipdate, 'R' AS l_returnflag, 'F' AS l_linestatus"
+    numbers = ", ".join(f"id AS {c}" for c in staging.LINEITEM_COLUMNS[:8])
+    spark.range(3000, numPartitions=3).selectExpr(*numbers.split(", "), *cells.split(", ")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    before = spark.conf.get(OPEN_FOLDERS)
+    spark.sparkContext.setJobGroup("years", "years")
+    try:
+        path = staging.lineitem_by_year(spark, str(tmp_path))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("years")]
+    assert jobs and all(len(j.stageIds) == 1 for j in jobs)
+    assert spark.read.text(path).groupBy("ship_year").count().count() == 3 and spark.read.text(path).count() == 3000
+    assert spark.conf.get(OPEN_FOLDERS) == before
+
+
+def test_archives_are_written_from_small_batches(spark, tmp_path, monkeypatch):
+    from rowsmith.plans import staging
+
+    writer, most = staging._zip_writer, staging.ENTRIES_PER_BATCH
+
+    def checked(target, prefix):
+        inner = writer(target, prefix)
+
+        def small(batches):
+            for b in batches:
+                if b.num_rows > most:
+                    raise ValueError(f"a batch of {b.num_rows} entries")
+                yield b
+
+        return lambda batches: inner(small(batches))
+
+    monkeypatch.setattr(staging, "_zip_writer", checked)
+    rows = spark.range(500).selectExpr("id div 400 AS archive", "concat('e', id) AS entry", "concat(id, '\n') AS body", "id AS seq")
+    before = spark.conf.get(staging.BATCH_ROWS)
+    staging.write_archives(rows, str(tmp_path / "z"), prefix="z", partitions=1)
+    assert spark.conf.get(staging.BATCH_ROWS) == before
+    from rowsmith.sources.archives import read_archive_lines
+
+    assert sorted(int(r.value) for r in read_archive_lines(spark, str(tmp_path / "z")).collect()) == list(range(500))
