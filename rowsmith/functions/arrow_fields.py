@@ -126,6 +126,8 @@ def typed(values: pa.Array, field: T.StructField, null_value: str | None) -> pa.
 
 def double_text(x: float) -> str:
     """A double as the JVM writes it: 1.0, 1.0E10, NaN, Infinity."""
+    if 0.001 <= x < 1e7 or -1e7 < x <= -0.001:
+        return repr(x)  # both write the shortest digits, here without an exponent
     if x != x:
         return "NaN"
     if x in (float("inf"), float("-inf")):

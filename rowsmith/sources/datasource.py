@@ -7,7 +7,7 @@
     spark.sql("INSERT INTO t2 SELECT ...")
 
 Partitions come from the listing: text files are cut into byte ranges of ``split_bytes`` that hold whole lines, small files and archives share a
-partition up to that size. Rows leave a task as Arrow batches. ``file_column`` names a declared column that holds a file's base name instead of a
+partition up to that size, and small ranges of a large table share one too. Rows leave a task as Arrow batches. ``file_column`` names a declared column that holds a file's base name instead of a
 field; ``pattern`` prunes the listing.
 
 Written rows are lines in files of a hidden folder of the job, which no reader lists; the commit moves them into the table's folder, an abort (a
@@ -47,6 +47,8 @@ from rowsmith.sources.wide import wide_encoding, wide_lines
 
 SPLIT_BYTES = 128 << 20
 READ_BYTES = 1 << 20
+#: Beyond so many tasks a task reads several ranges of ``split_bytes``, one after the other.
+MANY_TASKS = 256
 #: Age at which the hidden folder of a job that never ended its write is deleted.
 STALE_NS = 24 * 3600 * 10**9
 
@@ -146,13 +148,17 @@ class _Reader(DataSourceReader):
         return [(p, n) for p, n in found if re.fullmatch(self.pattern, p.rsplit("/", 1)[-1] if self.pattern_on == "name" else p)]
 
     def partitions(self) -> list[InputPartition]:
+        """The pieces, some a task: tasks of small pieces grow with the table up to ``SPLIT_BYTES``, so that their number stays bounded too."""
         out: list[Pieces] = []
         room = 0
-        for piece in self.pieces():
+        pieces = list(self.pieces())
+        total = sum(p.end - p.start for p in pieces)
+        most = max(self.split_bytes, min(SPLIT_BYTES, total // MANY_TASKS))
+        for piece in pieces:
             size = piece.end - piece.start
             if size > room or not out:
                 out.append(Pieces([]))
-                room = self.split_bytes
+                room = most
             out[-1].pieces.append(piece)
             room -= size
         return out or [Pieces([])]

@@ -11,6 +11,7 @@ from conftest import blank_model, java_split_model, read_line_model
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowsmith.functions import arrow_fields as A
 from rowsmith.sources import datasource as D
@@ -245,3 +246,14 @@ def test_cells_without_a_text_rule_are_refused(spark, tmp_path):
     df = spark.sql("SELECT timestamp'2020-01-01 00:00:00' AS t")
     with pytest.raises(Exception, match="cast the column to string first"):
         df.write.format("rowsmith_delimited").mode("append").save(str(tmp_path / "out"))
+
+
+def test_small_ranges_share_a_task_in_a_large_table(spark, tmp_path):
+    os.makedirs(tmp_path / "t")
+    (tmp_path / "t" / "a.txt").write_text("".join(f"{i:06d},x\n" for i in range(100_000)))
+    options = {"path": str(tmp_path / "t"), "split_bytes": "500"}
+    parts = D.DelimitedReader(T.StructType.fromDDL("n bigint, s string"), options).partitions()
+    pieces = [p for x in parts for p in x.pieces]
+    assert len(pieces) == 1800 and all(p.end - p.start <= 500 for p in pieces)
+    assert len(parts) < 2 * D.MANY_TASKS
+    assert [p.start for p in pieces] == list(range(0, 900_000, 500))
