@@ -47,6 +47,9 @@ SPLIT_BYTES = 256 << 20
 UNIT_BYTES = 256 << 20
 # Compressed bytes of archives per task, at least as many tasks as the cluster has slots.
 TASK_BYTES = 64 << 20
+# Of a listing that is given (a stream's batch): so many bytes or archives are worth a task of their own.
+LEAST_BYTES = 1 << 20
+LEAST_FILES = 64
 
 
 def coalesce_chunks(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -239,8 +242,9 @@ def lines_task(opts: dict):
 
 
 def archive_tasks(paths: DataFrame, opts: dict, partitions: int) -> DataFrame:
-    """The lines of the archives ``path``, each read by one task in one pass."""
-    return paths.repartition(partitions).mapInArrow(lines_task(opts), LINES_SCHEMA)
+    """The lines of the archives ``path``, each read by one task in one pass (all by one task: without a shuffle)."""
+    dealt = paths.repartition(partitions) if partitions > 1 else paths.coalesce(1)
+    return dealt.mapInArrow(lines_task(opts), LINES_SCHEMA)
 
 
 def list_archives(spark: SparkSession, path: str | list[str], pattern: str | None = None, pattern_on: str = "name") -> DataFrame:
@@ -269,10 +273,12 @@ def read_archive_lines(
     spool_bytes: int | None = None,
     piece_bytes: int | None = None,
     with_file: bool = True,
+    listed: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Lines of every archive: ``file_path, file_name, line_no, value`` (blank lines kept).
 
-    ``path`` may also be a listing, ``path, length`` of the archives to read (then without ``pattern``).
+    ``path`` may also be a listing, ``path, length`` of the archives to read (then without ``pattern``);
+    ``listed`` gives its bytes and number of archives, or more than those, where they are known (else a job adds them up).
     ``line_no`` is the physical line number in the archive's continuous
     text. ``on_bad_archive='skip'`` reads a file that is not a zip as empty.
     An entry that can't be decompressed fails the read, unless the sentinel
@@ -292,12 +298,15 @@ def read_archive_lines(
     if isinstance(path, DataFrame):
         if pattern:
             raise ValueError("filter the listing itself")
-        listing = path.select("path", "length")
-        total = listing.agg(F.sum("length")).first()[0] or 0
+        listing = path
+        total, files = listed or listing.agg(F.sum("length"), F.count(F.lit(1))).first()
+        total = total or 0
+        # a small batch is not dealt out to more tasks than it is worth
+        least = max(-(-total // LEAST_BYTES), -(-files // LEAST_FILES), 1)
     else:
         listing = list_archives(spark, path, pattern, pattern_on)
-        total = input_bytes(spark, path)
-    n = partitions or max(default_parallelism(spark), -(-total // TASK_BYTES))
+        total, least = input_bytes(spark, path), default_parallelism(spark)
+    n = partitions or max(min(default_parallelism(spark), least), -(-total // TASK_BYTES))
     opts = {
         "first_data_line": first_data_line,
         "sentinel": sentinel,
@@ -307,11 +316,13 @@ def read_archive_lines(
         "on_bad_bytes": on_bad_bytes,
         "with_file": with_file,
     }
-    lines = archive_tasks(listing.where(F.col("length") <= split_bytes).select("path"), opts, n)
-    large = listing.where(F.col("length") > split_bytes).select("path")
     # The unit path is planned only when needed: where all files together are small, no
     # job runs for it; else one over the listing (no archive content is read).
-    if total <= split_bytes or large.limit(1).count() == 0:
+    if total <= split_bytes:
+        return archive_tasks(listing.select("path"), opts, n)
+    lines = archive_tasks(listing.where(F.col("length") <= split_bytes).select("path"), opts, n)
+    large = listing.where(F.col("length") > split_bytes).select("path")
+    if large.limit(1).count() == 0:
         return lines
     from rowsmith.sources import spool
     from rowsmith.sources.archive_units import read_large_archive_lines

@@ -101,14 +101,15 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
 def per_batch(out: str, checkpoint: str, compute, combine=None, merge_fan: int | None = MERGE_FAN):
     """Write ``compute`` of every batch, with its ``batch_id``, and commit it; merge folders by ``combine`` (default: rows as they are)."""
 
-    # The stream's id and the table after its last batch: a commit that another writer made since is met by its number.
+    # The stream's log and id, and the table after its last batch: a commit that another writer made since is met by its number.
     known: dict = {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        log, writer = CommitLog(spark, out), known.get("writer") or _stream_id(spark, checkpoint)
+        if "log" not in known:
+            known.update(log=CommitLog(spark, out), writer=_stream_id(spark, checkpoint))
+        log, writer = known["log"], known["writer"]
         state = known.pop("state", None) or log.state()
-        known["writer"] = writer
         if batch_id <= state.batches.get(writer, -1):
             return  # committed before the stream could note it
         name = log.new_folder()

@@ -175,3 +175,67 @@ def test_the_log_is_read_once_a_stream(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(CommitLog, "state", lambda self: reads.append(1) or state(self))
     run(spark, path, out, max_files_per_trigger=1)
     assert len(reads) == 1
+
+
+def test_a_small_batch_is_one_job_of_one_task(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(6):
+        write_zip(path, f"a{i}.zip", [("x.txt", f"h\n{i}\n")])
+    listing = S.archive_listing(spark, path, max_files_per_trigger=3)
+    query = S.stream_archive_lines(listing, out, out + "-ck", available_now=True, first_data_line=2)
+    query.awaitTermination()
+    status = spark.sparkContext.statusTracker()
+    jobs = [status.getJobInfo(j) for j in status.getJobIdsForGroup(query.runId)]
+    assert len(jobs) == 2
+    assert [status.getStageInfo(s).numTasks for job in jobs for s in job.stageIds] == [1, 1]
+    assert rows(spark, out) == expected(spark, path, first_data_line=2) and len(rows(spark, out)) == 6
+
+
+def test_sizes_of_a_batch_are_those_of_its_files(spark, tmp_path):
+    path, out, seen = str(tmp_path / "in"), str(tmp_path / "out"), []
+    for i in range(5):
+        write_zip(path, f"a{i}.zip", [("x", "line\n" * 100 * (i + 1))])
+    sizes = sorted(os.path.getsize(f"{path}/a{i}.zip") for i in range(5))
+
+    def take(batch, batch_id):
+        found = S.scanned_files(batch)
+        seen.append(found)
+        assert found == tuple(batch.selectExpr("sum(length)", "count(*)").first())
+        assert S.scanned_files(batch.repartition(2)) is None
+
+    listing = S.archive_listing(spark, path, max_files_per_trigger=2)
+    listing.writeStream.foreachBatch(take).option("checkpointLocation", out).trigger(availableNow=True).start().awaitTermination()
+    assert [n for _, n in seen] == [2, 2, 1] and sum(size for size, _ in seen) == sum(sizes)
+
+
+@pytest.mark.parametrize("options", [{"split_bytes": 0}, {"split_bytes": 4096, "unit_bytes": 1 << 14}, {"split_bytes": 0, "spool_bytes": 0}])
+def test_large_archives_of_a_stream(spark, tmp_path, options):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rng = random.Random(5)
+    for i in range(4):
+        entries = [(f"{e}.txt", "".join(f"{rng.randrange(10**9)}\n" for _ in range(300 * i))) for e in range(3)]
+        write_zip(path, f"a{i}.zip", [*entries, ("last.txt", f"{i}")])
+    run(spark, path, out, max_files_per_trigger=2, first_data_line=2, **options)
+    assert rows(spark, out) == expected(spark, path, first_data_line=2) and len(rows(spark, out)) > 5000
+
+
+@pytest.mark.parametrize("listed", [None, (0, 0), (10**9, 10**6)])
+def test_a_listing_of_any_size_gives_the_same_lines(spark, tmp_path, listed):
+    path = str(tmp_path / "in")
+    for i in range(70):  # more than one task takes
+        write_zip(path, f"a{i:02d}.zip", [("x", f"{i}\n")])
+    found = A.read_archive_lines(spark, A.list_archives(spark, path), listed=listed)
+    assert sorted((r.file_name, r.line_no, r.value) for r in found.collect()) == expected(spark, path)
+
+
+def test_a_stream_opens_its_log_once(spark, tmp_path, monkeypatch):
+    from rowsmith.streaming import words
+
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(4):
+        write_zip(path, f"a{i}.zip", [("x", f"{i}\n")])
+    opened, log = [], words.CommitLog
+    monkeypatch.setattr(words, "CommitLog", lambda *a: opened.append(1) or log(*a))
+    run(spark, path, out, max_files_per_trigger=1)
+    assert len(opened) == 1 and len(rows(spark, out)) == 4
+    assert not [f for _, _, names in os.walk(f"{out}/data") for f in names if "_SUCCESS" in f]
