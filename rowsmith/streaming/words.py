@@ -116,7 +116,7 @@ def per_batch(out: str, checkpoint: str, compute, combine=None, merge_fan: int |
         log.write(compute(batch).withColumn("batch_id", F.lit(batch_id).cast("long")), name)
         state = log.commit([Folder(name, batch_id, batch_id)], writer=writer, batch=batch_id, state=state)
         if merge_fan and state is not None:
-            state = log.merge(combine or (lambda rows: rows), merge_fan, state)
+            state = log.merge(combine, merge_fan, state)
             if any(f.level > 1 for f in state.folders) and batch_id % merge_fan**2 == 0:
                 log.vacuum(KEEP_SECONDS)
         known["state"] = state

@@ -219,3 +219,27 @@ def test_a_copy_of_archives(spark, tmp_path):
     pack("a.zip", "a,1\na,5\n")
     assert copy.refresh() == {"new": 1, "changed": 1, "gone": 0, "commits": 1}
     assert copied(copy) == [("a", 1), ("a", 5), ("b", 2)]
+
+
+@pytest.mark.parametrize("merged_bytes", [64 << 20, 1])
+def test_rows_are_merged_as_they_are_without_a_shuffle(spark, tmp_path, monkeypatch, merged_bytes):
+    from rowsmith.sinks import commits
+
+    monkeypatch.setattr(commits, "MERGED_BYTES", merged_bytes)
+    log = CommitLog(spark, str(tmp_path / "t"))
+    for i in range(5):
+        name = log.new_folder()
+        log.write(spark.createDataFrame([(i, "x" if j % 2 else None) for j in range(3)] * 2, "a int, b string").repartition(3), name)
+        log.commit([Folder(name, i, i)])
+    spark.sparkContext.setJobGroup(str(tmp_path), "")
+    state = log.merge(None, 4)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup(str(tmp_path)) for s in status.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) <= 2  # the schema, the rows
+    assert sorted((f.level, f.first_batch, f.last_batch) for f in state.folders) == [(0, 4, 4), (1, 0, 3)]
+    got = sorted(log.read().collect(), key=str)
+    assert got == sorted([(i, "x" if j % 2 else None) for i in range(5) for j in range(3)] * 2, key=str)
+    merged = next(f for f in state.folders if f.level == 1)
+    files = [f for f in os.listdir(log.path(merged.name)) if f.endswith(".parquet")]
+    assert len(files) == 1 if merged_bytes > 1 else len(files) > 1
