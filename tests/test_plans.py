@@ -118,3 +118,23 @@ def test_archives_are_written_from_small_batches(spark, tmp_path, monkeypatch):
     from rowsmith.sources.archives import read_archive_lines
 
     assert sorted(int(r.value) for r in read_archive_lines(spark, str(tmp_path / "z")).collect()) == list(range(500))
+
+
+def test_tasks_that_write_document_archives_grow_with_the_table(spark, tmp_path, monkeypatch):
+    from rowsmith.plans import staging
+    from rowsmith.session import default_parallelism, input_bytes
+
+    docs = str(tmp_path / "documents.parquet")
+    texts = {i: f"first {i}\nsecond {i}" for i in range(60)}
+    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").write.parquet(docs)
+    size, tasks, write = input_bytes(spark, docs), [], staging.write_archives
+    monkeypatch.setattr(staging, "write_archives", lambda *a, partitions, **k: tasks.append(partitions) or write(*a, partitions=partitions, **k))
+    monkeypatch.setattr(staging, "WRITER_BYTES", max(1, size // 40))
+    path = staging.document_archives(spark, str(tmp_path)).removeprefix("file:")
+    assert tasks[0] >= 40 > default_parallelism(spark)
+    assert sorted(os.listdir(path)) == [f"docs-{i:06d}.zip" for i in range(3)]
+    found = {}
+    for name in os.listdir(path):
+        with zipfile.ZipFile(f"{path}/{name}") as z:
+            found |= {int(n[4:12]): z.read(n).decode() for n in z.namelist() if n.startswith("doc-")}
+    assert found == texts
