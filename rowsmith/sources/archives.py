@@ -48,7 +48,7 @@ UNIT_BYTES = 256 << 20
 # Compressed bytes of archives per task, at least as many tasks as the cluster has slots.
 TASK_BYTES = 64 << 20
 # Of a listing that is given (a stream's batch): so many bytes or archives are worth a task of their own.
-LEAST_BYTES = 1 << 20
+LEAST_BYTES = 4 << 20
 LEAST_FILES = 64
 
 
