@@ -47,14 +47,17 @@ def _coding_errors(spark: SparkSession, encoding: str, on_bad_bytes: str):
 @contextmanager
 def session_flags(spark: SparkSession, flags: dict[str, str]):
     """Set session flags and put back what was there."""
-    before = {k: spark.conf.get(k, "false") for k in flags}
+    before = {k: spark.conf.get(k, None) for k in flags}
     for k, v in flags.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def read_lines(

@@ -239,3 +239,13 @@ def test_a_stream_opens_its_log_once(spark, tmp_path, monkeypatch):
     run(spark, path, out, max_files_per_trigger=1)
     assert len(opened) == 1 and len(rows(spark, out)) == 4
     assert not [f for _, _, names in os.walk(f"{out}/data") for f in names if "_SUCCESS" in f]
+
+
+def test_a_stream_keeps_no_listings_and_leaves_the_session_as_it_was(spark, tmp_path):
+    path, out, seen = str(tmp_path / "in"), str(tmp_path / "out"), []
+    write_zip(path, "a.zip", [("x", "1\n")])
+    flag = next(iter(S.KEEP_NO_LISTINGS))
+    assert spark.conf.get(flag) == "true"
+    run(spark, path, out, compute=lambda lines: seen.append(lines.sparkSession.conf.get(flag)) or lines)
+    assert spark.conf.get(flag) == "true" and spark.conf.get(flag, None) is None
+    assert seen == ["false"] and rows(spark, out) == [("a.zip", 1, "1")]
